@@ -4,8 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from natatio.llm.shared import table
+from natatio.llm.shared import shared_path, table
 from natatio.llm.simhash import simhash_groups
+from natatio.llm.simple8b import read_token_ids, token_digests, write_token_ids
+from natatio.llm.substrings import kept_digests
+
+
+def tokenizer_file() -> str:
+    """The tokenizer that the registered queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,8 +22,22 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_token_ids_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written to Simple-8b files and read back."""
+    path = shared_path(spark, "token-ids")
+    write_token_ids(table(spark, sf_dir, "documents"), path, tokenizer_file())
+    return token_digests(read_token_ids(spark, path))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 50-word repeats of earlier ones."""
+    return kept_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op8_token_ids_binary": op8_token_ids_binary,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
 ORACLE: dict[str, str] = {}
