@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from natatio.llm.katz import katz_scores
 from natatio.llm.shared import shared_path, table
 from natatio.llm.simhash import simhash_groups
 from natatio.llm.simple8b import read_token_ids, token_digests, write_token_ids
@@ -22,6 +23,11 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Katz and add-half scores of every document."""
+    return katz_scores(table(spark, sf_dir, "documents"))
+
+
 def op8_token_ids_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written to Simple-8b files and read back."""
     path = shared_path(spark, "token-ids")
@@ -36,6 +42,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_katz_backoff": op5_katz_backoff,
     "op8_token_ids_binary": op8_token_ids_binary,
     "op9_substring_dedup": op9_substring_dedup,
 }
