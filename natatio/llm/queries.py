@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from natatio.llm.katz import katz_scores
+from natatio.llm.mixing import standard_mix, standard_mix_sql
 from natatio.llm.shared import shared_path, table
 from natatio.llm.simhash import simhash_groups
 from natatio.llm.simple8b import read_token_ids, token_digests, write_token_ids
@@ -18,6 +19,16 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: The mix asks for so much of all tokens, from so many epochs of a leaf at most.
+MIX_SHARE, MIX_EPOCHS = 0.6, 4
+
+
+def op3_mixing_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents the mix takes, in which epoch, and how many of their tokens."""
+    mixed = standard_mix(table(spark, sf_dir, "documents"), MIX_SHARE, MIX_EPOCHS)
+    return mixed.select("doc_id", "mix_domain", "lang", "source", "mix_epoch", "mix_tokens", "mix_taken")
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash_groups(table(spark, sf_dir, "documents"))
@@ -41,10 +52,13 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_mixing_to_weights": op3_mixing_to_weights,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_katz_backoff": op5_katz_backoff,
     "op8_token_ids_binary": op8_token_ids_binary,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_mixing_to_weights": standard_mix_sql(MIX_SHARE, MIX_EPOCHS),
+}
