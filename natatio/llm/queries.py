@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from natatio.llm.katz import katz_scores
+from natatio.llm.language import language_ids
 from natatio.llm.mixing import standard_mix, standard_mix_sql
 from natatio.llm.shared import shared_path, table
 from natatio.llm.simhash import simhash_groups
@@ -19,6 +21,12 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    found = language_ids(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "lang_family", F.col("lang_score").alias("score"))
+
+
 #: The mix asks for so much of all tokens, from so many epochs of a leaf at most.
 MIX_SHARE, MIX_EPOCHS = 0.6, 4
 
@@ -52,6 +60,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op3_mixing_to_weights": op3_mixing_to_weights,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_katz_backoff": op5_katz_backoff,
