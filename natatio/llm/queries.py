@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from natatio.llm.katz import katz_scores
 from natatio.llm.language import language_ids
+from natatio.llm.maxscore import TOP_SQL, top_inner_products
 from natatio.llm.mixing import standard_mix, standard_mix_sql
 from natatio.llm.shared import shared_path, table
 from natatio.llm.simhash import simhash_groups
@@ -47,6 +48,11 @@ def op5_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz_scores(table(spark, sf_dir, "documents"))
 
 
+def op6_maxscore_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of every 50th."""
+    return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op8_token_ids_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written to Simple-8b files and read back."""
     path = shared_path(spark, "token-ids")
@@ -64,10 +70,12 @@ QUERIES = {
     "op3_mixing_to_weights": op3_mixing_to_weights,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_katz_backoff": op5_katz_backoff,
+    "op6_maxscore_top_k": op6_maxscore_top_k,
     "op8_token_ids_binary": op8_token_ids_binary,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op6_maxscore_top_k": TOP_SQL,
     "op3_mixing_to_weights": standard_mix_sql(MIX_SHARE, MIX_EPOCHS),
 }
