@@ -43,6 +43,13 @@ def settled(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """The frame by way of a Parquet table in the shared folder: cuts lineage in less space than a checkpoint."""
+    path = shared_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def word_blocks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
     """The words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 text, in lists of bounded length.
 

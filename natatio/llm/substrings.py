@@ -7,10 +7,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from natatio.llm.shared import settled
+from natatio.llm.shared import stored
 
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -67,7 +68,18 @@ def _segments(words: list[bytes], length: int) -> tuple[Spans, np.ndarray, np.nd
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), text.cast("binary").alias("text"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.hash(text).alias("text_key"), text.cast("binary").alias("text"))
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """The rows with their texts compressed, for the way through a shuffle."""
+
+    def squeeze(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        small = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            yield batch.assign(text=[small.compress(x) for x in batch["text"]])
+
+    return rows.mapInPandas(squeeze, rows.schema)
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
@@ -87,39 +99,46 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     rows = _rows(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
-    def seed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for n, text in enumerate(batch["text"]):
-                if found := _segments(text.split(), length):
-                    spans, anchor, low, count = found
-                    out.append((np.full(len(low), n), anchor.view(np.int64), low, count, spans.of(low, low + count + length - 1).view(np.int64)))
-            if out:
-                n, anchor, low, count, span = map(np.concatenate, zip(*out))
-                yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[n], "text_key": batch["text_key"].to_numpy()[n], "anchor": anchor, "low": low, "n": count, "span": span})
-
-    segments = settled(rows.mapInPandas(seed, f"doc_id {kind}, text_key long, anchor long, low int, n int, span long"))
-    joining = segments.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
-    shared = settled(segments.join(joining, "anchor", "left_semi"))
-    kinds = settled(shared.where("doc_id is not null").groupBy("anchor", "span").agg(F.min(F.struct("doc_id", "text_key", "low", "n")).alias("first")))
-    unlike = kinds.groupBy("anchor").count().where("count > 1").select("anchor")
-    todo = kinds.join(unlike, "anchor", "left_semi")
-    texts = todo.groupBy("first.doc_id", "first.text_key").agg(F.collect_list(F.struct("anchor", "span", "first.low", "first.n")).alias("todo"))
+    def seeds(*wanted: str) -> DataFrame:
+        def seed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                out = []
+                for n, text in enumerate(batch["text"]):
+                    if found := _segments(text.split(), length):
+                        spans, anchor, low, count = found
+                        out.append((np.full(len(low), n), anchor.view(np.int64), low, count, spans.of(low, low + count + length - 1).view(np.int64)))
+                if out:
+                    n, anchor, low, count, span = map(np.concatenate, zip(*out))
+                    made = {"doc_id": batch["doc_id"].to_numpy()[n], "text_key": batch["text_key"].to_numpy()[n], "anchor": anchor, "low": low, "n": count, "span": span}
+                    yield pd.DataFrame({k: made[k] for k in wanted})
+
+        types = {"doc_id": kind, "text_key": "int", "anchor": "long", "low": "int", "n": "int", "span": "long"}
+        return rows.mapInPandas(seed, ", ".join(f"{k} {types[k]}" for k in wanted))
+
+    # A second pass over the texts is cheaper than keeping all segments, most of which aren't shared.
+    joining = seeds("doc_id", "anchor").groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
+    shared = stored(seeds("doc_id", "text_key", "anchor", "low", "n", "span").join(joining, "anchor", "left_semi"), "segments")
+    kinds = shared.where("doc_id is not null").groupBy("anchor", "span").agg(F.min(F.struct("doc_id", "text_key", "low", "n")).alias("first"))
+    several = kinds.groupBy("anchor").count().where("count > 1").select("anchor", F.lit(True).alias("unlike"))
+    kinds = stored(kinds.join(several, "anchor", "left").select("anchor", "span", "first.*", F.coalesce("unlike", F.lit(False)).alias("unlike")), "kinds")
+    texts = kinds.where("unlike").groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("anchor", "span", "low", "n")).alias("todo"))
 
     def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        whole = zstandard.ZstdDecompressor()
         for batch in batches:
             for doc_id, text, asked in zip(batch["doc_id"], batch["text"], batch["todo"]):
-                spans = Spans(text.split())
+                spans = Spans(whole.decompress(text).split())
                 low, n = (np.array([x[k] for x in asked], np.int64) for k in ("low", "n"))
                 at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                yield pd.DataFrame({"anchor": np.repeat([x["anchor"] for x in asked], n), "span": np.repeat([x["span"] for x in asked], n), "j": at - np.repeat(low, n), "window": spans.of(at, at + length).view(np.int64), "doc_id": doc_id})
-
-    extended = settled(rows.join(texts, ["doc_id", "text_key"]).select("doc_id", "text", "todo").mapInPandas(extend, f"anchor long, span long, j int, window long, doc_id {kind}"))
-    least = extended.groupBy("anchor", "window").agg(F.min("doc_id").alias("least"))
-    per_kind = extended.join(least, ["anchor", "window"]).groupBy("anchor", "span").agg(F.sort_array(F.collect_set(F.struct("j", "least"))).alias("leasts"))
-    judged = shared.join(kinds.select("anchor", "span", F.col("first.doc_id").alias("least")), ["anchor", "span"]).join(per_kind, ["anchor", "span"], "left")
-    starts = F.expr("""case when leasts is null then if(least < doc_id, sequence(low, low + n - 1), array())
-        else transform(filter(leasts, x -> x.least < doc_id), x -> low + x.j) end""")
+                anchor, span = (np.repeat([x[k] for x in asked], n) for k in ("anchor", "span"))
+                yield pd.DataFrame({"anchor": anchor, "span": span, "j": at - np.repeat(low, n), "window": spans.of(at, at + length).view(np.int64), "doc_id": doc_id})
+
+    extended = stored(_packed(rows).join(texts, ["doc_id", "text_key"]).select("doc_id", "text", "todo").mapInPandas(extend, f"anchor long, span long, j int, window long, doc_id {kind}"), "windows")
+    earlier = extended.groupBy("anchor", "window").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").select("anchor", "window", "least")
+    matched = extended.join(earlier, ["anchor", "window"]).where("least < doc_id").groupBy("anchor", "span").agg(F.map_from_entries(F.collect_set(F.struct("j", "least"))).alias("earlier"))
+    judged = shared.join(kinds.select("anchor", "span", F.col("doc_id").alias("first")), ["anchor", "span"]).join(matched, ["anchor", "span"], "left")
+    starts = F.expr("""case when earlier is null then if(first < doc_id, sequence(low, low + n - 1), array())
+        else transform(filter(sequence(0, n - 1), j -> coalesce(try_element_at(earlier, j), first) < doc_id), j -> low + j) end""")
     return judged.select("doc_id", "text_key", starts.alias("starts")).where("size(starts) > 0").groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("starts")).alias("starts"))
 
 
@@ -136,13 +155,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     rows = _rows(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = rows.join(repeats(docs, id_col, text_col, length), ["doc_id", "text_key"], "left").select("doc_id", "text", "starts")
+    found = _packed(rows).join(repeats(docs, id_col, text_col, length), ["doc_id", "text_key"], "left").select("doc_id", "text", "starts")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        whole = zstandard.ZstdDecompressor()
         for batch in batches:
             totals, gone, kept = [], [], []
             for text, starts in zip(batch["text"], batch["starts"]):
-                words = text.split()
+                words = whole.decompress(text).split()
                 totals.append(len(words))
                 if starts is not None and len(starts):
                     edge = np.zeros(len(words) + 1, np.int64)
