@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from natatio.llm.decontaminate import find_leaks
 from natatio.llm.katz import katz_scores
 from natatio.llm.language import language_ids
 from natatio.llm.maxscore import TOP_SQL, top_inner_products
@@ -65,6 +66,12 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept_digests(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a copy of a benchmark item, with its place and score."""
+    found = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "score", "first_word", "end_word")
+
+
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_mixing_to_weights": op3_mixing_to_weights,
@@ -73,6 +80,7 @@ QUERIES = {
     "op6_maxscore_top_k": op6_maxscore_top_k,
     "op8_token_ids_binary": op8_token_ids_binary,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE: dict[str, str] = {
