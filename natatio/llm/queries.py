@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from natatio.llm.cotraining import quality_scores
 from natatio.llm.decontaminate import find_leaks
 from natatio.llm.katz import katz_scores
 from natatio.llm.language import language_ids
@@ -23,6 +24,11 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How likely each document is good, by its words, by its metadata and by both."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     found = language_ids(table(spark, sf_dir, "documents"))
@@ -73,6 +79,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_cotraining": op1_quality_cotraining,
     "op2_language_id": op2_language_id,
     "op3_mixing_to_weights": op3_mixing_to_weights,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
