@@ -9,6 +9,7 @@ from natatio.llm.cotraining import quality_scores
 from natatio.llm.decontaminate import find_leaks
 from natatio.llm.katz import katz_scores
 from natatio.llm.language import language_ids
+from natatio.llm.lines import dedup_lines
 from natatio.llm.maxscore import TOP_SQL, top_inner_products
 from natatio.llm.mixing import standard_mix, standard_mix_sql
 from natatio.llm.shared import shared_path, table
@@ -60,6 +61,12 @@ def op6_maxscore_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the blocks of lines it shares with earlier ones."""
+    kept = dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_token_ids_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written to Simple-8b files and read back."""
     path = shared_path(spark, "token-ids")
@@ -85,6 +92,7 @@ QUERIES = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_katz_backoff": op5_katz_backoff,
     "op6_maxscore_top_k": op6_maxscore_top_k,
+    "op7_line_dedup": op7_line_dedup,
     "op8_token_ids_binary": op8_token_ids_binary,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontamination": op10_decontamination,
