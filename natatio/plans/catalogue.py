@@ -1,6 +1,349 @@
-"""Registered queries of the swim-results operators and their DuckDB SQL."""
+"""Registered queries of the swim-results operators and their DuckDB SQL.
+
+Swims are derived from the given tables (``fixture``), then curated by the operators; each oracle says the same in plain
+SQL over the same derived tables.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from natatio.functions import fields
+from natatio.operators import agegroups, audit, curate, views
+from natatio.plans import fixture
+from natatio.sources import lake, raw
+
+#: The fixed reference season of the derived data.
+FIXED = 2000
+
+
+class Swims:
+    """The derived tables and what is curated from them."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        fx = fixture.register(spark, sf_dir)
+        self.swims, self.meets, self.base, self.overrides, self.splits = (fx[f"fx_{n}"] for n in ("swims", "meet", "base_times", "overrides", "splits"))
+        self.raw_meets = self.meets.withColumn("venue", F.concat(F.lit("pool "), F.col("course")))
+        one = self.swims.where("ord = 0")
+        self.races = one.select("meet_id", "race_id", (F.col("race_id") % 40 + 1).alias("number"), F.concat_ws(" ", F.col("distance").cast("string"), "stroke", "gender").alias("race_name"), "distance", "stroke", "gender", "relay_count", "type")
+        c = F.col("completed_centiseconds")
+        text = F.concat((c / 6000).cast("bigint").cast("string"), F.lit(":"), F.lpad(((c % 6000) / 100).cast("bigint").cast("string"), 2, "0"), F.lit("."), F.lpad((c % 100).cast("string"), 2, "0"))
+        self.results = self.swims.select("meet_id", "race_id", F.col("ord").alias("pos"), "rank", "name", "swimmer_id", F.lit("DEN").alias("nationality"), "club", "birth_year", text.alias("completed_time"), "completed_centiseconds")
+
+    @property
+    def dim_meet(self) -> DataFrame:
+        return curate.build_dim_meet(self.raw_meets)
+
+    @property
+    def dim_race(self) -> DataFrame:
+        return curate.build_dim_race(self.races, self.overrides, self.dim_meet)
+
+    @property
+    def obt(self) -> DataFrame:
+        return curate.build_obt(self.results, self.dim_race, self.dim_meet, self.base, FIXED)
+
+    @property
+    def legacy(self) -> DataFrame:
+        """The wide table with the row's place in its race."""
+        return self.obt.withColumn("ord", F.substring_index("result_id", "-", -1).cast("bigint"))
+
+
+EVENT = "course, gender, distance, stroke"
+#: The derived and curated tables as common table expressions.
+BASE_SQL = (
+    fixture.prefix()
+    + f""", races AS (SELECT meet_id, race_id, race_id % 40 + 1 AS number, concat_ws(' ', distance, stroke, gender) AS race_name,
+    distance, stroke, gender, relay_count, type FROM fx_swims WHERE ord = 0),
+named AS (SELECT *, bool_or(type IN ('Heats', 'Final')) OVER (PARTITION BY meet_id, race_name) AS elsewhere FROM races),
+dim_meet AS (SELECT meet_id, meet_name, 'pool ' || course AS venue, meet_date, category, season, course FROM fx_meet),
+classed AS (SELECT n.*, coalesce(o.class, CASE WHEN n.type = 'Timed final' AND n.elsewhere THEN 'para' ELSE 'open' END) AS class
+    FROM named n LEFT JOIN fx_overrides o ON n.meet_id = o.meet_id AND n.race_id = o.race_id),
+dim_race AS (SELECT race_id, c.meet_id, number, race_name, distance, stroke, gender, relay_count, type, class, season, course
+    FROM classed c JOIN dim_meet m ON c.meet_id = m.meet_id),
+swum AS (SELECT s.result_id, s.race_id, s.meet_id, s.rank, s.name, s.swimmer_id, 'DEN' AS nationality, s.club, s.birth_year,
+    CASE WHEN s.completed_centiseconds IS NOT NULL THEN concat(s.completed_centiseconds // 6000, ':', lpad(CAST(s.completed_centiseconds % 6000 // 100 AS VARCHAR), 2, '0'),
+        '.', lpad(CAST(s.completed_centiseconds % 100 AS VARCHAR), 2, '0')) END AS completed_time,
+    s.completed_centiseconds, r.season, r.course, m.meet_name, m.venue, m.meet_date, r.number, r.race_name, r.distance, r.stroke, r.gender, r.relay_count, r.type, r.class,
+    CASE r.stroke WHEN 'Fri' THEN 'FREE' WHEN 'Ryg' THEN 'BACK' WHEN 'Bryst' THEN 'BREAST' WHEN 'Fly' THEN 'FLY' ELSE 'MEDLEY' END AS base_stroke
+    FROM fx_swims s JOIN dim_race r ON s.race_id = r.race_id AND s.meet_id = r.meet_id JOIN dim_meet m ON s.meet_id = m.meet_id),
+based AS (SELECT s.*, b.basetime_in_sec AS base, f.basetime_in_sec AS base_fixed FROM swum s
+    LEFT JOIN fx_base_times b ON b.season = s.season AND b.course = s.course AND b.gender = s.gender AND b.relay_count = s.relay_count AND b.distance = s.distance AND b.stroke = s.base_stroke
+    LEFT JOIN fx_base_times f ON f.season = {FIXED} AND f.course = s.course AND f.gender = s.gender AND f.relay_count = s.relay_count AND f.distance = s.distance AND f.stroke = s.base_stroke),
+pts AS (SELECT *, CAST(trunc(1000.0::DOUBLE * pow(base / (completed_centiseconds::DOUBLE / 100.0::DOUBLE), 3.0::DOUBLE)) AS BIGINT) AS any_points,
+    CAST(trunc(1000.0::DOUBLE * pow(base_fixed / (completed_centiseconds::DOUBLE / 100.0::DOUBLE), 3.0::DOUBLE)) AS BIGINT) AS any_fixed FROM based),
+obt AS (SELECT * EXCLUDE (base, base_fixed, base_stroke, any_points, any_fixed), CASE WHEN class <> 'para' AND coalesce(rank, 0) <> -1 THEN any_points END AS points,
+    CASE WHEN class <> 'para' AND coalesce(rank, 0) <> -1 THEN any_fixed END AS points_fixed FROM pts),
+res AS (SELECT *, season - birth_year AS age, relay_count > 1 AS is_relay, rank = -1 AS is_dq,
+    CASE type WHEN 'Heats' THEN 'heats' WHEN 'Final' THEN 'final' ELSE 'timed_final' END AS phase,
+    gender || ' ' || distance || 'm ' || stroke || ' (' || course || ')' AS event FROM obt),
+ind AS (SELECT * FROM res WHERE NOT is_relay AND NOT is_dq AND swimmer_id IS NOT NULL),
+cat AS (SELECT i.*, c.category FROM ind i JOIN (SELECT meet_id, unnest(category) AS category FROM dim_meet) c ON i.meet_id = c.meet_id),
+prelim AS (SELECT category, season, {EVENT}, result_id, swimmer_id, completed_centiseconds,
+    row_number() OVER (PARTITION BY category, season, {EVENT} ORDER BY completed_centiseconds, result_id) AS heat_rank
+    FROM cat WHERE phase = 'heats' AND completed_centiseconds IS NOT NULL),
+aged AS (SELECT *, CASE gender WHEN 'F' THEN age + 1 WHEN 'M' THEN age END AS lvl FROM res),
+grp AS (SELECT *, CASE WHEN lvl BETWEEN 13 AND 15 THEN 'Y' || (lvl - 12) WHEN lvl BETWEEN 16 AND 18 THEN 'J' || (lvl - 15)
+    WHEN lvl BETWEEN 19 AND 21 THEN 'S' || (lvl - 18) WHEN lvl > 21 THEN 'S' ELSE '-' END AS age_group FROM aged)
+"""
+)
+OBT = "result_id, race_id, meet_id, rank, name, swimmer_id, nationality, club, birth_year, completed_time, completed_centiseconds, points, points_fixed, season, course, meet_name, venue, meet_date, number, race_name, distance, stroke, gender, relay_count, type, class"
+FACT = ", ".join(curate.FACT_COLUMNS)
+RESULTS = OBT + ", age, is_relay, is_dq, phase, event"
+
+
+def _best_sql(keys: str) -> str:
+    at = lambda x: f"arg_min({x}, row(completed_centiseconds, meet_date, result_id)) FILTER (WHERE {x} IS NOT NULL AND completed_centiseconds IS NOT NULL)"
+    return f"SELECT swimmer_id, {EVENT}{keys}, min(name) AS name, min(completed_centiseconds) AS best_cs, {at('completed_time')} AS best_time, {at('meet_id')} AS meet_id, {at('points')} AS points, {at('points_fixed')} AS points_fixed FROM ind GROUP BY ALL"
+
+
+def _rank_sql(keys: str, by: str, name: str) -> str:
+    return f"SELECT {keys}, result_id, swimmer_id, name, club, {by}, rank() OVER (PARTITION BY {keys} ORDER BY {by} DESC) AS {name} FROM ind WHERE {by} IS NOT NULL"
+
+
+def _age_rank_sql(columns: str) -> str:
+    return f"""SELECT {columns}, CASE WHEN own = 1 AND ok THEN row_number() OVER (PARTITION BY meet_id, number, age_group, own = 1 AND ok ORDER BY points DESC NULLS LAST, result_id) ELSE 0 END AS age_rank
+    FROM (SELECT *, row_number() OVER (PARTITION BY meet_id, number, age_group, name, ok ORDER BY points DESC NULLS LAST, result_id) AS own
+        FROM (SELECT *, coalesce(relay_count = 1 AND rank >= 1, false) AS ok FROM grp))"""
+
+
+def _override_rows(x: Swims) -> tuple[DataFrame, DataFrame]:
+    change = x.overrides.where("race_id % 5 = 0").select("meet_id", "race_id", F.lit("open").alias("class"))
+    new = x.races.where("race_id % 47 = 1").select("meet_id", "race_id", F.lit("para").alias("class"))
+    return x.overrides, change.unionByName(new)
+
+
+def _legacy_base(x: Swims) -> DataFrame:
+    """Youth base times are a twentieth slower."""
+    senior = x.base.withColumn("age_group", F.lit("senior"))
+    return senior.unionByName(x.base.withColumns({"age_group": F.lit("youth"), "basetime_in_sec": F.col("basetime_in_sec") * 1.05}))
+
+
+def _legacy_rows(x: Swims) -> DataFrame:
+    category = F.when(F.substring("meet_id", 6, 1).cast("int") % 2 == 0, F.array(F.lit("DMY"))).otherwise(F.array(F.lit("DO")))
+    return x.legacy.select("result_id", "season", "course", "gender", "relay_count", "distance", "stroke", "completed_centiseconds", category.alias("category"))
+
+
+def _registry(x: Swims) -> DataFrame:
+    month = F.substring("meet_id", 5, 2).cast("int")
+    status = F.element_at(F.array(*map(F.lit, ("pending", "failed", "scraping", "done"))), (month % 4 + 1))
+    return x.meets.select("meet_id", F.last_day("meet_date").alias("end_date"), status.alias("status"), (month % 5).alias("attempts"), F.when(month % 3 == 0, F.lit(12)).alias("grace_hours"), F.when(month % 5 == 0, F.lit(48)).alias("deadline_hours"), F.when(month != 6, F.to_timestamp("meet_date") + F.make_dt_interval(hours=month)).alias("claimed_at"))
+
+
+_REGISTRY_SQL = """, m AS (SELECT *, CAST(substr(meet_id, 5, 2) AS INT) AS mo2 FROM fx_meet),
+registry AS (SELECT meet_id, last_day(meet_date) AS end_date, ['pending', 'failed', 'scraping', 'done'][mo2 % 4 + 1] AS status, mo2 % 5 AS attempts,
+    CASE WHEN mo2 % 3 = 0 THEN 12 END AS grace_hours, CASE WHEN mo2 % 5 = 0 THEN 48 END AS deadline_hours,
+    CASE WHEN mo2 <> 6 THEN CAST(meet_date AS TIMESTAMP) + to_hours(mo2) END AS claimed_at FROM m)"""
+NOW = "timestamp'1995-06-20 12:00:00'"
+
+
+def _lines(x: Swims) -> DataFrame:
+    """Raw lines of the meets, some with a file missing."""
+    meet, even = F.col("meet_id"), F.substring("meet_id", 6, 1).cast("int") % 3 != 0
+    info = x.meets.select(meet, F.lit("meet_info").alias("file"), F.col("meet_name").alias("line"))
+    races = x.races.select(meet, F.lit("races").alias("file"), F.col("race_id").cast("string").alias("line"))
+    results = x.results.where(even).select(meet, F.lit("results").alias("file"), F.coalesce("name", F.lit(" ")).alias("line"))
+    return info.union(races).union(results)
+
+
+_LINES_SQL = """, lines AS (SELECT meet_id, 'meet_info' AS file, meet_name AS line FROM fx_meet UNION ALL SELECT meet_id, 'races', CAST(race_id AS VARCHAR) FROM races
+    UNION ALL SELECT meet_id, 'results', coalesce(name, ' ') FROM fx_swims WHERE CAST(substr(meet_id, 6, 1) AS INT) % 3 <> 0),
+whole AS (SELECT meet_id, count(*) FILTER (WHERE file = 'races') AS races, count(*) FILTER (WHERE file = 'results' AND trim(line) <> '') AS results,
+    count(*) FILTER (WHERE file = 'meet_info') > 0 AND count(*) FILTER (WHERE file = 'races') > 0 AND count(*) FILTER (WHERE file = 'results') > 0 AS complete FROM lines GROUP BY meet_id)"""
+
+
+def _orders(x: Swims) -> DataFrame:
+    return x.spark.read.parquet(f"{x.sf_dir}/orders.parquet")
+
+
+def _times(x: Swims) -> DataFrame:
+    """Times as pages show them, from the prices of orders."""
+    cents = F.floor(F.col("o_totalprice")).cast("bigint") % 100000
+    k = F.col("o_orderkey") % 6
+    second, hundredth = F.lpad((cents % 6000 / 100).cast("bigint").cast("string"), 2, "0"), F.lpad((cents % 100).cast("string"), 2, "0")
+    text = F.when(k == 0, "DSQ").when(k == 1, F.concat(second, F.lit("."), hundredth)).when(k == 2, F.concat(second, F.lit(","), F.substring(hundredth, 1, 1))).otherwise(F.concat((cents / 6000).cast("bigint").cast("string"), F.lit(":"), second, F.lit("."), hundredth))
+    return _orders(x).select(F.col("o_orderkey"), text.alias("text"))
+
+
+_TIMES_SQL = """WITH c AS (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) % 100000 AS cents FROM orders),
+d AS (SELECT *, lpad(CAST(cents % 6000 // 100 AS VARCHAR), 2, '0') AS s, lpad(CAST(cents % 100 AS VARCHAR), 2, '0') AS h FROM c),
+t AS (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 'DSQ' WHEN 1 THEN s || '.' || h WHEN 2 THEN s || ',' || substr(h, 1, 1) ELSE (cents // 6000) || ':' || s || '.' || h END AS text,
+    CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN CAST(s AS BIGINT) * 100 + CAST(h AS BIGINT) WHEN 2 THEN CAST(s AS BIGINT) * 100 + CAST(substr(h, 1, 1) AS BIGINT) * 10
+        ELSE (cents // 6000) * 6000 + CAST(s AS BIGINT) * 100 + CAST(h AS BIGINT) END AS cs FROM d)
+SELECT o_orderkey, text, cs, cs / 100.0::DOUBLE AS seconds FROM t"""
+
+
+def _dates(x: Swims) -> DataFrame:
+    date = F.col("o_orderdate").cast("date")
+    name = F.element_at(F.array(*map(F.lit, fields.MONTHS)), F.month(date))
+    text = F.when(F.col("o_orderkey") % 7 == 0, date.cast("string")).otherwise(F.concat(F.day(date).cast("string"), F.lit(". "), F.initcap(name), F.lit(" "), F.year(date).cast("string")))
+    return _orders(x).select("o_orderkey", text.alias("text"))
+
+
+_MONTH_LIST = "[" + ", ".join(f"'{m}'" for m in fields.MONTHS) + "]"
+_DATES_SQL = f"""WITH d AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, {_MONTH_LIST}[month(o_orderdate)] AS m FROM orders),
+t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN CAST(day AS VARCHAR) ELSE day(day) || '. ' || upper(substr(m, 1, 1)) || substr(m, 2) || ' ' || year(day) END AS text,
+    CASE WHEN o_orderkey % 7 <> 0 THEN day END AS day FROM d)
+SELECT o_orderkey, text, day, CAST(year(day) + CASE WHEN month(day) > 7 THEN 1 ELSE 0 END AS BIGINT) AS season, CAST(year(day) + CASE WHEN month(day) > 8 THEN 1 ELSE 0 END AS BIGINT) AS legacy_season FROM t"""
+
+
+def _events(x: Swims) -> DataFrame:
+    k = F.col("o_orderkey")
+    pick = lambda values, by: F.element_at(F.array(*map(F.lit, values)), (by % len(values) + 1).cast("int"))
+    stroke, gender = pick(("Fri", "Ryg", "Bryst", "Fly", "IM"), k), pick(("Herrer", "Damer", "Mix"), k)
+    distance = F.concat((k % 9 + 1).cast("string"), F.lit("00"))
+    name = F.when(k % 11 == 0, "Pause").when(k % 4 == 0, F.concat(F.lit("4 x "), distance, F.lit(" "), stroke, F.lit(" - "), gender)).when(k % 13 == 0, F.concat(F.lit("1.500 "), stroke, F.lit(" - "), gender)).otherwise(F.concat(distance, F.lit(" "), stroke, F.lit(" - "), gender))
+    heading = F.concat(pick(("Direkte finale", "Finale A", "Indledende heat", "Swim-off 1", "Andet"), k), F.lit(""))
+    url = F.concat(F.lit("https://example.org/race?x=1&id="), k.cast("string"))
+    return _orders(x).select(k, url.alias("url"), (k % 50).cast("string").alias("number"), name.alias("name"), heading.alias("heading"))
+
+
+_EVENTS_SQL = """WITH k AS (SELECT o_orderkey AS k, ['Fri', 'Ryg', 'Bryst', 'Fly', 'IM'][o_orderkey % 5 + 1] AS stroke, ['Herrer', 'Damer', 'Mix'][o_orderkey % 3 + 1] AS g,
+    (o_orderkey % 9 + 1) * 100 AS distance FROM orders)
+SELECT k AS race_id, CAST(k % 50 AS BIGINT) AS number, CASE WHEN k % 11 = 0 THEN 'Pause' WHEN k % 4 = 0 THEN '4 x ' || distance || ' ' || stroke || ' - ' || g
+        WHEN k % 13 = 0 THEN '1.500 ' || stroke || ' - ' || g ELSE distance || ' ' || stroke || ' - ' || g END AS name,
+    CASE WHEN k % 11 = 0 THEN NULL WHEN k % 4 <> 0 AND k % 13 = 0 THEN 1500 ELSE distance END AS distance, CASE WHEN k % 11 <> 0 THEN stroke END AS stroke,
+    CASE WHEN k % 11 <> 0 THEN ['M', 'F', 'X'][k % 3 + 1] END AS gender, CAST(CASE WHEN k % 11 <> 0 AND k % 4 = 0 THEN 4 ELSE 1 END AS BIGINT) AS relay_count,
+    ['Timed final', 'Final', 'Heats', 'Swim-off', 'Andet'][k % 5 + 1] AS type FROM k"""
+
+
+def _cells(x: Swims) -> DataFrame:
+    k = F.col("o_orderkey")
+    return _orders(x).select(
+        k,
+        F.when(k % 10 == 0, "DSQ").when(k % 10 == 1, "-").otherwise((k % 10).cast("string")).alias("rank_text"),
+        F.when(k % 4 == 0, "relay.html").otherwise(F.concat(F.lit("swimmer.html?"), F.col("o_custkey").cast("string"))).alias("href"),
+        F.when(k % 6 != 0, F.concat(F.lit("/flags/"), F.when(k % 2 == 0, "den").otherwise("swe"), F.lit(".png"))).alias("flag"),
+        F.when(k % 7 == 0, "?").otherwise((1980 + k % 30).cast("string")).alias("birth_text"),
+        F.lit("1:02.48").alias("time_text"),
+        F.when(k % 2 == 0, "Bane 50m").when(k % 3 == 0, "25m").otherwise("hav").alias("pool"),
+        F.concat_ws(", ", F.lit("DM"), F.when(k % 3 == 0, "DO  DMJ")).alias("categories"),
+    )
+
+
+_CELLS_SQL = """WITH k AS (SELECT o_orderkey AS k, o_custkey FROM orders)
+SELECT k AS o_orderkey, '1:02.48' AS time_text, CASE WHEN k % 10 = 0 THEN -1 WHEN k % 10 > 1 THEN k % 10 END AS rank, CASE WHEN k % 4 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS swimmer_id,
+    CASE WHEN k % 6 = 0 THEN 'UNK' WHEN k % 2 = 0 THEN 'DEN' ELSE 'SWE' END AS nationality, CASE WHEN k % 7 <> 0 THEN CAST(1980 + k % 30 AS BIGINT) END AS birth_year, CAST(6248 AS BIGINT) AS completed_centiseconds,
+    CASE WHEN k % 2 = 0 THEN 'LCM' WHEN k % 3 = 0 THEN 'SCM' ELSE 'UNK' END AS course, CASE WHEN k % 3 = 0 THEN 'DM+DO+DMJ' ELSE 'DM' END AS categories FROM k"""
+
+
+def _result_fields(x: Swims) -> DataFrame:
+    cells = fields.standardize_results(_cells(x))
+    return cells.select("o_orderkey", "time_text", "rank", "swimmer_id", "nationality", "birth_year", "completed_centiseconds", fields.course_code(F.col("pool")).alias("course"), F.array_join(fields.split_categories(F.col("categories")), "+").alias("categories"))
+
+
+def _base_text(x: Swims) -> DataFrame:
+    """Base times with their text; every 37th text is a second off."""
+    cs = F.round(F.col("basetime_in_sec") * 100).cast("bigint") + F.when(F.col("distance") % 350 == 0, 100).otherwise(0)
+    text = F.concat((cs / 100).cast("bigint").cast("string"), F.lit("."), F.lpad((cs % 100).cast("string"), 2, "0"))
+    return x.base.withColumn("basetime", text)
+
+
+def _union(x: Swims) -> DataFrame:
+    official = x.base.where("season >= 1996")
+    return curate.build_base_times(official, x.base.withColumn("basetime_in_sec", F.col("basetime_in_sec") + 1))
+
+
+_UNION_SQL = """, joined AS (SELECT season, course, gender, relay_count, distance, stroke, CASE WHEN season >= 1996 THEN basetime_in_sec ELSE basetime_in_sec + 1 END AS basetime_in_sec,
+    CASE WHEN season >= 1996 THEN 'official' ELSE 'legacy' END AS source FROM fx_base_times)"""
+_STANDARD = f"""SELECT category, season, {EVENT}, count(*) AS swims, min(completed_centiseconds) AS best_cs, quantile_cont(completed_centiseconds, 0.25) AS p25_cs,
+    quantile_cont(completed_centiseconds, 0.5) AS median_cs, quantile_cont(completed_centiseconds, 0.75) AS p75_cs, avg(completed_centiseconds) FILTER (WHERE r <= 8) AS top8_avg_cs
+    FROM (SELECT *, rank() OVER (PARTITION BY category, season, {EVENT} ORDER BY completed_centiseconds) AS r FROM cat WHERE completed_centiseconds IS NOT NULL) GROUP BY ALL"""
+_PACING = f"""SELECT h.*, swimmer_id, season, {EVENT} FROM (SELECT result_id, CAST(max(n) AS BIGINT) AS laps, CAST(sum(split_centiseconds) FILTER (WHERE lap <= n // 2) AS BIGINT) AS first_half_cs,
+    CAST(sum(split_centiseconds) FILTER (WHERE lap > n // 2) AS BIGINT) AS second_half_cs,
+    CAST(sum(split_centiseconds) FILTER (WHERE lap > n // 2) - sum(split_centiseconds) FILTER (WHERE lap <= n // 2) AS BIGINT) AS delta_cs,
+    sum(split_centiseconds) FILTER (WHERE lap > n // 2) < sum(split_centiseconds) FILTER (WHERE lap <= n // 2) AS negative_split
+    FROM (SELECT *, row_number() OVER (PARTITION BY result_id ORDER BY cumulative_centiseconds) AS lap, count(*) OVER (PARTITION BY result_id) AS n FROM fx_splits WHERE split_centiseconds IS NOT NULL)
+    GROUP BY result_id) h JOIN ind USING (result_id)"""
+_IMPROVERS = f"""SELECT swimmer_id, {EVENT}, season, name, last_season, last_cs - best_cs AS cs_dropped, best_points - last_points AS points_gained FROM
+    (SELECT *, lag(season) OVER w AS last_season, lag(best_cs) OVER w AS last_cs, lag(best_points) OVER w AS last_points FROM
+        (SELECT swimmer_id, {EVENT}, season, min(name) AS name, min(completed_centiseconds) AS best_cs, max(points) AS best_points FROM ind GROUP BY ALL)
+    WINDOW w AS (PARTITION BY swimmer_id, {EVENT} ORDER BY season)) WHERE last_season IS NOT NULL"""
+_SINGLE = "swimmer_id IS NOT NULL AND points IS NOT NULL"
+_LEGACY = f""", lb AS (SELECT *, 'senior' AS age_group FROM fx_base_times UNION ALL SELECT season, course, gender, relay_count, distance, stroke, basetime_in_sec * 1.05::DOUBLE, 'youth' FROM fx_base_times),
+lr AS (SELECT *, coalesce(course = 'SCM' AND CAST(substr(meet_id, 6, 1) AS INT) % 2 = 0 AND relay_count = 1, false) AS youth,
+    CASE stroke WHEN 'Fri' THEN 'FREE' WHEN 'Ryg' THEN 'BACK' WHEN 'Bryst' THEN 'BREAST' WHEN 'Fly' THEN 'FLY' ELSE 'MEDLEY' END AS base_stroke FROM obt)
+SELECT lr.result_id, CASE WHEN youth THEN 'youth' ELSE 'senior' END AS age_group,
+    coalesce(CAST(trunc(1000.0::DOUBLE * pow(b.basetime_in_sec / (completed_centiseconds::DOUBLE / 100.0::DOUBLE), 3.0::DOUBLE)) AS BIGINT), 0) AS points,
+    coalesce(CAST(trunc(1000.0::DOUBLE * pow(f.basetime_in_sec / (completed_centiseconds::DOUBLE / 100.0::DOUBLE), 3.0::DOUBLE)) AS BIGINT), 0) AS points_fixed
+    FROM lr LEFT JOIN lb b ON b.age_group = CASE WHEN youth THEN 'youth' ELSE 'senior' END AND b.season = CASE WHEN youth THEN 1996 ELSE lr.season END AND b.course = lr.course AND b.gender = lr.gender
+        AND b.relay_count = lr.relay_count AND b.distance = lr.distance AND b.stroke = lr.base_stroke
+    LEFT JOIN lb f ON f.age_group = 'senior' AND f.season = {FIXED} AND f.course = lr.course AND f.gender = lr.gender AND f.relay_count = lr.relay_count AND f.distance = lr.distance AND f.stroke = lr.base_stroke"""
+
+_DEFINED = {
+    "results_base": (lambda x: views.results(x.obt), f"SELECT {RESULTS} FROM res"),
+    "individual_results": (lambda x: views.individual_results(x.obt), f"SELECT {RESULTS} FROM ind"),
+    "personal_best": (lambda x: views.personal_best(x.obt), _best_sql("")),
+    "season_best": (lambda x: views.season_best(x.obt), _best_sql(", season")),
+    "event_leaderboard": (lambda x: views.event_leaderboard(x.obt), _rank_sql(f"season, {EVENT}", "points", "points_rank")),
+    "swimmer_progression": (lambda x: views.swimmer_progression(x.obt), f"SELECT swimmer_id, {EVENT}, season, meet_date, result_id, completed_centiseconds, points, completed_centiseconds - lag(completed_centiseconds) OVER w AS delta_cs, points - lag(points) OVER w AS delta_points FROM ind WINDOW w AS (PARTITION BY swimmer_id, {EVENT} ORDER BY meet_date, result_id)"),
+    "cross_era_best": (lambda x: views.cross_era_best(x.obt), _rank_sql(EVENT, "points_fixed", "era_rank")),
+    "biggest_improvers": (lambda x: views.biggest_improvers(x.obt), _IMPROVERS),
+    "club_leaderboard": (lambda x: views.club_leaderboard(x.obt), "SELECT club, season, count(*) AS swims, count(DISTINCT swimmer_id) AS swimmers, count(*) FILTER (WHERE rank BETWEEN 1 AND 3) AS podiums, CAST(sum(points) AS BIGINT) AS total_points, max(points) AS best_points FROM ind GROUP BY ALL"),
+    "age_group_ranking": (lambda x: views.age_group_ranking(x.obt), f"SELECT season, {EVENT}, age_band, result_id, swimmer_id, age, completed_centiseconds, rank() OVER (PARTITION BY season, {EVENT}, age_band ORDER BY completed_centiseconds) AS band_rank FROM (SELECT *, CASE WHEN age <= 12 THEN '12-' WHEN age <= 14 THEN '13-14' WHEN age <= 16 THEN '15-16' WHEN age <= 18 THEN '17-18' ELSE '19+' END AS age_band FROM ind WHERE age IS NOT NULL AND completed_centiseconds IS NOT NULL)"),
+    "meet_summary": (lambda x: views.meet_summary(x.obt), f"SELECT meet_id, meet_name, season, course, count(*) AS results, count(DISTINCT race_id) AS races, count(DISTINCT swimmer_id) AS swimmers, max(points) FILTER (WHERE {_SINGLE}) AS top_points, arg_max(swimmer_id, row(points, result_id)) FILTER (WHERE {_SINGLE}) AS top_swimmer FROM obt GROUP BY ALL"),
+    "pacing": (lambda x: views.pacing(x.splits.drop("season", "course", "distance", "race_id"), x.obt), _PACING),
+    "results_by_category": (lambda x: views.results_by_category(x.obt, x.dim_meet), f"SELECT {RESULTS}, category FROM cat"),
+    "event_standard_by_season": (lambda x: views.event_standard_by_season(x.obt, x.dim_meet), _STANDARD),
+    "prelim_ranked": (lambda x: views.prelim_ranked(x.obt, x.dim_meet), "SELECT * FROM prelim"),
+    "final_cutline": (lambda x: views.final_cutline_by_season(x.obt, x.dim_meet), f"SELECT category, season, {EVENT}, completed_centiseconds AS cutline_cs FROM prelim WHERE heat_rank = 8"),
+    "cutline_at_6": (lambda x: views.cutline_at(x.obt, x.dim_meet, 6), f"SELECT category, season, {EVENT}, completed_centiseconds AS cutline_cs FROM prelim WHERE heat_rank = 6"),
+    "classify_races": (lambda x: curate.classify_races(x.races, x.overrides).select("meet_id", "race_id", "race_name", "type", "class"), "SELECT meet_id, race_id, race_name, type, class FROM classed"),
+    "result_ids": (lambda x: curate.assign_result_ids(x.results).select("meet_id", "race_id", "pos", "result_id"), "SELECT meet_id, race_id, ord AS pos, result_id FROM fx_swims"),
+    "dim_meet": (lambda x: x.dim_meet.withColumn("category", F.array_join("category", ",")), "SELECT * REPLACE (array_to_string(category, ',') AS category) FROM dim_meet"),
+    "dim_race": (lambda x: x.dim_race, "SELECT * FROM dim_race"),
+    "fact_result_points": (lambda x: curate.build_fact_result(x.obt), f"SELECT {FACT} FROM obt"),
+    "fact_split": (lambda x: curate.build_fact_split(_nested(x), x.dim_meet), "SELECT l.result_id, l.race_id, s.meet_id, l.distance, l.split_centiseconds, l.cumulative_centiseconds, l.season, l.course FROM fx_splits l JOIN fx_swims s ON l.result_id = s.result_id"),
+    "obt": (lambda x: x.obt, f"SELECT {OBT} FROM obt"),
+    "points_coverage": (lambda x: curate.points_coverage(x.obt.drop("points", "points_fixed"), x.base, FIXED), "SELECT meet_id, count(*) AS results, count(p) AS scored, count(p)::DOUBLE / count(*) AS coverage FROM (SELECT meet_id, CASE WHEN coalesce(rank, 0) <> -1 THEN any_points END AS p FROM pts) GROUP BY ALL"),
+    "base_time_union": (_union, _UNION_SQL + " SELECT * FROM joined"),
+    "base_time_mismatch": (lambda x: curate.base_time_mismatch(_base_text(x), fields.base_seconds(F.col("basetime"))).select("season", *curate.EVENT_KEYS), "SELECT season, course, gender, relay_count, distance, stroke FROM fx_base_times WHERE distance % 350 = 0"),
+    "base_time_summary": (lambda x: curate.base_time_summary(_union(x)), _UNION_SQL + " SELECT source, count(*) AS n, min(season) AS first_season, max(season) AS last_season, count(DISTINCT season) AS seasons FROM joined GROUP BY source"),
+    "legacy_points": (lambda x: curate.legacy_points(_legacy_rows(x), _legacy_base(x), 1996, FIXED).select("result_id", "age_group", "points", "points_fixed"), _LEGACY),
+    "age_groups": (lambda x: agegroups.assign_age_group(x.legacy).select("result_id", "gender", "birth_year", "season", "age_group"), "SELECT result_id, gender, birth_year, season, age_group FROM grp"),
+    "age_group_rank": (lambda x: agegroups.age_group_rank(x.legacy).select("result_id", "meet_id", "number", "age_group", "age_rank"), _age_rank_sql("result_id, meet_id, number, age_group")),
+    "group_ranking_j2": (lambda x: agegroups.group_ranking(x.legacy, "J2"), f"SELECT meet_id, number, age_rank, name, club, points, result_id FROM ({_age_rank_sql('meet_id, number, age_group, name, club, points, result_id')}) WHERE age_group = 'J2' AND age_rank > 0"),
+    "append_category": (lambda x: agegroups.append_category(x.dim_meet, x.meets.where("meet_id % 2 = 0").select("meet_id", F.lit("DMJ").alias("added"))).select("meet_id", F.array_join("category", ",").alias("category")), "SELECT meet_id, array_to_string(CASE WHEN CAST(meet_id AS INT) % 2 <> 0 THEN category WHEN list_contains(coalesce(category, []), 'DMJ') THEN category ELSE list_append(coalesce(category, []), 'DMJ') END, ',') AS category FROM dim_meet"),
+    "corrections": (lambda x: agegroups.apply_corrections(x.dim_meet, x.meets.where("season % 2 = 0").select("meet_id", F.when(F.col("meet_id") % 3 == 0, F.col("meet_date")).otherwise(F.lit("1900-01-01").cast("date")).alias("old"), F.date_add("meet_date", 7).alias("new")), "meet_id", "meet_date").select("meet_id", "meet_date"), "SELECT meet_id, CASE WHEN season % 2 = 0 AND CAST(meet_id AS INT) % 3 = 0 THEN meet_date + 7 ELSE meet_date END AS meet_date FROM dim_meet"),
+    "finals_report": (lambda x: agegroups.finals_report(x.legacy, x.dim_meet, "DM-L", "LCM"), "SELECT meet_id, season, gender, stroke, distance, rank, name, points, result_id FROM obt WHERE type LIKE 'Final%' AND relay_count = 1 AND rank >= 1 AND meet_id IN (SELECT meet_id FROM dim_meet WHERE list_contains(category, 'DM-L') AND course = 'LCM')"),
+    "event_catalogue": (lambda x: agegroups.event_catalogue(x.legacy, x.dim_meet, "DO"), "SELECT DISTINCT gender, stroke, distance FROM obt WHERE meet_id IN (SELECT meet_id FROM dim_meet WHERE list_contains(category, 'DO'))"),
+    "participants_per_group": (lambda x: agegroups.participants_per_group(x.legacy), "SELECT season, age_group, count(DISTINCT swimmer_id) AS participants FROM grp WHERE swimmer_id IS NOT NULL GROUP BY ALL"),
+    "unscored_audit": (lambda x: agegroups.unscored_audit(x.legacy), "SELECT meet_id, race_id, count(*) AS unscored FROM obt WHERE coalesce(points, 0) = 0 AND rank >= 1 GROUP BY ALL"),
+    "youngest_cohort": (lambda x: agegroups.youngest_cohort(x.legacy), "SELECT season, gender, birth_year, result_id, swimmer_id, points FROM (SELECT *, max(birth_year) OVER (PARTITION BY season, gender) AS m FROM obt) WHERE birth_year = m"),
+    "gender_counts": (lambda x: agegroups.gender_counts(x.legacy), "SELECT gender, count(*) AS n, max(points) AS best_points, count(DISTINCT swimmer_id) AS swimmers FROM obt GROUP BY gender"),
+    "semi_count": (lambda x: agegroups.results_in_races(x.legacy, x.dim_race.where("class = 'para'")), "SELECT count(*) AS n FROM obt WHERE race_id IN (SELECT race_id FROM dim_race WHERE class = 'para')"),
+    "keep_last": (lambda x: agegroups.keep_last(x.legacy).select("race_id", "name", "birth_year", "club", "ord", "result_id"), "SELECT race_id, name, birth_year, club, ord, result_id FROM (SELECT *, CAST(split_part(result_id, '-', 2) AS BIGINT) AS ord, row_number() OVER (PARTITION BY race_id, name, birth_year, club ORDER BY CAST(split_part(result_id, '-', 2) AS BIGINT) DESC) AS n FROM obt) WHERE n = 1"),
+    "append_if_absent": (lambda x: lake.append_if_absent(x.dim_race.where("race_id % 3 = 0"), x.dim_race.where("race_id % 2 = 0").withColumn("class", F.lit("new")), ["meet_id", "number", "type"]).groupBy("class", "season").agg(F.count("*").alias("n")), "SELECT class, season, count(*) AS n FROM (SELECT class, season FROM dim_race WHERE race_id % 3 = 0 UNION ALL SELECT 'new', season FROM (SELECT DISTINCT ON (meet_id, number, type) * FROM dim_race WHERE race_id % 2 = 0) d WHERE NOT EXISTS (SELECT 1 FROM dim_race t WHERE t.race_id % 3 = 0 AND t.meet_id = d.meet_id AND t.number = d.number AND t.type = d.type)) GROUP BY ALL"),
+    "delete_meet": (lambda x: lake.without_meet(x.obt, x.meets.where("season % 3 = 0")), f"SELECT {OBT} FROM obt WHERE meet_id NOT IN (SELECT meet_id FROM fx_meet WHERE season % 3 = 0)"),
+    "upsert_override": (lambda x: raw.upsert_override(*_override_rows(x)), "SELECT meet_id, race_id, CASE WHEN race_id % 5 = 0 THEN 'open' ELSE class END AS class FROM fx_overrides WHERE race_id % 47 <> 1 UNION ALL SELECT meet_id, race_id, 'para' FROM races WHERE race_id % 47 = 1"),
+    "raw_completeness": (lambda x: audit.raw_completeness(_lines(x)), _LINES_SQL + " SELECT * FROM whole"),
+    "due_meets": (lambda x: audit.due_meets(_registry(x), F.expr(NOW)).select("meet_id", "status", "action"), _REGISTRY_SQL + f""", due AS (SELECT *, timezone('Europe/Copenhagen', CAST(end_date AS TIMESTAMP) + INTERVAL 1439 MINUTE + to_hours(coalesce(grace_hours, 6))) AS a,
+        timezone('Europe/Copenhagen', CAST(end_date AS TIMESTAMP) + INTERVAL 1439 MINUTE + to_hours(coalesce(deadline_hours, 72))) AS d, timezone('UTC', {NOW}) AS n FROM registry WHERE status = 'pending' OR (status = 'failed' AND attempts < 3))
+        SELECT meet_id, status, CASE WHEN n < a THEN 'skip' WHEN n < d THEN 'check' ELSE 'deadline' END AS action FROM due"""),
+    "stale_claims": (lambda x: audit.stale_claims(_registry(x), audit.raw_completeness(_lines(x)), F.expr(NOW)).select("meet_id", "outcome"), _LINES_SQL + _REGISTRY_SQL + f" SELECT r.meet_id, CASE WHEN coalesce(w.complete, false) THEN 'reconciled' ELSE 'reclaimed' END AS outcome FROM registry r LEFT JOIN whole w ON r.meet_id = w.meet_id WHERE status = 'scraping' AND (claimed_at IS NULL OR claimed_at <= {NOW} - INTERVAL 6 HOUR)"),
+}
+
+
+def _nested(x: Swims) -> DataFrame:
+    """Raw results with their laps nested, as raw files have them."""
+    laps = x.splits.groupBy("result_id").agg(F.sort_array(F.collect_list(F.struct("cumulative_centiseconds", "distance", "split_centiseconds"))).alias("splits"))
+    own = x.swims.select("result_id", "meet_id", "race_id", F.col("ord").alias("pos"))
+    return own.join(laps, "result_id", "left").drop("result_id")
+
+
+#: Strings composed from orders, standardised; their SQL stands alone.
+_ALONE = {
+    "time_to_centiseconds": (lambda x: _times(x).select("o_orderkey", "text", fields.time_to_centiseconds(F.col("text")).alias("cs"), fields.legacy_seconds(F.col("text")).alias("seconds")), _TIMES_SQL),
+    "danish_date": (lambda x: _dates(x).withColumn("day", fields.danish_date(F.col("text"))).select("o_orderkey", "text", "day", fields.season_of(F.col("day")).alias("season"), fields.season_of(F.col("day"), 8).alias("legacy_season")), _DATES_SQL),
+    "parse_event": (lambda x: fields.standardize_races(_events(x)), _EVENTS_SQL),
+    "result_fields": (_result_fields, _CELLS_SQL),
+}
+
+
+def _query(work):
+    return lambda spark, sf_dir: work(Swims(spark, sf_dir))
+
+
+QUERIES = {name: _query(work) for name, (work, _) in (_DEFINED | _ALONE).items()}
+ORACLE = {name: (BASE_SQL if sql.startswith(",") else BASE_SQL + "\n") + sql for name, (_, sql) in _DEFINED.items()} | {name: sql for name, (_, sql) in _ALONE.items()}
