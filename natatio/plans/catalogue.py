@@ -296,6 +296,7 @@ _DEFINED = {
     "fact_result_points": (lambda x: curate.build_fact_result(x.obt), f"SELECT {FACT} FROM obt"),
     "fact_split": (lambda x: curate.build_fact_split(_nested(x), x.dim_meet), "SELECT l.result_id, l.race_id, s.meet_id, l.distance, l.split_centiseconds, l.cumulative_centiseconds, l.season, l.course FROM fx_splits l JOIN fx_swims s ON l.result_id = s.result_id"),
     "obt": (lambda x: x.obt, f"SELECT {OBT} FROM obt"),
+    "curate_roundtrip": (lambda x: _roundtrip(x), f"SELECT {OBT} FROM obt"),
     "points_coverage": (lambda x: curate.points_coverage(x.obt.drop("points", "points_fixed"), x.base, FIXED), "SELECT meet_id, count(*) AS results, count(p) AS scored, count(p)::DOUBLE / count(*) AS coverage FROM (SELECT meet_id, CASE WHEN coalesce(rank, 0) <> -1 THEN any_points END AS p FROM pts) GROUP BY ALL"),
     "base_time_union": (_union, _UNION_SQL + " SELECT * FROM joined"),
     "base_time_mismatch": (lambda x: curate.base_time_mismatch(_base_text(x), fields.base_seconds(F.col("basetime"))).select("season", *curate.EVENT_KEYS), "SELECT season, course, gender, relay_count, distance, stroke FROM fx_base_times WHERE distance % 350 = 0"),
@@ -332,6 +333,18 @@ def _nested(x: Swims) -> DataFrame:
     return own.join(laps, "result_id", "left").drop("result_id")
 
 
+def _roundtrip(x: Swims) -> DataFrame:
+    """All meets curated, written by season, course and meet, and read back."""
+    tables = curate.curate(x.raw_meets, x.races, _nested_results(x), x.base, x.overrides, FIXED)
+    root = lake.scratch_path(x.spark, "curated")
+    lake.write_curated({"dim_meet": tables["dim_meet"], "obt_result": tables["obt_result"]}, root)
+    return lake.read_curated(x.spark, root, "obt_result")
+
+
+def _nested_results(x: Swims) -> DataFrame:
+    return x.results.withColumn("splits", F.lit(None).cast("array<struct<distance:bigint>>"))
+
+
 #: Strings composed from orders, standardised; their SQL stands alone.
 _ALONE = {
     "time_to_centiseconds": (lambda x: _times(x).select("o_orderkey", "text", fields.time_to_centiseconds(F.col("text")).alias("cs"), fields.legacy_seconds(F.col("text")).alias("seconds")), _TIMES_SQL),

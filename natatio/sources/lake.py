@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,12 @@ from natatio.schemas import CURATED
 PARTS = ("season", "course", "meet_id")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``), or a temporary one on one machine."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="natatio-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def _path(root: str, table: str) -> str:
     return f"{root}/{table}"
 
