@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from natatio.llm.shared import settled
+from natatio.llm.shared import settled, stored
 
 LEVELS = ("domain", "language", "source")
 #: Leaf plans of up to so many rows are broadcast; more are joined by a shuffle.
@@ -72,7 +72,7 @@ def mix_to_weights(docs: DataFrame, budget_share: float, weights: dict[str, Colu
     share still takes. A document is taken if the prefix reaches it; ``mix_taken`` is how many of its tokens lie
     in the prefix, all but for the last one.
 
-    The prefix is found without a running sum over a leaf: each document falls in one of 65,536
+    The prefix is found without a running sum over a leaf: each document falls in one of 4,096
     buckets by the first digits of its md5; sums of buckets, a bounded number for each leaf, tell
     which bucket the prefix ends in, buckets before it are taken whole and only that one is
     summed document by document. Leaf plans, a row for each leaf, are joined back.
@@ -81,31 +81,32 @@ def mix_to_weights(docs: DataFrame, budget_share: float, weights: dict[str, Colu
     they are never taken. A null id is taken like any other; repeated rows are taken each. Names of
     other columns may clash with none but ``mix_…``. An empty table, or no weight, gives an empty result.
     """
-    words = F.expr(f"coalesce(regexp_count(`{text_col}`, '[^\\\\x20\\\\x09-\\\\x0D]+'), 0)").cast("long")
+    words = F.expr(f"coalesce(regexp_count(doc.`{text_col}`, '[^\\\\x20\\\\x09-\\\\x0D]+'), 0)").cast("long")
     named = lambda c: F.coalesce(c.cast("string"), F.lit("?"))
     order = F.coalesce(F.col(id_col).cast("string"), F.md5(F.col(text_col).cast("binary")))
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), named(domain).alias("domain"), named(F.col(language_col)).alias("language"), named(F.col(source_col)).alias("source"), words.alias("n"), order.alias("order")).where("n > 0")
-    leaves = rows.groupBy(*LEVELS).agg(F.sum("n").alias("tokens"))
-    leaves = settled(leaves)
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), named(domain).alias("domain"), named(F.col(language_col)).alias("language"), named(F.col(source_col)).alias("source"), order.alias("order"))
+    # Words are counted once for the plan, and once more for the documents that it takes.
+    sizes = stored(rows.select(*LEVELS, "order", words.alias("n")).where("n > 0"), "sizes")
+    leaves = settled(sizes.groupBy(*LEVELS).agg(F.sum("n").alias("tokens")))
     total = leaves.agg(F.sum("tokens")).first()[0] or 0
     plan = budgets(leaves, int(total * budget_share), weights, epochs).where("share > 0")
     plan = settled(plan.select(*LEVELS, F.expr("share div tokens").alias("whole"), (F.col("share") % F.col("tokens")).alias("rest")))
 
-    def planned(plan: DataFrame) -> DataFrame:
-        """Each document with its leaf's plan, which goes to every task if it has few rows."""
+    def planned(rows: DataFrame, plan: DataFrame) -> DataFrame:
+        """Each row with its leaf's plan, which goes to every task if it has few rows."""
         own = rows.join(F.broadcast(plan) if plan.count() <= SMALL else plan, list(LEVELS))
         key = F.md5(F.concat(F.lit(f"{seed}:"), F.col("whole"), F.lit(":"), F.col("order")).cast("binary"))
-        return own.withColumn("key", key).withColumn("bucket", F.substring("key", 1, 4))
+        return own.withColumn("key", key).withColumn("bucket", F.substring("key", 1, 3))
 
-    sums = planned(plan.where("rest > 0")).groupBy(*LEVELS, "rest", "bucket").agg(F.sum("n").alias("n"))
+    sums = planned(sizes, plan.where("rest > 0")).groupBy(*LEVELS, "rest", "bucket").agg(F.sum("n").alias("n"))
     upto = Window.partitionBy(*LEVELS).orderBy("bucket")
     ends = sums.withColumn("start", F.sum("n").over(upto) - F.col("n")).where("start < rest and start + n >= rest")
     plan = settled(plan.join(ends.select(*LEVELS, F.col("bucket").alias("last"), "start"), list(LEVELS), "left"))
-    every = planned(plan)
+    every = planned(rows, plan)
     upto = Window.partitionBy(*LEVELS).orderBy("key", "order", f"doc.{text_col}").rowsBetween(Window.unboundedPreceding, 0)
-    ending = every.where("bucket = last").withColumn("start", F.col("start") + F.sum("n").over(upto) - F.col("n")).where("start < rest")
+    ending = every.where("bucket = last").withColumn("n", words).where("n > 0").withColumn("start", F.col("start") + F.sum("n").over(upto) - F.col("n")).where("start < rest")
     cols = [F.col("doc.*"), F.col("domain").alias("mix_domain"), F.col("epoch").alias("mix_epoch"), F.col("n").alias("mix_tokens"), F.col("taken").alias("mix_taken")]
-    sure = every.select("*", F.expr("explode(sequence(0L, whole)) as epoch"), F.col("n").alias("taken")).where("epoch < whole or bucket < last")
+    sure = every.where("whole > 0 or bucket < last").withColumn("n", words).where("n > 0").select("*", F.expr("explode(sequence(0L, whole)) as epoch"), F.col("n").alias("taken")).where("epoch < whole or bucket < last")
     return sure.select(*cols).union(ending.select("*", F.col("whole").alias("epoch"), F.least("n", F.col("rest") - F.col("start")).alias("taken")).select(*cols))
 
 
