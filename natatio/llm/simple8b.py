@@ -17,13 +17,25 @@ WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 ESCAPE = 15
 #: Ids to a block; a block starts with a word of its own, whose place is in the block offsets.
 BLOCK = 4096
-#: Words whose ids a task remembers, and ids coded at once.
-REMEMBER, AT_ONCE = 400_000, 1 << 20
+#: Words whose ids a task remembers, and bytes of text coded at once.
+REMEMBER, AT_ONCE = 700_000, 1 << 21
 
 _COUNT_OF = np.array([*COUNTS, 0, 1], np.int64)
 _WIDTH_OF = np.array([*WIDTHS, 0, 0], np.uint64)
 
 
+def _need(ids: np.ndarray) -> np.ndarray:
+    """The selector with the narrowest ids that each id fits; their number for an escape."""
+    bounds = np.array([(1 << w) - 1 for w in WIDTHS], np.uint64)
+    if len(ids) > len(_NARROW) and ids.max() < len(_NARROW):
+        return _NARROW[ids.astype(np.int64)]
+    return np.searchsorted(bounds, ids).astype(np.uint8)
+
+
+#: The same for ids of two bytes, as a table.
+_NARROW = np.searchsorted(np.array([(1 << w) - 1 for w in WIDTHS]), np.arange(1 << 16)).astype(np.uint8)
+
+
 def encode(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Simple-8b words of documents that lie one after the other in ``ids``.
 
@@ -39,8 +51,8 @@ def encode(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, l
     if not len(ids):
         return np.empty(0, np.uint64), np.zeros(len(ends), np.int64), [np.empty(0, np.int32)] * len(ends)
     lengths = np.diff(np.append(first, len(ids)))
-    left = np.repeat(first + lengths, lengths) - np.arange(len(ids))
-    need = np.searchsorted(np.array([(1 << w) - 1 for w in WIDTHS], np.uint64), ids)
+    left = np.minimum(np.repeat(first + lengths, lengths) - np.arange(len(ids)), COUNTS[0]).astype(np.uint8)
+    need = _need(ids)
     chosen = np.where(need == len(WIDTHS), ESCAPE, len(WIDTHS) - 1).astype(np.uint8)
     for selector in range(len(COUNTS) - 2, -1, -1):
         count, fits = COUNTS[selector], need <= selector
@@ -52,7 +64,8 @@ def encode(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, l
             fits[:-step] &= fits[step:]
             fits[len(fits) - step :] = False
             have += step
-        chosen[fits & (left >= count)] = selector
+        fits &= left >= count
+        np.copyto(chosen, selector, where=fits)
     counts, place, at = _COUNT_OF[chosen].tolist(), [], 0
     while at < len(counts):
         place.append(at)
@@ -103,32 +116,74 @@ def decode_block(words: np.ndarray, offsets: np.ndarray, block: int) -> np.ndarr
     return decode(words[offsets[block] : offsets[block + 1] if block + 1 < len(offsets) else len(words)])
 
 
+_LETTER, _SIGN = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[97:123] = True
+for _a, _b in ((33, 48), (58, 65), (91, 97), (123, 127)):
+    _SIGN[_a:_b] = True
+
+
+def _pieces(data: bytes) -> list[bytes]:
+    """The words of a text, A-Z in small letters, each cut where ASCII signs follow ASCII letters.
+
+    The tokenizer lower-cases and cuts there too, so this leaves the ids as they are and makes fewer different words. A text
+    that may have the name of a special token is left whole.
+    """
+    if b"<|" in data:
+        return data.split()
+    x = np.frombuffer(data.lower(), np.uint8)
+    cuts = np.flatnonzero(_LETTER[x[:-1]] & _SIGN[x[1:]]) + 1
+    return (np.insert(x, cuts, 32) if len(cuts) else x).tobytes().split()
+
+
 class WordIds:
     """Ids of whole texts by the ids of their words.
 
     The tokenizer drops white space and never joins what white space parts, so a text's ids are those of
-    its words one after the other; each distinct word is encoded once by the library and remembered.
+    its words one after the other; each distinct word is encoded once by the library and remembered. Words of small
+    letters alone are encoded many at a time. Words used of late are kept, in two generations.
     """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_str(definition), {}
-
-    def __call__(self, data: bytes, end: bytes) -> bytes:
-        """Little-endian 32-bit ids of a UTF-8 text, and the end."""
-        words = data.split()
-        fresh = list(set(words).difference(self.known))
-        if fresh:
-            if len(self.known) > REMEMBER:
-                self.known.clear()
-                fresh = list(set(words))
-            for at in range(0, len(fresh), 8192):
-                part = fresh[at : at + 8192]
-                found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-                self.known.update(zip(part, (np.array(x.ids, "<u4").tobytes() for x in found)))
-        return b"".join([*map(self.known.__getitem__, words), end])
+        self.tokenizer, self.known, self.older = Tokenizer.from_str(definition), {}, {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def __call__(self, texts: list[bytes], end: bytes) -> list[bytes]:
+        """Little-endian 32-bit ids of UTF-8 texts, and the end after each."""
+        parted = [_pieces(data) for data in texts]
+        self._learn(set().union(*parted))
+        return [b"".join([*map(self.known.__getitem__, words), end]) for words in parted]
+
+    def _learn(self, words: set[bytes]) -> None:
+        if len(self.known) > REMEMBER:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        fresh = words.difference(known)
+        again = fresh.intersection(older)
+        known.update(zip(again, map(older.__getitem__, again)))
+        fresh -= again
+        whole, letters = [], []
+        for word in fresh:
+            text = word.decode()
+            (letters if text.isalpha() and text == text.lower() else whole).append((word, text))
+        for at in range(0, len(letters), 4096):  # such a word is one piece, whose last token alone ends a word
+            part = letters[at : at + 4096]
+            ids = np.array(self._encode([" ".join([t for _, t in part])])[0].ids, "<u4")
+            data, cuts = ids.tobytes(), ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(cuts) != len(part):
+                whole += part
+                continue
+            known.update((w, data[a:b]) for (w, _), a, b in zip(part, [0, *cuts], cuts))
+        for at in range(0, len(whole), 4096):
+            part = whole[at : at + 4096]
+            known.update((w, np.array(x.ids, "<u4").tobytes()) for (w, _), x in zip(part, self._encode([t for _, t in part])))
+
+    def _encode(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
 
 #: What this worker has read, by definition; kept from task to task.
@@ -160,18 +215,15 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer_file: str, end_id: int
         shard, start, text = TaskContext.get().partitionId(), 0, definition.value
         to_ids = _LOADED.get(text) or _LOADED.setdefault(text, WordIds(text))
         for batch in batches:
-            pending, held, keys = [], 0, []
-            for doc_id, data in zip(batch["doc_id"], batch["text"]):
-                pending.append(to_ids(data, end))
+            keys, texts, held = [], [], 0
+            for n, (doc_id, data) in enumerate(zip(batch["doc_id"], batch["text"]), 1):
                 keys.append(doc_id)
-                held += len(pending[-1]) // 4
-                if held >= AT_ONCE:
-                    out, start = coded(keys, pending, shard, start)
+                texts.append(data)
+                held += len(data)
+                if held >= AT_ONCE or n == len(batch):
+                    out, start = coded(keys, to_ids(texts, end), shard, start)
                     yield out
-                    pending, held, keys = [], 0, []
-            if pending:
-                out, start = coded(keys, pending, shard, start)
-                yield out
+                    keys, texts, held = [], [], 0
 
     def coded(keys: list, parts: list[bytes], shard: int, start: int) -> tuple[pd.DataFrame, int]:
         sizes = np.array([len(x) // 4 for x in parts])

@@ -43,7 +43,7 @@ def test_packs_small_ids_densely():
 @settings(max_examples=150, deadline=None)
 @given(st.text(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \t\n'sreS1é́ \u0085\x1c<|endoftext|>")), max_size=60))
 def test_words_give_the_ids_of_whole_texts(text):
-    ids = np.frombuffer(words_to_ids(text.encode(), b""), "<u4").tolist()
+    ids = np.frombuffer(words_to_ids([text.encode()], b"")[0], "<u4").tolist()
     assert ids == whole.encode(text, add_special_tokens=False).ids
 
 
@@ -52,7 +52,7 @@ with open(FILE, encoding="utf-8") as file:
     words_to_ids = simple8b.WordIds(file.read())
 
 
-@pytest.mark.parametrize("rows", [[], [(5, "the cat sat"), (None, "no id"), (2, None), (5, "the cat sat"), (9, ""), (1, "Wörter " * 40_000), (3, " \n "), (4, "<|endoftext|> x")]])
+@pytest.mark.parametrize("rows", [[], [(5, "the cat sat"), (None, "no id"), (2, None), (5, "the cat sat"), (9, ""), (1, "Wörter " * 40_000), (3, " \n "), (4, "<|endoftext|> x"), (6, "<|ENDOFTEXT|> X.Y Don't STOP!! it'S A...")]])
 def test_files_read_back(spark, rows):
     docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, words string")
     path = shared_path(spark, "test-ids")
