@@ -29,7 +29,7 @@ NAMED, SPREAD = 1 << 16, 1 << 10
 #: Counts up to this are discounted.
 CUT = 5
 #: Tokens to a partition, and tokens and documents packed at once.
-PART_TOKENS, PACK_TOKENS, DOC_BITS = 4_000_000, 4_000_000, 15
+PART_TOKENS, PACK_TOKENS, DOC_BITS = 2_000_000, 2_000_000, 15
 
 
 class Model(NamedTuple):
@@ -207,7 +207,7 @@ def _seen(model: Model, count: np.ndarray) -> np.ndarray:
 
 
 def _scores(load: Load, model: Model) -> pd.DataFrame:
-    """Per document, the part of its sums that this partition knows.
+    """Per document, the part of its sums that this partition knows; one row for each load, as its answer.
 
     The denominator of a rare context is its count: it is taken off where that word is itself a token,
     as each word is the context of one token. ``_pending`` has what is then still to be put right.
@@ -224,7 +224,35 @@ def _scores(load: Load, model: Model) -> pd.DataFrame:
     w_count = np.append(model.counts[load.pair & (HOT - 1)], o.w_count)
     keys, at = np.unique(np.append(load.key, o.key), return_inverse=True)
     add = lambda x: np.bincount(at, x, minlength=len(keys))
-    return pd.DataFrame({"key": keys, "known": add(w_count > 0).astype(np.int64), "base": add(np.log10((w_count + 0.5) / (model.tokens + 0.5 * (model.types + 1)))), "score": add(np.append(value, more))})
+    known = add(w_count > 0).astype("<u4")
+    base = add(np.log10((w_count + 0.5) / (model.tokens + 0.5 * (model.types + 1))))
+    score = add(np.append(value, more)).astype("<f4")
+    cuts = np.flatnonzero(np.append(True, np.diff(keys >> DOC_BITS) != 0)[: len(keys)])
+    squeeze, rows = zstandard.ZstdCompressor(level=3), []
+    for a, b in zip(cuts, np.append(cuts[1:], len(keys))):
+        places = (keys[a:b] & ((1 << DOC_BITS) - 1)).astype("<u2")
+        parts = (np.array([b - a], "<u4"), np.diff(places, prepend=places.dtype.type(0)), known[a:b], base[a:b], score[a:b])
+        rows.append((keys[a] >> DOC_BITS, squeeze.compress(b"".join(x.tobytes() for x in parts))))
+    return pd.DataFrame(rows, columns=["flush", "blob"])
+
+
+def _sum_up(rows: pd.DataFrame) -> pd.DataFrame:
+    """The sums of the documents of one load, from the answers of all partitions."""
+    sums, open_ = np.zeros((3, 1 << DOC_BITS)), zstandard.ZstdDecompressor()
+    met = np.zeros(1 << DOC_BITS, bool)
+    for blob in rows["blob"]:
+        data = open_.decompress(blob)
+        n, at = int(np.frombuffer(data, "<u4", 1)[0]), 4
+        fields = []
+        for kind in ("<u2", "<u4", "<f8", "<f4"):
+            fields.append(np.frombuffer(data, kind, n, at))
+            at += fields[-1].nbytes
+        places = np.cumsum(fields[0], dtype=np.uint16)
+        met[places] = True
+        for k in range(3):
+            sums[k, places] += fields[k + 1]
+    places = np.flatnonzero(met)
+    return pd.DataFrame({"key": (int(rows["flush"].iloc[0]) << DOC_BITS) + places, "known": sums[0, places].astype(np.int64), "base": sums[1, places], "score": sums[2, places]})
 
 
 def _pending(load: Load, model: Model) -> pd.DataFrame:
@@ -318,7 +346,8 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     alpha[common["h"]] = np.log10(np.where(common["away"] == 0, 1.0, common["away"]) / bottom / (1 - common["p1"]))
     whole = spark.sparkContext.broadcast(model._replace(alpha=alpha, total=total))
 
-    scored = each(lambda load: _scores(load, whole.value), "key long, known long, base double, score double")
+    answers = each(lambda load: _scores(load, whole.value), "flush long, blob binary")
+    scored = answers.groupBy("flush").applyInPandas(_sum_up, "key long, known long, base double, score double")
     contexts = sums(True).select("h", F.expr("log10(c)").alias("c"), F.expr("log10(c + if(away = 0, 1, 0))").alias("total"), F.expr("log10(if(away = 0, 1, away) / (c + if(away = 0, 1, 0)) / (1 - p1))").alias("alpha"))
     put_right = each(lambda load: _pending(load, whole.value), "h long, key long, seen boolean").join(contexts, "h").select("key", F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"), F.expr("if(seen, c - total, c + alpha)").alias("score"))
     by_doc = scored.union(put_right).groupBy("key").agg(*(F.sum(c).alias(c) for c in ("known", "base", "score")))
