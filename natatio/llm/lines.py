@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -12,8 +13,9 @@ from pyspark.sql import functions as F
 
 from natatio.llm.shared import stored
 
-#: A line of fewer characters is no seed; nor is one in more texts than RARE, unless it is among the KEPT rarest of a text.
-SEED_CHARS, RARE, KEPT = 20, 64, 3
+#: A line of fewer characters is no seed. Where RARE is set (it is infinite: no bound), nor is one in more texts, unless it is among the
+#: KEPT rarest of a text; that leaves common blocks in.
+SEED_CHARS, RARE, KEPT = 20, math.inf, 3
 #: Characters of a block that is deleted, at least.
 BLOCK_CHARS = 40
 
@@ -77,8 +79,7 @@ def common_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Lines are parted by newlines and compared without white space at their ends. Documents with the same lines
     are one kind, of the smallest id; later ones lose all their lines (if these have ``BLOCK_CHARS``).
 
-    Seeds are lines of ``SEED_CHARS`` characters that several kinds hold and that are rare (``RARE`` kinds at most), and of
-    each kind its ``KEPT`` rarest, so that the members of large families find each other too. A kind is paired with the
+    Seeds are lines of ``SEED_CHARS`` characters that several kinds hold, however many. A kind is paired with the
     kind of the smallest id that holds the seed; so a line makes as many pairs as it has kinds, never
     all pairs of a group. Each pair is aligned by patience diff, over all lines; runs of matched lines
     with ``BLOCK_CHARS`` characters are deleted from the later kind.
@@ -93,8 +94,10 @@ def common_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     seeds = seeds.select("kind", "doc_id", F.col("line.hashes").alias("line")).distinct()
     owners = seeds.groupBy("line").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "kind")).alias("owner")).where("n > 1")
     met = seeds.join(owners, "line").where("owner.kind <> kind")
-    rank = F.row_number().over(Window.partitionBy("kind").orderBy("n", "line"))
-    pairs = met.withColumn("rank", rank).where((F.col("n") <= RARE) | (F.col("rank") <= KEPT)).select("kind", F.col("owner.kind").alias("earlier")).distinct()
+    if RARE < math.inf:
+        rank = F.row_number().over(Window.partitionBy("kind").orderBy("n", "line"))
+        met = met.withColumn("rank", rank).where((F.col("n") <= RARE) | (F.col("rank") <= KEPT))
+    pairs = met.select("kind", F.col("owner.kind").alias("earlier")).distinct()
     own = kinds.select("kind", F.col("hashes").alias("b"), "sizes")
     pairs = pairs.join(own, "kind").join(kinds.select(F.col("kind").alias("earlier"), F.col("hashes").alias("a")), "earlier").select("kind", "a", "b", "sizes")
 
