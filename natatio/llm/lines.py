@@ -7,14 +7,15 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from natatio.llm.shared import stored
 
-#: A line of fewer characters is no seed. Where RARE is set (it is infinite: no bound), nor is one in more texts, unless it is among the
-#: KEPT rarest of a text; that leaves common blocks in.
+#: Without a bound (``RARE`` infinite) every stretch of lines that can be deleted is a seed. Where a bound is set, seeds are lines of
+#: SEED_CHARS characters or more in RARE texts at most, or among the KEPT rarest of a text; that leaves common blocks in.
 SEED_CHARS, RARE, KEPT = 20, math.inf, 3
 #: Characters of a block that is deleted, at least.
 BLOCK_CHARS = 40
@@ -73,16 +74,44 @@ def blocks(matches: list[tuple[int, int]], sizes: list[int]) -> list[int]:
     return out
 
 
+def stretches(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hashes of the shortest runs of lines with ``BLOCK_CHARS`` characters that start, and that end, at each line.
+
+    Each line of any run with so many characters lies in one of these that is part of the run: one that starts
+    or ends at the line, or that starts where the run does. Hashes of runs are differences of one running sum.
+    """
+    n = len(hashes)
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    first, last = np.arange(n), np.searchsorted(ends, ends[:-1] + BLOCK_CHARS)  # lines first .. last - 1
+    back = np.searchsorted(ends, ends[1:] - BLOCK_CHARS, side="right") - 1
+    runs = np.concatenate([np.stack([first, last], 1)[last <= n], np.stack([back, first + 1], 1)[back >= 0]])
+    # Powers of an odd number and of its inverse, modulo 2**64.
+    base = 0x9E3779B97F4A7C15
+    power, inverse = (np.cumprod(np.array([1] + [x] * n, np.uint64), dtype=np.uint64) for x in (base, pow(base, -1, 1 << 64)))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes.view(np.uint64) * power[:-1], dtype=np.uint64)])
+    out = (sums[runs[:, 1]] - sums[runs[:, 0]]) * inverse[runs[:, 0]] + (runs[:, 1] - runs[:, 0]).astype(np.uint64)
+    return np.unique(out.view(np.int64))
+
+
+def _stretch_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        found = [stretches(np.asarray(h, np.int64), np.asarray(s, np.int64)) for h, s in zip(batch["hashes"], batch["sizes"])]
+        many = [len(x) for x in found]
+        yield pd.DataFrame({"kind": np.repeat(batch["kind"].to_numpy(), many), "doc_id": batch["doc_id"].repeat(many).to_numpy(), "line": np.concatenate([np.empty(0, np.int64), *found])})
+
+
 def common_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text_key, removed)``: numbers of the lines of each text that go, counted from 0; texts that lose some.
 
     Lines are parted by newlines and compared without white space at their ends. Documents with the same lines
     are one kind, of the smallest id; later ones lose all their lines (if these have ``BLOCK_CHARS``).
 
-    Seeds are lines of ``SEED_CHARS`` characters that several kinds hold, however many. A kind is paired with the
-    kind of the smallest id that holds the seed; so a line makes as many pairs as it has kinds, never
+    Seeds are ``stretches``: shortest runs of lines with ``BLOCK_CHARS`` characters, however many kinds hold them and however short
+    their lines are; so each line of a block that an earlier kind has too is in a seed. A kind is paired with the
+    kind of the smallest id that holds the seed; so a seed makes as many pairs as it has kinds, never
     all pairs of a group. Each pair is aligned by patience diff, over all lines; runs of matched lines
-    with ``BLOCK_CHARS`` characters are deleted from the later kind.
+    with ``BLOCK_CHARS`` characters are deleted from the later kind. An alignment keeps the order of both; blocks that
+    changed places aren't both in one.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.transform(F.split(text, "\n"), lambda x: F.trim(F.regexp_replace(x, r"^[\s\x00]+|[\s\x00]+$", "")))
@@ -90,11 +119,15 @@ def common_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = rows.select("doc_id", "text_key", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"), F.transform("lines", lambda x: F.length(x)).alias("sizes"))
     rows = stored(rows.where("doc_id is not null").withColumn("kind", F.xxhash64("hashes")), "lines")
     kinds = stored(rows.groupBy("kind").agg(F.min(F.struct("doc_id", "hashes", "sizes")).alias("one")).select("kind", "one.*"), "kinds")
-    seeds = kinds.select("kind", "doc_id", F.explode(F.arrays_zip("hashes", "sizes")).alias("line")).where(F.col("line.sizes") >= SEED_CHARS)
-    seeds = seeds.select("kind", "doc_id", F.col("line.hashes").alias("line")).distinct()
+    bounded = RARE < math.inf
+    if bounded:
+        seeds = kinds.select("kind", "doc_id", F.explode(F.arrays_zip("hashes", "sizes")).alias("line")).where(F.col("line.sizes") >= SEED_CHARS)
+        seeds = seeds.select("kind", "doc_id", F.col("line.hashes").alias("line")).distinct()
+    else:
+        seeds = kinds.mapInPandas(_stretch_seeds, kinds.select("kind", "doc_id", F.lit(0).cast("long").alias("line")).schema)
     owners = seeds.groupBy("line").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "kind")).alias("owner")).where("n > 1")
     met = seeds.join(owners, "line").where("owner.kind <> kind")
-    if RARE < math.inf:
+    if bounded:
         rank = F.row_number().over(Window.partitionBy("kind").orderBy("n", "line"))
         met = met.withColumn("rank", rank).where((F.col("n") <= RARE) | (F.col("rank") <= KEPT))
     pairs = met.select("kind", F.col("owner.kind").alias("earlier")).distinct()
