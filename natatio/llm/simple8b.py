@@ -116,74 +116,88 @@ def decode_block(words: np.ndarray, offsets: np.ndarray, block: int) -> np.ndarr
     return decode(words[offsets[block] : offsets[block + 1] if block + 1 < len(offsets) else len(words)])
 
 
-_LETTER, _SIGN = np.zeros(256, bool), np.zeros(256, bool)
-_LETTER[97:123] = True
-for _a, _b in ((33, 48), (58, 65), (91, 97), (123, 127)):
-    _SIGN[_a:_b] = True
+#: Classes of Latin-1 characters: 0 for what is left as it is, then letters, digits, signs. Small letters of capitals.
+_CLASS = np.array([1 if c.isalpha() else 2 if c in "0123456789" else 3 if "!" <= c <= "~" else 0 for c in map(chr, range(256))], np.uint8)
+_SMALL = np.array([ord(c.lower()) for c in map(chr, range(256))], np.uint8)
+_LETTERS = bytes(np.flatnonzero(_CLASS == 1).tolist())
 
 
-def _pieces(data: bytes) -> list[bytes]:
-    """The words of a text, A-Z in small letters, each cut where ASCII signs follow ASCII letters.
+def _pieces(data: bytes) -> tuple[list[bytes], bool]:
+    """The words of a UTF-8 text, cut where the tokenizer cuts them, and whether they are in Latin-1.
 
-    The tokenizer lower-cases and cuts there too, so this leaves the ids as they are and makes fewer different words. A text
-    that may have the name of a special token is left whole.
+    The tokenizer composes, lower-cases, and parts letters, single digits and runs of signs. In Latin-1 nothing is composed, so a
+    text of these characters is lower-cased and cut between them here: fewer different words, most of letters
+    alone. A sign isn't cut from the letters after it if it is an apostrophe, as the tokenizer has pieces such as ``'s``. Other texts, and those that may
+    have the name of a special token, are parted by white space only.
     """
     if b"<|" in data:
-        return data.split()
-    x = np.frombuffer(data.lower(), np.uint8)
-    cuts = np.flatnonzero(_LETTER[x[:-1]] & _SIGN[x[1:]]) + 1
-    return (np.insert(x, cuts, 32) if len(cuts) else x).tobytes().split()
+        return data.split(), False
+    try:
+        x = np.frombuffer(data if data.isascii() else data.decode().encode("latin-1"), np.uint8)
+    except UnicodeEncodeError:
+        return data.split(), False
+    kind = _CLASS[x]
+    left, right = kind[:-1], kind[1:]
+    cut = (left != right) & (left > 0) & (right > 0) & ((x[:-1] != 39) | (right != 1))
+    cut |= (left == 2) & (right == 2)
+    cuts = np.flatnonzero(cut) + 1
+    x = _SMALL[x]
+    return (np.insert(x, cuts, 32) if len(cuts) else x).tobytes().split(), True
+
+
+def _byte_names() -> dict[int, str]:
+    """How the tokenizer's model spells each Latin-1 character: a printable character for each of its UTF-8 bytes."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    names = {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in printable)}
+    return {c: "".join(names[b] for b in chr(c).encode()) for c in range(256) if c != 10}
 
 
 class WordIds:
     """Ids of whole texts by the ids of their words.
 
     The tokenizer drops white space and never joins what white space parts, so a text's ids are those of
-    its words one after the other; each distinct word is encoded once by the library and remembered. Words of small
-    letters alone are encoded many at a time. Words used of late are kept, in two generations.
+    its words one after the other; each distinct word is encoded once by the library and remembered. Words of Latin-1
+    letters alone are one piece each, which goes to the library's model as it is; others go through the
+    whole tokenizer. Words used of late are kept, in two generations.
     """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.older = Tokenizer.from_str(definition), {}, {}
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.tokenizer, self.names = Tokenizer.from_str(definition), _byte_names()
+        self.model = self.tokenizer.model
+        #: By whether words are in Latin-1: those of late, and those before.
+        self.known: dict[bool, dict[bytes, bytes]] = {True: {}, False: {}}
+        self.older: dict[bool, dict[bytes, bytes]] = {True: {}, False: {}}
 
     def __call__(self, texts: list[bytes], end: bytes) -> list[bytes]:
         """Little-endian 32-bit ids of UTF-8 texts, and the end after each."""
         parted = [_pieces(data) for data in texts]
-        self._learn(set().union(*parted))
-        return [b"".join([*map(self.known.__getitem__, words), end]) for words in parted]
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.known) > REMEMBER:
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
+        for latin in (True, False):
+            self._learn(set().union(*(words for words, kind in parted if kind == latin)), latin)
+        return [b"".join([*map(self.known[latin].__getitem__, words), end]) for words, latin in parted]
+
+    def _learn(self, words: set[bytes], latin: bool) -> None:
+        if len(self.known[latin]) > REMEMBER:
+            self.older[latin], self.known[latin] = self.known[latin], {}
+        known, older = self.known[latin], self.older[latin]
         fresh = words.difference(known)
         again = fresh.intersection(older)
         known.update(zip(again, map(older.__getitem__, again)))
         fresh -= again
-        whole, letters = [], []
-        for word in fresh:
-            text = word.decode()
-            (letters if text.isalpha() and text == text.lower() else whole).append((word, text))
-        for at in range(0, len(letters), 4096):  # such a word is one piece, whose last token alone ends a word
+        letters = [w for w in fresh if not w.translate(None, _LETTERS)] if latin else []
+        for at in range(0, len(letters), 4096):
             part = letters[at : at + 4096]
-            ids = np.array(self._encode([" ".join([t for _, t in part])])[0].ids, "<u4")
-            data, cuts = ids.tobytes(), ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
-            if len(cuts) != len(part):
-                whole += part
-                continue
-            known.update((w, data[a:b]) for (w, _), a, b in zip(part, [0, *cuts], cuts))
-        for at in range(0, len(whole), 4096):
-            part = whole[at : at + 4096]
-            known.update((w, np.array(x.ids, "<u4").tobytes()) for (w, _), x in zip(part, self._encode([t for _, t in part])))
-
-    def _encode(self, texts: list[str]) -> list:
-        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            found = list(map(self.model.tokenize, b"\n".join(part).decode("latin-1").translate(self.names).split("\n")))
+            data = np.array([token.id for tokens in found for token in tokens], "<u4").tobytes()
+            ends = np.cumsum([4 * len(tokens) for tokens in found]).tolist()
+            known.update(zip(part, map(data.__getitem__, map(slice, [0, *ends], ends))))
+        rest = list(fresh.difference(letters))
+        for at in range(0, len(rest), 4096):
+            part = rest[at : at + 4096]
+            found = self.tokenizer.encode_batch_fast([w.decode("latin-1" if latin else "utf-8") for w in part], add_special_tokens=False)
+            known.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(part, found))
 
 
 #: What this worker has read, by definition; kept from task to task.
