@@ -10,7 +10,7 @@ MONTHS = ("januar", "februar", "marts", "april", "maj", "juni", "juli", "august"
 BASE_STROKES = {"Fri": "FREE", "Ryg": "BACK", "Bryst": "BREAST", "Fly": "FLY", "IM": "MEDLEY", "HM": "MEDLEY"}
 LEGACY_STROKES = {"fri": "FREE", "ryg": "BACK", "bryst": "BREAST", "butterfly": "FLY", "fly": "FLY", "medley": "MEDLEY", "im": "MEDLEY"}
 LEGACY_GENDERS = {"herrer": "M", "h": "M", "damer": "F", "d": "F", "mix": "X"}
-GENDERS = {"herrer": "M", "damer": "F", "mix": "X"}
+GENDERS = {"Herrer": "M", "Damer": "F", "Mix": "X"}
 
 
 def lookup(values: dict, key: Column) -> Column:
@@ -29,11 +29,16 @@ def _part(col: Column, pattern: str, group: int) -> Column:
 
 
 def time_to_centiseconds(col: Column) -> Column:
-    """``M:SS.hh`` or ``SS.hh``, comma or dot, to centiseconds; the fraction is padded or cut to two digits; others are null."""
-    text, pattern = F.translate(F.trim(col), ",", "."), r"^(?:(\d+):)?(\d+)\.(\d+)$"
-    minutes = F.coalesce(whole(_part(text, pattern, 1)), F.lit(0))
-    hundredths = whole(F.substring(F.rpad(_part(text, pattern, 3), 2, "0"), 1, 2))
-    return minutes * 6000 + whole(_part(text, pattern, 2)) * 100 + hundredths
+    """``M:SS.hh`` or ``SS.hh``, comma or dot, to centiseconds; others are null.
+
+    The last colon parts minutes and seconds, the first dot seconds and fraction; a fraction may be absent or short, and
+    counts with two digits.
+    """
+    text = F.translate(F.trim(col), ",", ".")
+    rest = F.substring_index(text, ":", -1)
+    minutes = F.when(~text.contains(":"), F.lit(0)).otherwise(whole(F.regexp_extract(text, "^(.*):[^:]*$", 1)))
+    fraction = F.substring(F.concat(F.regexp_extract(rest, r"^[^.]*\.(.*)$", 1), F.lit("00")), 1, 2)
+    return minutes * 6000 + whole(F.substring_index(rest, ".", 1)) * 100 + whole(fraction)
 
 
 def legacy_seconds(col: Column) -> Column:
@@ -42,8 +47,11 @@ def legacy_seconds(col: Column) -> Column:
 
 
 def base_seconds(col: Column) -> Column:
-    """A base time with spaces anywhere, in seconds with two decimals."""
-    return F.round(time_to_centiseconds(F.regexp_replace(col, r"\s", "")) / F.lit(100.0), 2)
+    """A base time with spaces anywhere, in seconds rounded to two decimals; others are null."""
+    text = F.regexp_replace(col, " ", "")
+    minutes, seconds = _part(text, r"^(?:(\d+):)?[^:]+$", 1), F.substring_index(text, ":", -1)
+    value = F.when(seconds.rlike(r"^\d*\.?\d*$"), seconds.try_cast("double"))
+    return F.when(text.rlike(r"^(?:\d+:)?[^:]+$"), F.round(F.coalesce(whole(minutes), F.lit(0)) * 60 + value, 2))
 
 
 def danish_date(col: Column) -> Column:
@@ -73,14 +81,22 @@ def race_type(col: Column) -> Column:
 
 
 def parse_event(col: Column) -> Column:
-    """``100 Fri - Herrer`` or ``4 x 100 Fri - Damer`` to a struct: distance (of a leg), stroke, gender, relay_count."""
-    text = F.regexp_replace(F.trim(col), r"(?<=\d)\.(?=\d)", "")
-    pattern = r"^(?:(\d+)\s*[xX]\s*)?(\d+)m?\s+(\S+)\s+-\s+(\S+)$"
+    """``100 Fri - Herrer`` or ``4 x 100 Fri - Damer`` to a struct: distance (of a leg), stroke, gender, relay_count.
+
+    Each part that can't be read is null by itself (relay_count 1); a name without exactly one `` - `` is null throughout.
+    """
+    sides = F.split(col, " - ")
+    event, good = F.get(sides, 0), F.size(sides) == 2
+    words = F.filter(F.split(event, r"\s+"), lambda x: x != "")
+    relay = (F.size(words) >= 4) & (F.lower(F.get(words, 1)) == "x")
+    metres = whole(F.replace(F.when(relay, F.get(words, 2)).otherwise(F.substring_index(event, " ", 1)), F.lit("."), F.lit("")))
+    stroke = F.when(relay, F.array_join(F.slice(words, 4, F.greatest(F.size(words), F.lit(1))), " ")).otherwise(F.regexp_extract(event, "^[^ ]* (.*)$", 1))
+    known = good & (relay | event.contains(" "))
     return F.struct(
-        whole(_part(text, pattern, 2)).alias("distance"),
-        _part(text, pattern, 3).alias("stroke"),
-        lookup(GENDERS, F.lower(_part(text, pattern, 4))).alias("gender"),
-        F.coalesce(whole(_part(text, pattern, 1)), F.lit(1)).alias("relay_count"),
+        F.when(known, metres).alias("distance"),
+        F.when(known, stroke).alias("stroke"),
+        F.when(good, lookup(GENDERS, F.get(sides, 1))).alias("gender"),
+        F.coalesce(F.when(good & relay, whole(F.get(words, 0))), F.lit(1)).alias("relay_count"),
     )
 
 

@@ -20,15 +20,17 @@ def assign_age_group(rows: DataFrame) -> DataFrame:
 
 
 def age_group_rank(rows: DataFrame) -> DataFrame:
-    """``age_rank``: by points within meet, race number and age group, each swimmer's best row only; other rows have 0."""
-    rows = assign_age_group(rows)
-    counts = (F.col("relay_count") == 1) & (F.col("rank") >= 1)
-    group = ["meet_id", "number", "age_group"]
-    order = [F.desc_nulls_last("points"), F.col("result_id")]
-    own = F.row_number().over(Window.partitionBy(*group, "name").orderBy(*order))
-    best = rows.where(counts).withColumn("own", own).where("own = 1")
-    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return rows.join(best.select("result_id", place.cast("bigint").alias("place")), "result_id", "left").withColumn("age_rank", F.coalesce("place", F.lit(0))).drop("place")
+    """``age_rank``: by points within meet, race number and age group, each swimmer's best row only; other rows have 0.
+
+    Rows of relays, without a place or without an age group (``-``) aren't ranked.
+    """
+    counts = F.coalesce((F.col("relay_count") == 1) & (F.col("rank") >= 1) & (F.col("age_group") != "-"), F.lit(False))
+    group, order = ["meet_id", "number", "age_group"], [F.desc_nulls_last("points"), F.col("result_id")]
+    rows = assign_age_group(rows).withColumn("_counts", counts)
+    own = F.row_number().over(Window.partitionBy(*group, "name", "_counts").orderBy(*order))
+    rows = rows.withColumn("_counts", F.col("_counts") & (own == 1))
+    place = F.row_number().over(Window.partitionBy(*group, "_counts").orderBy(*order)).cast("bigint")
+    return rows.withColumn("age_rank", F.when(F.col("_counts"), place).otherwise(F.lit(0))).drop("_counts")
 
 
 def append_category(meets: DataFrame, additions: DataFrame) -> DataFrame:

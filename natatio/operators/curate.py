@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from natatio.functions.fields import stroke_to_base, wa_points
+from natatio.functions.fields import base_seconds, stroke_to_base, wa_points
 
 FIXED_SEASON = 2026
 EVENT_KEYS = ("course", "gender", "relay_count", "distance", "stroke")
@@ -14,9 +14,9 @@ BASE_KEY = ("season", "course", "gender", "relay_count", "distance", "base_strok
 SMALL = 100_000
 
 
-def last_wins(rows: DataFrame, keys: list[str], position: str) -> DataFrame:
+def last_wins(rows: DataFrame, keys: list[str], *position: str) -> DataFrame:
     """One row for each key: the last by position."""
-    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(position)))).where("_n = 1").drop("_n")
+    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*map(F.desc, position)))).where("_n = 1").drop("_n")
 
 
 def small(frame: DataFrame) -> DataFrame:
@@ -111,11 +111,20 @@ def points_coverage(rows: DataFrame, base_times: DataFrame, fixed_season: int =
     return every.groupBy("meet_id").agg(F.count("*").alias("results"), F.count("points").alias("scored"), (F.count("points") / F.count("*")).alias("coverage"))
 
 
+BASE_EVENT = ("season", "course", "gender", "relay_count", "distance", "stroke")
+
+
+def legacy_base_times(legacy: DataFrame) -> DataFrame:
+    """Legacy rows with the seconds of their text and their source; of repeated keys the first by ``pos``."""
+    first = legacy.groupBy(*BASE_EVENT).agg(F.min_by("basetime", "pos").alias("basetime"))
+    return first.withColumns({"basetime_in_sec": base_seconds(F.col("basetime")), "source": F.lit("legacy-csv")})
+
+
 def build_base_times(official: DataFrame, legacy: DataFrame) -> DataFrame:
-    """Official rows, and legacy rows of events that have no official one."""
-    keys = ["season", "course", "gender", "relay_count", "distance", "stroke"]
-    rest = legacy.join(official.select(*keys), keys, "left_anti")
-    return official.withColumn("source", F.lit("official")).unionByName(rest.withColumn("source", F.lit("legacy")))
+    """Official rows, and legacy rows (``pos``, ``basetime``) of events that have no official one."""
+    rest = legacy_base_times(legacy).join(official.select(*BASE_EVENT), list(BASE_EVENT), "left_anti")
+    columns = [*BASE_EVENT, "basetime", "basetime_in_sec", "source"]
+    return official.withColumn("source", F.lit("wa-doc")).select(*columns).unionByName(rest.select(*columns))
 
 
 def base_time_mismatch(rows: DataFrame, seconds_of_text: Column) -> DataFrame:
@@ -135,14 +144,20 @@ def base_time_summary(rows: DataFrame) -> DataFrame:
 
 
 def legacy_points(rows: DataFrame, base_times: DataFrame, youth_season: int, fixed_season: int) -> DataFrame:
-    """Legacy scoring: youth base times of one season for single short-course swims at youth championships (category DMY),
-    else the senior ones of the meet's season; 0 if there is none. ``base_times`` has ``age_group``."""
-    youth = (F.col("course") == "SCM") & F.coalesce(F.array_contains("category", "DMY"), F.lit(False)) & (F.col("relay_count") == 1)
-    rows = rows.withColumns({"age_group": F.when(youth, "youth").otherwise("senior"), "own_season": F.when(youth, F.lit(youth_season)).otherwise(F.col("season")), "base_stroke": stroke_to_base(F.col("stroke"))})
+    """Legacy scoring: youth base times (``Y``) for single short-course swims at youth championships (a category with DMY),
+    else the senior ones (``S``); ``base_times`` has ``age_group``.
+
+    ``points`` has the base time of the meet's season (youth: of ``youth_season``), ``points_fixed`` that of ``fixed_season``, both of the
+    swim's own age group. Without a base time or with a rank of -1, points are 0.
+    """
+    youth = (F.col("course") == "SCM") & F.exists("category", lambda x: x.contains("DMY")) & (F.col("relay_count") == 1)
+    rows = rows.withColumn("age_group", F.when(youth, "Y").otherwise("S"))
+    rows = rows.withColumns({"own_season": F.when(F.col("age_group") == "Y", F.lit(youth_season)).otherwise(F.col("season")), "base_stroke": stroke_to_base(F.col("stroke"))})
     table = base_times.withColumnRenamed("stroke", "base_stroke")
-    keys = ["course", "gender", "relay_count", "distance", "base_stroke"]
-    own = table.select("age_group", F.col("season").alias("own_season"), *keys, F.col("basetime_in_sec").alias("own"))
-    fixed = table.where((F.col("season") == fixed_season) & (F.col("age_group") == "senior")).select(*keys, F.col("basetime_in_sec").alias("fixed"))
-    rows = rows.join(own, ["age_group", "own_season", *keys], "left").join(fixed, keys, "left")
-    points = lambda base: F.coalesce(wa_points(F.col(base), F.col("completed_centiseconds")), F.lit(0))
+    keys = ["age_group", "course", "gender", "relay_count", "distance", "base_stroke"]
+    own = table.select(F.col("season").alias("own_season"), *keys, F.col("basetime_in_sec").alias("own"))
+    fixed = table.where(F.col("season") == fixed_season).select(*keys, F.col("basetime_in_sec").alias("fixed"))
+    rows = rows.join(own, ["own_season", *keys], "left").join(fixed, keys, "left")
+    swum = F.when(F.coalesce("rank", F.lit(0)) != -1, F.col("completed_centiseconds"))
+    points = lambda base: F.coalesce(wa_points(F.col(base), swum), F.lit(0))
     return rows.withColumns({"points": points("own"), "points_fixed": points("fixed")}).drop("own", "fixed", "own_season", "base_stroke")

@@ -6,18 +6,28 @@ SQL over the same derived tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from natatio.functions import fields
 from natatio.operators import agegroups, audit, curate, views
-from natatio.plans import fixture
+from natatio.plans import fixture, registry
+from natatio.schemas import CURATED
 from natatio.sources import lake, raw
+from natatio.streaming import curate_stream
 
 #: The fixed reference season of the derived data.
 FIXED = 2000
 
 
+def _text_time(c: Column) -> Column:
+    """Centiseconds as ``M:SS.hh``."""
+    return F.concat(F.expr(f"{c} div 6000"), F.lit(":"), F.lpad(F.expr(f"{c} % 6000 div 100"), 2, "0"), F.lit("."), F.lpad(F.expr(f"{c} % 100"), 2, "0"))
+
+
 class Swims:
     """The derived tables and what is curated from them."""
 
@@ -28,10 +38,18 @@ class Swims:
         self.raw_meets = self.meets.withColumn("venue", F.concat(F.lit("pool "), F.col("course")))
         one = self.swims.where("ord = 0")
         self.races = one.select("meet_id", "race_id", (F.col("race_id") % 40 + 1).alias("number"), F.concat_ws(" ", F.col("distance").cast("string"), "stroke", "gender").alias("race_name"), "distance", "stroke", "gender", "relay_count", "type")
-        c = F.col("completed_centiseconds")
-        text = F.concat((c / 6000).cast("bigint").cast("string"), F.lit(":"), F.lpad(((c % 6000) / 100).cast("bigint").cast("string"), 2, "0"), F.lit("."), F.lpad((c % 100).cast("string"), 2, "0"))
+        text = _text_time("completed_centiseconds")
         self.results = self.swims.select("meet_id", "race_id", F.col("ord").alias("pos"), "rank", "name", "swimmer_id", F.lit("DEN").alias("nationality"), "club", "birth_year", text.alias("completed_time"), "completed_centiseconds")
 
+    @property
+    def nested(self) -> DataFrame:
+        """Raw results with their laps nested, as raw files have them."""
+        laps = self.splits.groupBy("result_id").agg(F.sort_array(F.collect_list(F.struct("cumulative_centiseconds", "distance", "split_centiseconds"))).alias("laps"))
+        empty = F.lit(None).cast("string")
+        own = F.transform("laps", lambda x: F.struct(x.distance.alias("distance"), empty.alias("split_time"), x.split_centiseconds.alias("split_centiseconds"), empty.alias("cumulative_time"), x.cumulative_centiseconds.alias("cumulative_centiseconds")))
+        key = self.swims.select("result_id", "race_id", F.col("ord").alias("pos"))
+        return self.results.join(key.join(laps, "result_id"), ["race_id", "pos"], "left").withColumn("splits", own).drop("result_id", "laps")
+
     @property
     def dim_meet(self) -> DataFrame:
         return curate.build_dim_meet(self.raw_meets)
@@ -44,10 +62,24 @@ class Swims:
     def obt(self) -> DataFrame:
         return curate.build_obt(self.results, self.dim_race, self.dim_meet, self.base, FIXED)
 
+    def zone(self, table: str) -> DataFrame:
+        """A table of the curated zone, which this session writes once from the raw tables."""
+        root, _ = fixture.place(self.spark, self.sf_dir, "zone")
+        mark, there = fixture.place(self.spark, self.sf_dir, "zone-written")
+        if not there:
+            lake.write_curated(curate.curate(self.raw_meets, self.races, self.nested, self.base, self.overrides, FIXED), root)
+            self.spark.range(0).write.mode("overwrite").parquet(mark)
+        return lake.read_curated(self.spark, root, table)
+
+    @property
+    def views(self) -> dict[str, DataFrame]:
+        """What the analytics views read."""
+        return {name: self.zone(name) for name in ("obt_result", "dim_meet", "fact_split")}
+
     @property
     def legacy(self) -> DataFrame:
         """The wide table with the row's place in its race."""
-        return self.obt.withColumn("ord", F.substring_index("result_id", "-", -1).cast("bigint"))
+        return self.zone("obt_result").withColumn("ord", F.substring_index("result_id", "-", -1).cast("bigint"))
 
 
 EVENT = "course, gender, distance, stroke"
@@ -77,12 +109,13 @@ obt AS (SELECT * EXCLUDE (base, base_fixed, base_stroke, any_points, any_fixed),
     CASE WHEN class <> 'para' AND coalesce(rank, 0) <> -1 THEN any_fixed END AS points_fixed FROM pts),
 res AS (SELECT *, season - birth_year AS age, relay_count > 1 AS is_relay, rank = -1 AS is_dq,
     CASE type WHEN 'Heats' THEN 'heats' WHEN 'Final' THEN 'final' ELSE 'timed_final' END AS phase,
-    gender || ' ' || distance || 'm ' || stroke || ' (' || course || ')' AS event FROM obt),
-ind AS (SELECT * FROM res WHERE NOT is_relay AND NOT is_dq AND swimmer_id IS NOT NULL),
+    concat_ws(' ', gender, distance || 'm', stroke, '(' || course || ')') AS event FROM obt),
+ind AS (SELECT * FROM res WHERE relay_count <= 1 AND rank <> -1 AND swimmer_id IS NOT NULL),
+timed AS (FROM ind WHERE completed_centiseconds IS NOT NULL),
 cat AS (SELECT i.*, c.category FROM ind i JOIN (SELECT meet_id, unnest(category) AS category FROM dim_meet) c ON i.meet_id = c.meet_id),
-prelim AS (SELECT category, season, {EVENT}, result_id, swimmer_id, completed_centiseconds,
+prelim AS (SELECT category, season, {EVENT}, completed_centiseconds, completed_time, swimmer_id, name,
     row_number() OVER (PARTITION BY category, season, {EVENT} ORDER BY completed_centiseconds, result_id) AS heat_rank
-    FROM cat WHERE phase = 'heats' AND completed_centiseconds IS NOT NULL),
+    FROM cat WHERE type = 'Heats' AND completed_centiseconds IS NOT NULL),
 aged AS (SELECT *, CASE gender WHEN 'F' THEN age + 1 WHEN 'M' THEN age END AS lvl FROM res),
 grp AS (SELECT *, CASE WHEN lvl BETWEEN 13 AND 15 THEN 'Y' || (lvl - 12) WHEN lvl BETWEEN 16 AND 18 THEN 'J' || (lvl - 15)
     WHEN lvl BETWEEN 19 AND 21 THEN 'S' || (lvl - 18) WHEN lvl > 21 THEN 'S' ELSE '-' END AS age_group FROM aged)
@@ -93,36 +126,42 @@ FACT = ", ".join(curate.FACT_COLUMNS)
 RESULTS = OBT + ", age, is_relay, is_dq, phase, event"
 
 
-def _best_sql(keys: str) -> str:
-    at = lambda x: f"arg_min({x}, row(completed_centiseconds, meet_date, result_id)) FILTER (WHERE {x} IS NOT NULL AND completed_centiseconds IS NOT NULL)"
-    return f"SELECT swimmer_id, {EVENT}{keys}, min(name) AS name, min(completed_centiseconds) AS best_cs, {at('completed_time')} AS best_time, {at('meet_id')} AS meet_id, {at('points')} AS points, {at('points_fixed')} AS points_fixed FROM ind GROUP BY ALL"
+def _best_sql(keys: str, columns: str) -> str:
+    """Each column from the swims that have it, in order of time."""
+    first = lambda c: f"(list({c} ORDER BY completed_centiseconds, meet_date, result_id) FILTER (WHERE {c} IS NOT NULL))[1]"
+    named = ", ".join(f"{first(c)} AS {'best_time' if c == 'completed_time' else c}" for c in columns.split())
+    return f"SELECT swimmer_id, {keys}, min(name) AS name, min(completed_centiseconds) AS best_centiseconds, {named} FROM timed GROUP BY swimmer_id, {keys}"
 
 
-def _rank_sql(keys: str, by: str, name: str) -> str:
-    return f"SELECT {keys}, result_id, swimmer_id, name, club, {by}, rank() OVER (PARTITION BY {keys} ORDER BY {by} DESC) AS {name} FROM ind WHERE {by} IS NOT NULL"
+def _rank_sql(keys: str, by: str, name: str, columns: str) -> str:
+    """A rank is one more than the number of better swims."""
+    return f"SELECT {keys}, {columns}, CAST(1 + count(*) OVER (PARTITION BY {keys} ORDER BY {by} DESC RANGE UNBOUNDED PRECEDING) - count(*) OVER (PARTITION BY {keys}, {by}) AS BIGINT) AS {name} FROM ind WHERE {by} IS NOT NULL"
 
 
-def _age_rank_sql(columns: str) -> str:
-    return f"""SELECT {columns}, CASE WHEN own = 1 AND ok THEN row_number() OVER (PARTITION BY meet_id, number, age_group, own = 1 AND ok ORDER BY points DESC NULLS LAST, result_id) ELSE 0 END AS age_rank
-    FROM (SELECT *, row_number() OVER (PARTITION BY meet_id, number, age_group, name, ok ORDER BY points DESC NULLS LAST, result_id) AS own
-        FROM (SELECT *, coalesce(relay_count = 1 AND rank >= 1, false) AS ok FROM grp))"""
+def _age_rank_sql(columns: str, where: str = "true") -> str:
+    """Each swimmer's first row by points; places are counted among these."""
+    return f"""SELECT {columns}, coalesce(place, 0) AS age_rank FROM grp LEFT JOIN (
+    SELECT result_id, row_number() OVER (PARTITION BY meet_id, number, age_group ORDER BY points DESC NULLS LAST, result_id) AS place FROM
+        (SELECT * FROM grp WHERE relay_count = 1 AND rank >= 1 AND age_group IN ('Y1', 'Y2', 'Y3', 'J1', 'J2', 'J3', 'S1', 'S2', 'S3', 'S')
+        QUALIFY row_number() OVER (PARTITION BY meet_id, number, age_group, name ORDER BY points DESC NULLS LAST, result_id) = 1)) USING (result_id) WHERE {where}"""
 
 
 def _override_rows(x: Swims) -> tuple[DataFrame, DataFrame]:
-    change = x.overrides.where("race_id % 5 = 0").select("meet_id", "race_id", F.lit("open").alias("class"))
-    new = x.races.where("race_id % 47 = 1").select("meet_id", "race_id", F.lit("para").alias("class"))
+    """The overrides, and a change to them: some are opened, then some races become para, some of them after being open."""
+    change = x.overrides.where("race_id % 5 = 0").select("meet_id", "race_id", F.lit("open").alias("class"), F.lit(1).alias("pos"))
+    new = x.races.where("race_id % 47 = 1").select("meet_id", "race_id", F.explode(F.array(F.struct(F.lit("para").alias("class"), F.lit(3).alias("pos")), F.struct(F.lit("open").alias("class"), F.lit(2).alias("pos")))).alias("c")).select("meet_id", "race_id", "c.*")
     return x.overrides, change.unionByName(new)
 
 
 def _legacy_base(x: Swims) -> DataFrame:
     """Youth base times are a twentieth slower."""
-    senior = x.base.withColumn("age_group", F.lit("senior"))
-    return senior.unionByName(x.base.withColumns({"age_group": F.lit("youth"), "basetime_in_sec": F.col("basetime_in_sec") * 1.05}))
+    senior = x.base.withColumn("age_group", F.lit("S"))
+    return senior.unionByName(x.base.withColumns({"age_group": F.lit("Y"), "basetime_in_sec": F.col("basetime_in_sec") * 1.05}))
 
 
 def _legacy_rows(x: Swims) -> DataFrame:
-    category = F.when(F.substring("meet_id", 6, 1).cast("int") % 2 == 0, F.array(F.lit("DMY"))).otherwise(F.array(F.lit("DO")))
-    return x.legacy.select("result_id", "season", "course", "gender", "relay_count", "distance", "stroke", "completed_centiseconds", category.alias("category"))
+    category = F.when(F.substring("meet_id", 6, 1).cast("int") % 2 == 0, F.array(F.lit("DO"), F.lit("DMY-K"))).otherwise(F.array(F.lit("DO")))
+    return x.legacy.select("result_id", "season", "course", "gender", "relay_count", "distance", "stroke", "rank", "completed_centiseconds", category.alias("category"))
 
 
 def _registry(x: Swims) -> DataFrame:
@@ -160,17 +199,20 @@ def _orders(x: Swims) -> DataFrame:
 def _times(x: Swims) -> DataFrame:
     """Times as pages show them, from the prices of orders."""
     cents = F.floor(F.col("o_totalprice")).cast("bigint") % 100000
-    k = F.col("o_orderkey") % 6
-    second, hundredth = F.lpad((cents % 6000 / 100).cast("bigint").cast("string"), 2, "0"), F.lpad((cents % 100).cast("string"), 2, "0")
-    text = F.when(k == 0, "DSQ").when(k == 1, F.concat(second, F.lit("."), hundredth)).when(k == 2, F.concat(second, F.lit(","), F.substring(hundredth, 1, 1))).otherwise(F.concat((cents / 6000).cast("bigint").cast("string"), F.lit(":"), second, F.lit("."), hundredth))
-    return _orders(x).select(F.col("o_orderkey"), text.alias("text"))
-
-
-_TIMES_SQL = """WITH c AS (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) % 100000 AS cents FROM orders),
-d AS (SELECT *, lpad(CAST(cents % 6000 // 100 AS VARCHAR), 2, '0') AS s, lpad(CAST(cents % 100 AS VARCHAR), 2, '0') AS h FROM c),
-t AS (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 'DSQ' WHEN 1 THEN s || '.' || h WHEN 2 THEN s || ',' || substr(h, 1, 1) ELSE (cents // 6000) || ':' || s || '.' || h END AS text,
-    CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN CAST(s AS BIGINT) * 100 + CAST(h AS BIGINT) WHEN 2 THEN CAST(s AS BIGINT) * 100 + CAST(substr(h, 1, 1) AS BIGINT) * 10
-        ELSE (cents // 6000) * 6000 + CAST(s AS BIGINT) * 100 + CAST(h AS BIGINT) END AS cs FROM d)
+    k, second, hundredth = F.col("o_orderkey") % 10, F.lpad(F.expr("cents % 6000 div 100"), 2, "0"), F.lpad(F.expr("cents % 100"), 2, "0")
+    minute, dot, colon = F.expr("cents div 6000").cast("string"), F.lit("."), F.lit(":")
+    text = F.when(k == 0, "DSQ").when(k == 1, F.concat(second, dot, hundredth)).when(k == 2, F.concat(second, F.lit(","), F.substring(hundredth, 1, 1))).when(k == 3, second)
+    text = text.when(k == 4, F.concat(minute, colon, second)).when(k == 5, F.concat(minute, colon, second, dot)).when(k == 6, F.concat(F.lit(" "), minute, colon, second, dot, hundredth, F.lit("9a"))).when(k == 7, F.concat(minute, colon, minute, colon, second))
+    text = text.otherwise(F.concat(minute, colon, second, dot, hundredth))
+    return _orders(x).withColumn("cents", cents).select("o_orderkey", text.alias("text"))
+
+
+_TIMES_SQL = """WITH c AS (SELECT o_orderkey, o_orderkey % 10 AS k, CAST(floor(o_totalprice) AS BIGINT) % 100000 AS cents FROM orders),
+d AS (SELECT *, cents // 6000 AS m, lpad(CAST(cents % 6000 // 100 AS VARCHAR), 2, '0') AS s, lpad(CAST(cents % 100 AS VARCHAR), 2, '0') AS h FROM c),
+t AS (SELECT o_orderkey, CASE k WHEN 0 THEN 'DSQ' WHEN 1 THEN s || '.' || h WHEN 2 THEN s || ',' || substr(h, 1, 1) WHEN 3 THEN s WHEN 4 THEN m || ':' || s WHEN 5 THEN m || ':' || s || '.'
+        WHEN 6 THEN ' ' || m || ':' || s || '.' || h || '9a' WHEN 7 THEN m || ':' || m || ':' || s ELSE m || ':' || s || '.' || h END AS text,
+    CASE WHEN k IN (0, 7) THEN NULL ELSE CASE WHEN k < 4 THEN 0 ELSE m * 6000 END + CAST(s AS BIGINT) * 100
+        + CASE WHEN k IN (3, 4, 5) THEN 0 WHEN k = 2 THEN CAST(substr(h, 1, 1) AS BIGINT) * 10 ELSE CAST(h AS BIGINT) END END AS cs FROM d)
 SELECT o_orderkey, text, cs, cs / 100.0::DOUBLE AS seconds FROM t"""
 
 
@@ -188,24 +230,55 @@ t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN CAST(day AS VARCHAR)
 SELECT o_orderkey, text, day, CAST(year(day) + CASE WHEN month(day) > 7 THEN 1 ELSE 0 END AS BIGINT) AS season, CAST(year(day) + CASE WHEN month(day) > 8 THEN 1 ELSE 0 END AS BIGINT) AS legacy_season FROM t"""
 
 
+def _pick(values: tuple, by: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), (by % len(values) + 1).cast("int"))
+
+
 def _events(x: Swims) -> DataFrame:
     k = F.col("o_orderkey")
-    pick = lambda values, by: F.element_at(F.array(*map(F.lit, values)), (by % len(values) + 1).cast("int"))
-    stroke, gender = pick(("Fri", "Ryg", "Bryst", "Fly", "IM"), k), pick(("Herrer", "Damer", "Mix"), k)
+    stroke, gender = _pick(("Fri", "Ryg", "Bryst", "Hold medley", "IM"), k), _pick(("Herrer", "Damer", "Mix", "Herrer Para"), k)
     distance = F.concat((k % 9 + 1).cast("string"), F.lit("00"))
-    name = F.when(k % 11 == 0, "Pause").when(k % 4 == 0, F.concat(F.lit("4 x "), distance, F.lit(" "), stroke, F.lit(" - "), gender)).when(k % 13 == 0, F.concat(F.lit("1.500 "), stroke, F.lit(" - "), gender)).otherwise(F.concat(distance, F.lit(" "), stroke, F.lit(" - "), gender))
-    heading = F.concat(pick(("Direkte finale", "Finale A", "Indledende heat", "Swim-off 1", "Andet"), k), F.lit(""))
+    one = F.concat(distance, F.lit(" "), stroke)
+    event = F.when(k % 6 == 0, F.concat(F.lit("4 x "), one)).when(k % 13 == 0, F.concat(F.lit("1.500 "), stroke)).when(k % 17 == 0, F.concat(distance, F.lit("m "), stroke)).when(k % 19 == 0, stroke).otherwise(one)
+    name = F.when(k % 11 == 0, "Pause").when(k % 23 == 0, F.concat(event, F.lit(" - "), gender, F.lit(" - A"))).otherwise(F.concat(event, F.lit(" - "), gender))
+    heading = _pick(("Direkte finale", "Finale A", "Indledende heat", "Swim-off 1", "Andet"), k)
     url = F.concat(F.lit("https://example.org/race?x=1&id="), k.cast("string"))
     return _orders(x).select(k, url.alias("url"), (k % 50).cast("string").alias("number"), name.alias("name"), heading.alias("heading"))
 
 
-_EVENTS_SQL = """WITH k AS (SELECT o_orderkey AS k, ['Fri', 'Ryg', 'Bryst', 'Fly', 'IM'][o_orderkey % 5 + 1] AS stroke, ['Herrer', 'Damer', 'Mix'][o_orderkey % 3 + 1] AS g,
-    (o_orderkey % 9 + 1) * 100 AS distance FROM orders)
-SELECT k AS race_id, CAST(k % 50 AS BIGINT) AS number, CASE WHEN k % 11 = 0 THEN 'Pause' WHEN k % 4 = 0 THEN '4 x ' || distance || ' ' || stroke || ' - ' || g
-        WHEN k % 13 = 0 THEN '1.500 ' || stroke || ' - ' || g ELSE distance || ' ' || stroke || ' - ' || g END AS name,
-    CASE WHEN k % 11 = 0 THEN NULL WHEN k % 4 <> 0 AND k % 13 = 0 THEN 1500 ELSE distance END AS distance, CASE WHEN k % 11 <> 0 THEN stroke END AS stroke,
-    CASE WHEN k % 11 <> 0 THEN ['M', 'F', 'X'][k % 3 + 1] END AS gender, CAST(CASE WHEN k % 11 <> 0 AND k % 4 = 0 THEN 4 ELSE 1 END AS BIGINT) AS relay_count,
-    ['Timed final', 'Final', 'Heats', 'Swim-off', 'Andet'][k % 5 + 1] AS type FROM k"""
+_EVENTS_SQL = """WITH k AS (SELECT o_orderkey AS k, ['Fri', 'Ryg', 'Bryst', 'Hold medley', 'IM'][o_orderkey % 5 + 1] AS s, ['Herrer', 'Damer', 'Mix', 'Herrer Para'][o_orderkey % 4 + 1] AS g,
+    (o_orderkey % 9 + 1) * 100 AS d, k % 6 = 0 AS relay, k % 11 <> 0 AND k % 23 <> 0 AS good FROM orders),
+e AS (SELECT *, CASE WHEN relay THEN '4 x ' || d || ' ' || s WHEN k % 13 = 0 THEN '1.500 ' || s WHEN k % 17 = 0 THEN d || 'm ' || s WHEN k % 19 = 0 THEN s ELSE d || ' ' || s END AS event,
+    NOT relay AND k % 13 <> 0 AND k % 17 <> 0 AND k % 19 = 0 AS bare FROM k)
+SELECT k AS race_id, CAST(k % 50 AS BIGINT) AS number, CASE WHEN k % 11 = 0 THEN 'Pause' WHEN k % 23 = 0 THEN event || ' - ' || g || ' - A' ELSE event || ' - ' || g END AS name,
+    CASE WHEN NOT good OR bare THEN NULL WHEN relay THEN d WHEN k % 13 = 0 THEN 1500 WHEN k % 17 = 0 THEN NULL ELSE d END AS distance,
+    CASE WHEN NOT good THEN NULL WHEN bare THEN CASE WHEN s = 'Hold medley' THEN 'medley' END ELSE s END AS stroke,
+    CASE WHEN good THEN ['M', 'F', 'X', NULL][k % 4 + 1] END AS gender, CAST(CASE WHEN good AND relay THEN 4 ELSE 1 END AS BIGINT) AS relay_count,
+    ['Timed final', 'Final', 'Heats', 'Swim-off', 'Andet'][k % 5 + 1] AS type FROM e"""
+
+
+def _legacy_cells(x: Swims) -> DataFrame:
+    """Strings of the old result pages, from orders, and what they mean."""
+    k = F.col("o_orderkey")
+    cells = _orders(x).select(k, _pick(("50", "4X100", "10x25", "x"), k).alias("relay"), _pick(("=3", "7", "-", "DSQ"), k).alias("place"), _pick(("Herrer", "d", "MIX", "Alle"), k).alias("sex"), _pick(("fri", "Butterfly", "IM", "Ryg", "andet"), k).alias("swim"), _pick(("512", "", " ", None, "x"), k).alias("score"), _pick(("25m", "50m", "25m bane"), k).alias("pool"))
+    c = F.col
+    relay = fields.legacy_relay(c("relay"))
+    return cells.select(k, relay.relay_count.alias("relay_count"), relay.distance.alias("distance"), fields.legacy_rank(c("place")).alias("rank"), fields.legacy_gender(c("sex")).alias("gender"), fields.legacy_stroke(c("swim")).alias("stroke"), fields.legacy_points(c("score")).alias("points"), fields.legacy_course_code(c("pool")).alias("course"))
+
+
+_LEGACY_CELLS_SQL = """SELECT k AS o_orderkey, CAST([1, 4, 10, 1][k % 4 + 1] AS BIGINT) AS relay_count, CAST([50, 100, 25, NULL][k % 4 + 1] AS BIGINT) AS distance, CAST([3, 7, -1, NULL][k % 4 + 1] AS BIGINT) AS rank,
+    ['M', 'F', 'X', '?'][k % 4 + 1] AS gender, ['FREE', 'FLY', 'MEDLEY', 'BACK', '?'][k % 5 + 1] AS stroke, CAST(CASE WHEN k % 5 = 0 THEN 512 ELSE 0 END AS BIGINT) AS points,
+    ['SCM', 'LCM', '?'][k % 3 + 1] AS course FROM (SELECT o_orderkey AS k FROM orders)"""
+
+
+def _race_types(x: Swims) -> DataFrame:
+    k = F.col("o_orderkey")
+    heading = _pick(("Direkte finale", "FINALE A", "Indledende heat", "Swim-off 1", "Andet", "Omsvømning swim-off", "Indledende direkte", None), k)
+    return _orders(x).select(k, heading.alias("heading")).withColumn("type", fields.race_type(F.col("heading")))
+
+
+_RACE_TYPES_SQL = """SELECT o_orderkey, ['Direkte finale', 'FINALE A', 'Indledende heat', 'Swim-off 1', 'Andet', 'Omsvømning swim-off', 'Indledende direkte', NULL][o_orderkey % 8 + 1] AS heading,
+    ['Timed final', 'Final', 'Heats', 'Swim-off', 'Andet', 'Omsvømning swim-off', 'Timed final', NULL][o_orderkey % 8 + 1] AS type FROM orders"""
 
 
 def _cells(x: Swims) -> DataFrame:
@@ -233,70 +306,205 @@ def _result_fields(x: Swims) -> DataFrame:
     return cells.select("o_orderkey", "time_text", "rank", "swimmer_id", "nationality", "birth_year", "completed_centiseconds", fields.course_code(F.col("pool")).alias("course"), F.array_join(fields.split_categories(F.col("categories")), "+").alias("categories"))
 
 
+def _with_text(rows: DataFrame, add: int | Column = 0) -> DataFrame:
+    """Base times with their text, so many hundredths more."""
+    return rows.withColumn("cs", F.round(F.col("basetime_in_sec") * 100).cast("bigint") + add).withColumn("basetime", _text_time("cs")).drop("cs")
+
+
 def _base_text(x: Swims) -> DataFrame:
-    """Base times with their text; every 37th text is a second off."""
-    cs = F.round(F.col("basetime_in_sec") * 100).cast("bigint") + F.when(F.col("distance") % 350 == 0, 100).otherwise(0)
-    text = F.concat((cs / 100).cast("bigint").cast("string"), F.lit("."), F.lpad((cs % 100).cast("string"), 2, "0"))
-    return x.base.withColumn("basetime", text)
+    """Base times with their text; some texts are a second off."""
+    return _with_text(x.base, F.when(F.col("distance") % 350 == 0, 100).otherwise(0))
+
+
+def _legacy_texts(x: Swims) -> DataFrame:
+    """Legacy base times a second slower than the official ones, with a later repeat of each that is ten slower."""
+    return _with_text(x.base, 100).withColumn("pos", F.lit(0)).unionByName(_with_text(x.base, 1000).withColumn("pos", F.lit(1)))
 
 
 def _union(x: Swims) -> DataFrame:
-    official = x.base.where("season >= 1996")
-    return curate.build_base_times(official, x.base.withColumn("basetime_in_sec", F.col("basetime_in_sec") + 1))
+    return curate.build_base_times(_with_text(x.base.where("season >= 1996")), _legacy_texts(x))
 
 
-_UNION_SQL = """, joined AS (SELECT season, course, gender, relay_count, distance, stroke, CASE WHEN season >= 1996 THEN basetime_in_sec ELSE basetime_in_sec + 1 END AS basetime_in_sec,
-    CASE WHEN season >= 1996 THEN 'official' ELSE 'legacy' END AS source FROM fx_base_times)"""
+_UNION_SQL = """, secs AS (SELECT *, CAST(round(basetime_in_sec * 100) AS BIGINT) + CASE WHEN season >= 1996 THEN 0 ELSE 100 END AS c FROM fx_base_times),
+joined AS (SELECT season, course, gender, relay_count, distance, stroke, (c // 6000) || ':' || lpad(CAST(c % 6000 // 100 AS VARCHAR), 2, '0') || '.' || lpad(CAST(c % 100 AS VARCHAR), 2, '0') AS basetime,
+    c / 100.0::DOUBLE AS basetime_in_sec, CASE WHEN season >= 1996 THEN 'wa-doc' ELSE 'legacy-csv' END AS source FROM secs)"""
 _STANDARD = f"""SELECT category, season, {EVENT}, count(*) AS swims, min(completed_centiseconds) AS best_cs, quantile_cont(completed_centiseconds, 0.25) AS p25_cs,
     quantile_cont(completed_centiseconds, 0.5) AS median_cs, quantile_cont(completed_centiseconds, 0.75) AS p75_cs, avg(completed_centiseconds) FILTER (WHERE r <= 8) AS top8_avg_cs
     FROM (SELECT *, rank() OVER (PARTITION BY category, season, {EVENT} ORDER BY completed_centiseconds) AS r FROM cat WHERE completed_centiseconds IS NOT NULL) GROUP BY ALL"""
-_PACING = f"""SELECT h.*, swimmer_id, season, {EVENT} FROM (SELECT result_id, CAST(max(n) AS BIGINT) AS laps, CAST(sum(split_centiseconds) FILTER (WHERE lap <= n // 2) AS BIGINT) AS first_half_cs,
-    CAST(sum(split_centiseconds) FILTER (WHERE lap > n // 2) AS BIGINT) AS second_half_cs,
-    CAST(sum(split_centiseconds) FILTER (WHERE lap > n // 2) - sum(split_centiseconds) FILTER (WHERE lap <= n // 2) AS BIGINT) AS delta_cs,
-    sum(split_centiseconds) FILTER (WHERE lap > n // 2) < sum(split_centiseconds) FILTER (WHERE lap <= n // 2) AS negative_split
-    FROM (SELECT *, row_number() OVER (PARTITION BY result_id ORDER BY cumulative_centiseconds) AS lap, count(*) OVER (PARTITION BY result_id) AS n FROM fx_splits WHERE split_centiseconds IS NOT NULL)
-    GROUP BY result_id) h JOIN ind USING (result_id)"""
-_IMPROVERS = f"""SELECT swimmer_id, {EVENT}, season, name, last_season, last_cs - best_cs AS cs_dropped, best_points - last_points AS points_gained FROM
-    (SELECT *, lag(season) OVER w AS last_season, lag(best_cs) OVER w AS last_cs, lag(best_points) OVER w AS last_points FROM
-        (SELECT swimmer_id, {EVENT}, season, min(name) AS name, min(completed_centiseconds) AS best_cs, max(points) AS best_points FROM ind GROUP BY ALL)
-    WINDOW w AS (PARTITION BY swimmer_id, {EVENT} ORDER BY season)) WHERE last_season IS NOT NULL"""
-_SINGLE = "swimmer_id IS NOT NULL AND points IS NOT NULL"
-_LEGACY = f""", lb AS (SELECT *, 'senior' AS age_group FROM fx_base_times UNION ALL SELECT season, course, gender, relay_count, distance, stroke, basetime_in_sec * 1.05::DOUBLE, 'youth' FROM fx_base_times),
-lr AS (SELECT *, coalesce(course = 'SCM' AND CAST(substr(meet_id, 6, 1) AS INT) % 2 = 0 AND relay_count = 1, false) AS youth,
-    CASE stroke WHEN 'Fri' THEN 'FREE' WHEN 'Ryg' THEN 'BACK' WHEN 'Bryst' THEN 'BREAST' WHEN 'Fly' THEN 'FLY' ELSE 'MEDLEY' END AS base_stroke FROM obt)
-SELECT lr.result_id, CASE WHEN youth THEN 'youth' ELSE 'senior' END AS age_group,
-    coalesce(CAST(trunc(1000.0::DOUBLE * pow(b.basetime_in_sec / (completed_centiseconds::DOUBLE / 100.0::DOUBLE), 3.0::DOUBLE)) AS BIGINT), 0) AS points,
-    coalesce(CAST(trunc(1000.0::DOUBLE * pow(f.basetime_in_sec / (completed_centiseconds::DOUBLE / 100.0::DOUBLE), 3.0::DOUBLE)) AS BIGINT), 0) AS points_fixed
-    FROM lr LEFT JOIN lb b ON b.age_group = CASE WHEN youth THEN 'youth' ELSE 'senior' END AND b.season = CASE WHEN youth THEN 1996 ELSE lr.season END AND b.course = lr.course AND b.gender = lr.gender
+_PACING = f"""SELECT result_id, name, {EVENT}, season, meet_name, CAST(a AS BIGINT) AS first_half_cs, CAST(b AS BIGINT) AS second_half_cs, CAST(b - a AS BIGINT) AS back_half_delta_cs, b < a AS negative_split
+    FROM (SELECT result_id, list_sum(laps[: len(laps) // 2]) AS a, list_sum(laps[len(laps) // 2 + 1 :]) AS b
+        FROM (SELECT result_id, list(split_centiseconds ORDER BY cumulative_centiseconds) AS laps FROM fx_splits WHERE split_centiseconds IS NOT NULL GROUP BY result_id) WHERE len(laps) > 1)
+    JOIN ind USING (result_id)"""
+_PROGRESSION = f"""SELECT result_id, swimmer_id, name, {EVENT}, season, meet_date, meet_name, completed_centiseconds, completed_time, points,
+    completed_centiseconds - first_value(completed_centiseconds) OVER w AS delta_centiseconds, points - first_value(points) OVER w AS delta_points
+    FROM timed WINDOW w AS (PARTITION BY swimmer_id, {EVENT} ORDER BY meet_date, result_id ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING)"""
+_IMPROVERS = f""", best AS (SELECT swimmer_id, {EVENT}, season, min(name) AS name, min(completed_centiseconds) AS cs, max(points) AS p FROM timed GROUP BY ALL)
+SELECT now.swimmer_id, now.name, now.course, now.gender, now.distance, now.stroke, now.season, now.cs AS best_cs, old.cs AS prev_best_cs, old.cs - now.cs AS improvement_centiseconds, now.p - old.p AS improvement_points
+    FROM best now ASOF JOIN best old ON now.swimmer_id = old.swimmer_id AND now.course = old.course AND now.gender = old.gender AND now.distance = old.distance AND now.stroke = old.stroke AND now.season > old.season"""
+_AGES = f"""SELECT season, {EVENT}, age_group, swimmer_id, name, club, age, completed_time, points, rank() OVER (PARTITION BY season, {EVENT}, age_group ORDER BY completed_centiseconds) AS age_group_rank
+    FROM (SELECT *, CASE WHEN age < 13 THEN '<=12' WHEN age < 15 THEN '13-14' WHEN age < 17 THEN '15-16' WHEN age < 19 THEN '17-18' ELSE '19+' END AS age_group FROM timed WHERE age IS NOT NULL)"""
+_MEETS = """SELECT * FROM (SELECT meet_id, min(meet_name) AS meet_name, min(meet_date) AS meet_date, min(season) AS season, count(*) AS results, count(DISTINCT race_id) AS races, count(DISTINCT swimmer_id) AS swimmers FROM res GROUP BY meet_id)
+    LEFT JOIN (SELECT meet_id, points AS top_points, swimmer_id AS top_points_swimmer FROM res WHERE swimmer_id IS NOT NULL AND points IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY meet_id ORDER BY points DESC, result_id DESC) = 1) USING (meet_id)"""
+_CLUBS = """SELECT club, season, count(*) AS swims, count(DISTINCT swimmer_id) AS swimmers, count(*) FILTER (WHERE rank IN (1, 2, 3)) AS podiums, CAST(sum(points) AS BIGINT) AS total_points, max(points) AS best_points
+    FROM ind WHERE club IS NOT NULL GROUP BY club, season"""
+_CUT = f"SELECT category, season, {EVENT}, completed_centiseconds AS cutline_centiseconds, completed_time AS cutline_time, swimmer_id, name FROM prelim WHERE heat_rank = "
+_LEGACY = f""", lb AS (SELECT *, 'S' AS age_group FROM fx_base_times UNION ALL SELECT season, course, gender, relay_count, distance, stroke, basetime_in_sec * 1.05::DOUBLE, 'Y' FROM fx_base_times),
+lr AS (SELECT *, CASE WHEN course = 'SCM' AND CAST(substr(meet_id, 6, 1) AS INT) % 2 = 0 AND relay_count = 1 THEN 'Y' ELSE 'S' END AS age_group,
+    CASE stroke WHEN 'Fri' THEN 'FREE' WHEN 'Ryg' THEN 'BACK' WHEN 'Bryst' THEN 'BREAST' WHEN 'Fly' THEN 'FLY' ELSE 'MEDLEY' END AS base_stroke FROM obt),
+lp AS (SELECT lr.result_id, lr.age_group, lr.rank, completed_centiseconds::DOUBLE / 100.0::DOUBLE AS t, b.basetime_in_sec AS own, f.basetime_in_sec AS fixed
+    FROM lr LEFT JOIN lb b ON b.age_group = lr.age_group AND b.season = CASE lr.age_group WHEN 'Y' THEN 1996 ELSE lr.season END AND b.course = lr.course AND b.gender = lr.gender
         AND b.relay_count = lr.relay_count AND b.distance = lr.distance AND b.stroke = lr.base_stroke
-    LEFT JOIN lb f ON f.age_group = 'senior' AND f.season = {FIXED} AND f.course = lr.course AND f.gender = lr.gender AND f.relay_count = lr.relay_count AND f.distance = lr.distance AND f.stroke = lr.base_stroke"""
+    LEFT JOIN lb f ON f.age_group = lr.age_group AND f.season = {FIXED} AND f.course = lr.course AND f.gender = lr.gender AND f.relay_count = lr.relay_count AND f.distance = lr.distance AND f.stroke = lr.base_stroke)
+SELECT result_id, age_group, CASE WHEN rank = -1 THEN 0 ELSE coalesce(CAST(trunc(1000.0::DOUBLE * pow(own / t, 3.0::DOUBLE)) AS BIGINT), 0) END AS points,
+    CASE WHEN rank = -1 THEN 0 ELSE coalesce(CAST(trunc(1000.0::DOUBLE * pow(fixed / t, 3.0::DOUBLE)) AS BIGINT), 0) END AS points_fixed FROM lp"""
+
+
+def _json_lines(x: Swims, left_out: str = "false") -> DataFrame:
+    """``(meet, kind, a, b, value)``: the lines of the raw files; meets of a condition have no result lines."""
+    line = lambda frame, kind, a, b, record: frame.select(F.col("meet_id").alias("meet"), F.lit(kind).alias("kind"), a.cast("bigint").alias("a"), b.cast("bigint").alias("b"), F.to_json(record).alias("value"))
+    c, zero = F.col, F.lit(0)
+    meet = F.struct(c("meet_id").cast("bigint").alias("meet_id"), c("meet_name").alias("meet"), "venue", "course", "season", F.date_format("meet_date", "dd-MM-yyyy").alias("date"), "category")
+    race = F.struct("race_id", "number", c("race_name").alias("name"), "distance", "stroke", "gender", "relay_count", "type")
+    result = F.struct("race_id", c("rank").alias("Rank"), c("name").alias("Name"), c("swimmer_id").alias("Swimmer_id"), "nationality", "club", "birth_year", "completed_time", "completed_centiseconds", "splits")
+    return line(x.raw_meets, "meet_info", zero, zero, meet).union(line(x.races, "races", c("race_id"), zero, race)).union(line(x.nested.where(f"not ({left_out})"), "results", c("race_id"), c("pos"), result))
+
+
+def _write_raw(x: Swims, root: str, left_out: str = "false") -> None:
+    """The raw zone: ``meet=<id>/<kind>.jsonl``, written by Spark and named as a scrape names its files."""
+    lines = _json_lines(x, left_out).repartition("meet", "kind").sortWithinPartitions("meet", "kind", "a", "b")
+    lines.select("meet", "kind", "value").write.partitionBy("meet", "kind").text(f"{root}-parts")
+    fs, parts = lake.place(x.spark, f"{root}-parts/meet=*/kind=*/part-*")
+    for status in fs.globStatus(parts):
+        meet, kind, _ = status.getPath().toString().split("/")[-3:]
+        _, to = lake.place(x.spark, f"{root}/{meet}/{kind.split('=')[1]}.jsonl")
+        fs.mkdirs(to.getParent())
+        fs.rename(status.getPath(), to)
+
+
+def _streamed(x: Swims) -> DataFrame:
+    """Raw files of all meets, curated by the stream, and read back."""
+    root = lake.scratch_path(x.spark, "stream")
+    _write_raw(x, f"{root}/raw")
+    curate_stream.curate_stream(x.spark, f"{root}/raw", x.base, x.overrides, f"{root}/lake", f"{root}/offsets", FIXED).awaitTermination()
+    return lake.read_curated(x.spark, f"{root}/lake", "obt_result")
+
+
+def _rescraped(x: Swims) -> DataFrame:
+    """All meets curated, then the quarter of them that a new scrape finds without results curated anew."""
+    root, gone = lake.scratch_path(x.spark, "rescrape"), "cast(meet_id as int) % 4 = 1"
+    for scrape, left_out in (("first", "false"), ("second", gone)):
+        _write_raw(x, f"{root}/{scrape}", left_out)
+    curate_stream.curate_all(x.spark, f"{root}/first", x.base, x.overrides, f"{root}/lake", FIXED)
+    again = [r.meet_id for r in x.meets.where(gone).select("meet_id").collect()]
+    curate_stream.recurate(x.spark, f"{root}/second", again, x.base, x.overrides, f"{root}/lake", FIXED)
+    return _digest({name: lake.read_curated(x.spark, f"{root}/lake", name) for name in CURATED})
+
+
+def _digest(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of all curated tables in one shape."""
+    shape = {
+        "dim_meet": ("meet_id", "cast(null as bigint)", "meet_name"),
+        "dim_race": ("cast(race_id as string)", "number", "class"),
+        "fact_result": ("result_id", "points", "club"),
+        "fact_split": ("concat(result_id, '/', distance)", "split_centiseconds", "cast(cumulative_centiseconds as string)"),
+        "obt_result": ("result_id", "points_fixed", "race_name"),
+    }
+    frames = [rows.selectExpr(f"'{name}' as tab", f"{shape[name][0]} as row_key", "meet_id", "season", "course", f"{shape[name][1]} as value", f"{shape[name][2]} as words") for name, rows in tables.items()]
+    return reduce(DataFrame.union, frames)
+
+
+def _digest_sql(where: str) -> str:
+    return f"""SELECT 'dim_meet' AS tab, meet_id AS row_key, meet_id, season, course, CAST(NULL AS BIGINT) AS value, meet_name AS words FROM dim_meet
+    UNION ALL SELECT 'dim_race', CAST(race_id AS VARCHAR), meet_id, season, course, number, class FROM dim_race
+    UNION ALL SELECT 'fact_result', result_id, meet_id, season, course, points, club FROM obt WHERE {where}
+    UNION ALL SELECT 'fact_split', l.result_id || '/' || l.distance, s.meet_id, l.season, l.course, l.split_centiseconds, CAST(l.cumulative_centiseconds AS VARCHAR) FROM fx_splits l JOIN fx_swims s ON l.result_id = s.result_id WHERE {where}
+    UNION ALL SELECT 'obt_result', result_id, meet_id, season, course, points_fixed, race_name FROM obt WHERE {where}"""
+
+
+def _raw_read(x: Swims) -> DataFrame:
+    """What the raw files say, by meet, race and line."""
+    root = lake.scratch_path(x.spark, "raw")
+    _write_raw(x, root)
+    lines = raw.raw_lines(raw.read_raw_files(x.spark, root))
+    races, meets = raw.raw_races(lines).select("meet_id", "race_id", "race_name"), raw.raw_meets(lines).select("meet_id", "meet_date", F.array_join("category", ",").alias("category"))
+    results = curate.assign_result_ids(raw.raw_results(lines)).select("meet_id", "race_id", "result_id", "rank", "completed_time", F.size("splits").alias("n_splits"))
+    return results.join(races, ["meet_id", "race_id"]).join(meets, "meet_id")
+
+
+def _base_file(x: Swims) -> DataFrame:
+    """Base times written as sorted JSON lines and read back."""
+    path = lake.scratch_path(x.spark, "base")
+    raw.write_base_times(_with_text(x.base).withColumn("source", F.lit("wa-doc")), path)
+    return raw.read_base_times(x.spark, path)
+
+
+def _legacy_file(x: Swims) -> DataFrame:
+    """A legacy CSV, read; with the seconds of the texts and a mark where its own differ."""
+    path = lake.scratch_path(x.spark, "legacy")
+    rows = _with_text(x.base).select(F.col("season").alias("year"), "course", F.when(F.col("distance") % 150 == 0, "Y").otherwise("S").alias("age_group"), "gender", F.when(F.col("distance") % 400 == 0, 10).otherwise(F.col("relay_count")).alias("relay_count"), "distance", "stroke", "basetime", (F.col("basetime_in_sec") + F.when(F.col("season") % 3 == 0, 1).otherwise(0)).alias("basetime_in_sec"))
+    rows.coalesce(1).write.csv(path, header=True)
+    read = raw.read_legacy_base_times(x.spark, path)
+    keys = list(curate.BASE_EVENT)
+    return curate.legacy_base_times(read).join(raw.legacy_warnings(read).select(*keys, F.lit(True).alias("differs")), keys, "left").withColumn("differs", F.coalesce("differs", F.lit(False)))
+
+
+def _overrides_file(x: Swims) -> DataFrame:
+    path = lake.scratch_path(x.spark, "overrides")
+    x.overrides.withColumn("reason", F.lit("told")).write.parquet(path)
+    return raw.read_overrides(x.spark, path)
+
+
+def _catalogued(x: Swims) -> DataFrame:
+    """The curated tables as external tables, asked in SQL."""
+    x.zone("obt_result")
+    root, name = fixture.place(x.spark, x.sf_dir, "zone")[0], f"swims_{uuid.uuid4().hex}"
+    x.spark.sql(f"CREATE DATABASE {name} LOCATION '{lake.scratch_path(x.spark, 'database')}'")
+    lake.register_catalog(x.spark, root, name)
+    return x.spark.sql(f"SELECT o.season, o.course, count(*) AS n, count(o.points) AS scored, count(DISTINCT m.meet_id) AS meets FROM {name}.obt_result o JOIN {name}.dim_meet m ON o.meet_id = m.meet_id GROUP BY o.season, o.course")
+
+
+def _by_name(x: Swims) -> DataFrame:
+    """The views and the table function by name, from SQL."""
+    registry.register_views(x.spark, x.views)
+    return registry.query(x.spark, f"""SELECT p.season, p.course, count(*) AS swimmers, min(p.best_centiseconds) AS best, max(c.cutline_centiseconds) AS slowest_cut FROM season_best p
+        LEFT JOIN cutline_at(3) c ON p.season = c.season AND p.course = c.course AND p.gender = c.gender AND p.distance = c.distance AND p.stroke = c.stroke GROUP BY p.season, p.course""")
+
 
 _DEFINED = {
-    "results_base": (lambda x: views.results(x.obt), f"SELECT {RESULTS} FROM res"),
-    "individual_results": (lambda x: views.individual_results(x.obt), f"SELECT {RESULTS} FROM ind"),
-    "personal_best": (lambda x: views.personal_best(x.obt), _best_sql("")),
-    "season_best": (lambda x: views.season_best(x.obt), _best_sql(", season")),
-    "event_leaderboard": (lambda x: views.event_leaderboard(x.obt), _rank_sql(f"season, {EVENT}", "points", "points_rank")),
-    "swimmer_progression": (lambda x: views.swimmer_progression(x.obt), f"SELECT swimmer_id, {EVENT}, season, meet_date, result_id, completed_centiseconds, points, completed_centiseconds - lag(completed_centiseconds) OVER w AS delta_cs, points - lag(points) OVER w AS delta_points FROM ind WINDOW w AS (PARTITION BY swimmer_id, {EVENT} ORDER BY meet_date, result_id)"),
-    "cross_era_best": (lambda x: views.cross_era_best(x.obt), _rank_sql(EVENT, "points_fixed", "era_rank")),
-    "biggest_improvers": (lambda x: views.biggest_improvers(x.obt), _IMPROVERS),
-    "club_leaderboard": (lambda x: views.club_leaderboard(x.obt), "SELECT club, season, count(*) AS swims, count(DISTINCT swimmer_id) AS swimmers, count(*) FILTER (WHERE rank BETWEEN 1 AND 3) AS podiums, CAST(sum(points) AS BIGINT) AS total_points, max(points) AS best_points FROM ind GROUP BY ALL"),
-    "age_group_ranking": (lambda x: views.age_group_ranking(x.obt), f"SELECT season, {EVENT}, age_band, result_id, swimmer_id, age, completed_centiseconds, rank() OVER (PARTITION BY season, {EVENT}, age_band ORDER BY completed_centiseconds) AS band_rank FROM (SELECT *, CASE WHEN age <= 12 THEN '12-' WHEN age <= 14 THEN '13-14' WHEN age <= 16 THEN '15-16' WHEN age <= 18 THEN '17-18' ELSE '19+' END AS age_band FROM ind WHERE age IS NOT NULL AND completed_centiseconds IS NOT NULL)"),
-    "meet_summary": (lambda x: views.meet_summary(x.obt), f"SELECT meet_id, meet_name, season, course, count(*) AS results, count(DISTINCT race_id) AS races, count(DISTINCT swimmer_id) AS swimmers, max(points) FILTER (WHERE {_SINGLE}) AS top_points, arg_max(swimmer_id, row(points, result_id)) FILTER (WHERE {_SINGLE}) AS top_swimmer FROM obt GROUP BY ALL"),
-    "pacing": (lambda x: views.pacing(x.splits.drop("season", "course", "distance", "race_id"), x.obt), _PACING),
-    "results_by_category": (lambda x: views.results_by_category(x.obt, x.dim_meet), f"SELECT {RESULTS}, category FROM cat"),
-    "event_standard_by_season": (lambda x: views.event_standard_by_season(x.obt, x.dim_meet), _STANDARD),
-    "prelim_ranked": (lambda x: views.prelim_ranked(x.obt, x.dim_meet), "SELECT * FROM prelim"),
-    "final_cutline": (lambda x: views.final_cutline_by_season(x.obt, x.dim_meet), f"SELECT category, season, {EVENT}, completed_centiseconds AS cutline_cs FROM prelim WHERE heat_rank = 8"),
-    "cutline_at_6": (lambda x: views.cutline_at(x.obt, x.dim_meet, 6), f"SELECT category, season, {EVENT}, completed_centiseconds AS cutline_cs FROM prelim WHERE heat_rank = 6"),
+    "results_base": (lambda x: views.results(x.zone("obt_result")), f"SELECT {RESULTS} FROM res"),
+    "individual_results": (lambda x: views.individual_results(x.zone("obt_result")), f"SELECT {RESULTS} FROM ind"),
+    "personal_best": (lambda x: views.personal_best(x.zone("obt_result")), _best_sql(EVENT, "completed_time points meet_name meet_date season")),
+    "season_best": (lambda x: views.season_best(x.zone("obt_result")), _best_sql(f"season, {EVENT}", "completed_time points meet_name meet_date")),
+    "event_leaderboard": (lambda x: views.event_leaderboard(x.zone("obt_result")), _rank_sql(f"season, {EVENT}", "points", "points_rank", "swimmer_id, name, club, points, completed_time, meet_name, meet_date")),
+    "swimmer_progression": (lambda x: views.swimmer_progression(x.zone("obt_result")), _PROGRESSION),
+    "cross_era_best": (lambda x: views.cross_era_best(x.zone("obt_result")), _rank_sql(EVENT, "points_fixed", "era_rank", "swimmer_id, name, club, season, meet_name, meet_date, completed_time, points, points_fixed")),
+    "biggest_improvers": (lambda x: views.biggest_improvers(x.zone("obt_result")), _IMPROVERS),
+    "club_leaderboard": (lambda x: views.club_leaderboard(x.zone("obt_result")), _CLUBS),
+    "age_group_ranking": (lambda x: views.age_group_ranking(x.zone("obt_result")), _AGES),
+    "meet_summary": (lambda x: views.meet_summary(x.zone("obt_result")), _MEETS),
+    "pacing": (lambda x: views.pacing(x.zone("fact_split").select("result_id", "split_centiseconds", "cumulative_centiseconds"), x.zone("obt_result")), _PACING),
+    "results_by_category": (lambda x: views.results_by_category(x.zone("obt_result"), x.zone("dim_meet")), f"SELECT {RESULTS}, category FROM cat"),
+    "event_standard_by_season": (lambda x: views.event_standard_by_season(x.zone("obt_result"), x.zone("dim_meet")), _STANDARD),
+    "prelim_ranked": (lambda x: views.prelim_ranked(x.zone("obt_result"), x.zone("dim_meet")), "SELECT * FROM prelim"),
+    "final_cutline": (lambda x: views.final_cutline_by_season(x.zone("obt_result"), x.zone("dim_meet")), _CUT + "8"),
+    "cutline_at_6": (lambda x: views.cutline_at(x.zone("obt_result"), x.zone("dim_meet"), 6), _CUT + "6"),
+    "views_by_name": (_by_name, ", cuts AS (SELECT DISTINCT ON (category, season, course, gender, distance, stroke) season, course, gender, distance, stroke, completed_centiseconds AS cut FROM prelim WHERE heat_rank = 3), mine AS (SELECT season, course, gender, distance, stroke, swimmer_id, min(completed_centiseconds) AS cs FROM timed GROUP BY ALL) SELECT season, course, count(*) AS swimmers, min(cs) AS best, max(cut) AS slowest_cut FROM mine LEFT JOIN cuts USING (season, course, gender, distance, stroke) GROUP BY season, course"),
     "classify_races": (lambda x: curate.classify_races(x.races, x.overrides).select("meet_id", "race_id", "race_name", "type", "class"), "SELECT meet_id, race_id, race_name, type, class FROM classed"),
     "result_ids": (lambda x: curate.assign_result_ids(x.results).select("meet_id", "race_id", "pos", "result_id"), "SELECT meet_id, race_id, ord AS pos, result_id FROM fx_swims"),
     "dim_meet": (lambda x: x.dim_meet.withColumn("category", F.array_join("category", ",")), "SELECT * REPLACE (array_to_string(category, ',') AS category) FROM dim_meet"),
     "dim_race": (lambda x: x.dim_race, "SELECT * FROM dim_race"),
     "fact_result_points": (lambda x: curate.build_fact_result(x.obt), f"SELECT {FACT} FROM obt"),
-    "fact_split": (lambda x: curate.build_fact_split(_nested(x), x.dim_meet), "SELECT l.result_id, l.race_id, s.meet_id, l.distance, l.split_centiseconds, l.cumulative_centiseconds, l.season, l.course FROM fx_splits l JOIN fx_swims s ON l.result_id = s.result_id"),
+    "fact_split": (lambda x: curate.build_fact_split(x.nested, x.dim_meet).drop("split_time", "cumulative_time"), "SELECT l.result_id, l.race_id, s.meet_id, l.distance, l.split_centiseconds, l.cumulative_centiseconds, l.season, l.course FROM fx_splits l JOIN fx_swims s ON l.result_id = s.result_id"),
     "obt": (lambda x: x.obt, f"SELECT {OBT} FROM obt"),
-    "curate_roundtrip": (lambda x: _roundtrip(x), f"SELECT {OBT} FROM obt"),
+    "curate_roundtrip": (lambda x: _digest({name: x.zone(name) for name in CURATED}), _digest_sql("true")),
+    "curate_stream": (_streamed, f"SELECT {OBT} FROM obt"),
+    "curate_rescrape": (_rescraped, _digest_sql("CAST(meet_id AS INT) % 4 <> 1")),
+    "raw_files": (_raw_read, "SELECT r.meet_id, r.race_id, r.race_name, s.result_id, s.rank, CASE WHEN s.completed_centiseconds IS NOT NULL THEN (s.completed_centiseconds // 6000) || ':' || lpad(CAST(s.completed_centiseconds % 6000 // 100 AS VARCHAR), 2, '0') || '.' || lpad(CAST(s.completed_centiseconds % 100 AS VARCHAR), 2, '0') END AS completed_time, CAST(n AS INT) AS n_splits, m.meet_date, array_to_string(m.category, ',') AS category FROM fx_swims s JOIN races r ON s.meet_id = r.meet_id AND s.race_id = r.race_id JOIN fx_meet m ON s.meet_id = m.meet_id LEFT JOIN (SELECT result_id, count(*) AS n FROM fx_splits GROUP BY result_id) l ON s.result_id = l.result_id"),
+    "base_time_file": (_base_file, "SELECT season, course, gender, relay_count, distance, stroke, (c // 6000) || ':' || lpad(CAST(c % 6000 // 100 AS VARCHAR), 2, '0') || '.' || lpad(CAST(c % 100 AS VARCHAR), 2, '0') AS basetime, basetime_in_sec, 'wa-doc' AS source FROM (SELECT *, CAST(round(basetime_in_sec * 100) AS BIGINT) AS c FROM fx_base_times)"),
+    "legacy_base_times": (_legacy_file, "SELECT season, course, gender, relay_count, distance, stroke, (c // 6000) || ':' || lpad(CAST(c % 6000 // 100 AS VARCHAR), 2, '0') || '.' || lpad(CAST(c % 100 AS VARCHAR), 2, '0') AS basetime, c / 100.0::DOUBLE AS basetime_in_sec, 'legacy-csv' AS source, season % 3 = 0 AS differs FROM (SELECT *, CAST(round(basetime_in_sec * 100) AS BIGINT) AS c FROM fx_base_times) WHERE distance % 150 <> 0 AND distance % 400 <> 0"),
+    "override_file": (_overrides_file, "SELECT meet_id, race_id, class, 'told' AS reason FROM fx_overrides"),
+    "catalog_tables": (_catalogued, "SELECT season, course, count(*) AS n, count(points) AS scored, count(DISTINCT meet_id) AS meets FROM obt GROUP BY season, course"),
     "points_coverage": (lambda x: curate.points_coverage(x.obt.drop("points", "points_fixed"), x.base, FIXED), "SELECT meet_id, count(*) AS results, count(p) AS scored, count(p)::DOUBLE / count(*) AS coverage FROM (SELECT meet_id, CASE WHEN coalesce(rank, 0) <> -1 THEN any_points END AS p FROM pts) GROUP BY ALL"),
     "base_time_union": (_union, _UNION_SQL + " SELECT * FROM joined"),
     "base_time_mismatch": (lambda x: curate.base_time_mismatch(_base_text(x), fields.base_seconds(F.col("basetime"))).select("season", *curate.EVENT_KEYS), "SELECT season, course, gender, relay_count, distance, stroke FROM fx_base_times WHERE distance % 350 = 0"),
@@ -304,7 +512,7 @@ _DEFINED = {
     "legacy_points": (lambda x: curate.legacy_points(_legacy_rows(x), _legacy_base(x), 1996, FIXED).select("result_id", "age_group", "points", "points_fixed"), _LEGACY),
     "age_groups": (lambda x: agegroups.assign_age_group(x.legacy).select("result_id", "gender", "birth_year", "season", "age_group"), "SELECT result_id, gender, birth_year, season, age_group FROM grp"),
     "age_group_rank": (lambda x: agegroups.age_group_rank(x.legacy).select("result_id", "meet_id", "number", "age_group", "age_rank"), _age_rank_sql("result_id, meet_id, number, age_group")),
-    "group_ranking_j2": (lambda x: agegroups.group_ranking(x.legacy, "J2"), f"SELECT meet_id, number, age_rank, name, club, points, result_id FROM ({_age_rank_sql('meet_id, number, age_group, name, club, points, result_id')}) WHERE age_group = 'J2' AND age_rank > 0"),
+    "group_ranking_j2": (lambda x: agegroups.group_ranking(x.legacy, "J2"), _age_rank_sql("meet_id, number, name, club, points, result_id", "age_group = 'J2' AND place > 0")),
     "append_category": (lambda x: agegroups.append_category(x.dim_meet, x.meets.where("meet_id % 2 = 0").select("meet_id", F.lit("DMJ").alias("added"))).select("meet_id", F.array_join("category", ",").alias("category")), "SELECT meet_id, array_to_string(CASE WHEN CAST(meet_id AS INT) % 2 <> 0 THEN category WHEN list_contains(coalesce(category, []), 'DMJ') THEN category ELSE list_append(coalesce(category, []), 'DMJ') END, ',') AS category FROM dim_meet"),
     "corrections": (lambda x: agegroups.apply_corrections(x.dim_meet, x.meets.where("season % 2 = 0").select("meet_id", F.when(F.col("meet_id") % 3 == 0, F.col("meet_date")).otherwise(F.lit("1900-01-01").cast("date")).alias("old"), F.date_add("meet_date", 7).alias("new")), "meet_id", "meet_date").select("meet_id", "meet_date"), "SELECT meet_id, CASE WHEN season % 2 = 0 AND CAST(meet_id AS INT) % 3 = 0 THEN meet_date + 7 ELSE meet_date END AS meet_date FROM dim_meet"),
     "finals_report": (lambda x: agegroups.finals_report(x.legacy, x.dim_meet, "DM-L", "LCM"), "SELECT meet_id, season, gender, stroke, distance, rank, name, points, result_id FROM obt WHERE type LIKE 'Final%' AND relay_count = 1 AND rank >= 1 AND meet_id IN (SELECT meet_id FROM dim_meet WHERE list_contains(category, 'DM-L') AND course = 'LCM')"),
@@ -315,7 +523,7 @@ _DEFINED = {
     "gender_counts": (lambda x: agegroups.gender_counts(x.legacy), "SELECT gender, count(*) AS n, max(points) AS best_points, count(DISTINCT swimmer_id) AS swimmers FROM obt GROUP BY gender"),
     "semi_count": (lambda x: agegroups.results_in_races(x.legacy, x.dim_race.where("class = 'para'")), "SELECT count(*) AS n FROM obt WHERE race_id IN (SELECT race_id FROM dim_race WHERE class = 'para')"),
     "keep_last": (lambda x: agegroups.keep_last(x.legacy).select("race_id", "name", "birth_year", "club", "ord", "result_id"), "SELECT race_id, name, birth_year, club, ord, result_id FROM (SELECT *, CAST(split_part(result_id, '-', 2) AS BIGINT) AS ord, row_number() OVER (PARTITION BY race_id, name, birth_year, club ORDER BY CAST(split_part(result_id, '-', 2) AS BIGINT) DESC) AS n FROM obt) WHERE n = 1"),
-    "append_if_absent": (lambda x: lake.append_if_absent(x.dim_race.where("race_id % 3 = 0"), x.dim_race.where("race_id % 2 = 0").withColumn("class", F.lit("new")), ["meet_id", "number", "type"]).groupBy("class", "season").agg(F.count("*").alias("n")), "SELECT class, season, count(*) AS n FROM (SELECT class, season FROM dim_race WHERE race_id % 3 = 0 UNION ALL SELECT 'new', season FROM (SELECT DISTINCT ON (meet_id, number, type) * FROM dim_race WHERE race_id % 2 = 0) d WHERE NOT EXISTS (SELECT 1 FROM dim_race t WHERE t.race_id % 3 = 0 AND t.meet_id = d.meet_id AND t.number = d.number AND t.type = d.type)) GROUP BY ALL"),
+    "append_if_absent": (lambda x: lake.append_if_absent(x.dim_race.where("race_id % 3 = 0"), x.dim_race.withColumn("class", F.lit("new")), ["meet_id", "number", "type"], "race_id").select("race_id", "meet_id", "number", "type", "class", "season"), "SELECT race_id, meet_id, number, type, class, season FROM dim_race WHERE race_id % 3 = 0 UNION ALL SELECT min(race_id), meet_id, number, type, 'new', min(season) FROM dim_race GROUP BY meet_id, number, type HAVING count(*) FILTER (WHERE race_id % 3 = 0) = 0"),
     "delete_meet": (lambda x: lake.without_meet(x.obt, x.meets.where("season % 3 = 0")), f"SELECT {OBT} FROM obt WHERE meet_id NOT IN (SELECT meet_id FROM fx_meet WHERE season % 3 = 0)"),
     "upsert_override": (lambda x: raw.upsert_override(*_override_rows(x)), "SELECT meet_id, race_id, CASE WHEN race_id % 5 = 0 THEN 'open' ELSE class END AS class FROM fx_overrides WHERE race_id % 47 <> 1 UNION ALL SELECT meet_id, race_id, 'para' FROM races WHERE race_id % 47 = 1"),
     "raw_completeness": (lambda x: audit.raw_completeness(_lines(x)), _LINES_SQL + " SELECT * FROM whole"),
@@ -326,31 +534,14 @@ _DEFINED = {
 }
 
 
-def _nested(x: Swims) -> DataFrame:
-    """Raw results with their laps nested, as raw files have them."""
-    laps = x.splits.groupBy("result_id").agg(F.sort_array(F.collect_list(F.struct("cumulative_centiseconds", "distance", "split_centiseconds"))).alias("splits"))
-    own = x.swims.select("result_id", "meet_id", "race_id", F.col("ord").alias("pos"))
-    return own.join(laps, "result_id", "left").drop("result_id")
-
-
-def _roundtrip(x: Swims) -> DataFrame:
-    """All meets curated, written by season, course and meet, and read back."""
-    tables = curate.curate(x.raw_meets, x.races, _nested_results(x), x.base, x.overrides, FIXED)
-    root = lake.scratch_path(x.spark, "curated")
-    lake.write_curated({"dim_meet": tables["dim_meet"], "obt_result": tables["obt_result"]}, root)
-    return lake.read_curated(x.spark, root, "obt_result")
-
-
-def _nested_results(x: Swims) -> DataFrame:
-    return x.results.withColumn("splits", F.lit(None).cast("array<struct<distance:bigint>>"))
-
-
 #: Strings composed from orders, standardised; their SQL stands alone.
 _ALONE = {
     "time_to_centiseconds": (lambda x: _times(x).select("o_orderkey", "text", fields.time_to_centiseconds(F.col("text")).alias("cs"), fields.legacy_seconds(F.col("text")).alias("seconds")), _TIMES_SQL),
     "danish_date": (lambda x: _dates(x).withColumn("day", fields.danish_date(F.col("text"))).select("o_orderkey", "text", "day", fields.season_of(F.col("day")).alias("season"), fields.season_of(F.col("day"), 8).alias("legacy_season")), _DATES_SQL),
     "parse_event": (lambda x: fields.standardize_races(_events(x)), _EVENTS_SQL),
     "result_fields": (_result_fields, _CELLS_SQL),
+    "race_type": (_race_types, _RACE_TYPES_SQL),
+    "legacy_fields": (_legacy_cells, _LEGACY_CELLS_SQL),
 }
 
 

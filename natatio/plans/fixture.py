@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from natatio.sources.lake import exists, scratch_path
+
 FX_SWIMS = """
 WITH base AS (
   SELECT l_partkey, l_suppkey, l_quantity, l_discount, l_returnflag,
@@ -25,7 +27,7 @@ SELECT concat(CAST(o_orderkey AS STRING), '-', CAST(ord AS STRING)) AS result_id
   CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE CAST(l_partkey % 150 AS STRING) END AS swimmer_id,
   CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE concat('swimmer ', CAST(l_partkey % 150 AS STRING)) END AS name,
   CAST(CASE WHEN o_orderkey % 29 = 0 THEN 4 ELSE 1 END AS BIGINT) AS relay_count,
-  concat('club', CAST(l_suppkey % 25 AS STRING)) AS club,
+  CASE WHEN l_suppkey % 25 = 7 THEN NULL ELSE concat('club', CAST(l_suppkey % 25 AS STRING)) END AS club,
   CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE CAST(1975 + l_partkey % 17 AS BIGINT) END AS birth_year,
   distance,
   CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'Fri' WHEN '2' THEN 'Ryg' WHEN '3' THEN 'Bryst'
@@ -63,9 +65,8 @@ FROM fx_swims WHERE race_id % 53 = 0
 
 FX_SPLITS = """
 WITH laps AS (
-  SELECT s.result_id, s.race_id, s.season, s.course, s.distance, s.ord, v.lap, 2 + s.race_id % 3 AS n, s.completed_centiseconds AS cs
-  FROM fx_swims s CROSS JOIN (SELECT 1 AS lap UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4) v
-  WHERE s.completed_centiseconds IS NOT NULL AND v.lap <= 2 + s.race_id % 3
+  SELECT result_id, race_id, season, course, distance, ord, {laps} AS lap, 1 + race_id % 4 AS n, completed_centiseconds AS cs
+  FROM fx_swims WHERE completed_centiseconds IS NOT NULL
 ), timed AS (
   SELECT result_id, race_id, season, course, lap, CAST(floor(distance * lap / n) AS BIGINT) AS distance,
          CAST(floor(cs / n) AS BIGINT) + (ord * 7 + lap * 13) % 40 AS lap_cs
@@ -77,21 +78,35 @@ SELECT result_id, race_id, season, course, distance,
 FROM timed
 """
 
+#: A number for each lap of a swim: Spark's and DuckDB's word for it.
+SPARK_LAPS, DUCK_LAPS = "explode(sequence(1L, 1L + race_id % 4))", "unnest(generate_series(1, 1 + race_id % 4))"
 #: In the order in which they build on each other.
 TABLES = {"fx_swims": FX_SWIMS, "fx_meet": FX_MEET, "fx_base_times": FX_BASE_TIMES, "fx_overrides": FX_OVERRIDES, "fx_splits": FX_SPLITS}
+#: Where this session has stored the derived tables, by the folder of the given ones.
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def place(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, bool]:
+    """This session's folder for tables derived from ``sf_dir``, and whether it has a table (or zone) of that name."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    root = _STORED.setdefault(key, scratch_path(spark, "derived"))
+    return f"{root}/{name}", exists(spark, f"{root}/{name}/_SUCCESS")
 
 
 def register(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The derived tables as temporary views and frames."""
-    for name in ("lineitem", "orders"):
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+    """The derived tables as temporary views and frames; each is written once a session."""
     out = {}
     for name, text in TABLES.items():
-        out[name] = spark.sql(text)
+        path, there = place(spark, sf_dir, name)
+        if not there:
+            for given in ("lineitem", "orders"):
+                spark.read.parquet(f"{sf_dir}/{given}.parquet").createOrReplaceTempView(given)
+            spark.sql(text.replace("{laps}", SPARK_LAPS)).write.mode("overwrite").parquet(path)
+        out[name] = spark.read.parquet(path)
         out[name].createOrReplaceTempView(name)
     return out
 
 
 def prefix() -> str:
     """The same tables as DuckDB common table expressions."""
-    return "WITH " + ", ".join(f"{name} AS ({text})" for name, text in TABLES.items())
+    return "WITH " + ", ".join(f"{name} AS ({text.replace('{laps}', DUCK_LAPS)})" for name, text in TABLES.items())

@@ -33,8 +33,9 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
     ``cutline_at(n)`` as a table function; nothing is computed yet."""
     for name, view in VIEWS.items():
         view(tables).createOrReplaceTempView(name)
-    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION cutline_at(place BIGINT) RETURNS TABLE(category STRING, season BIGINT, course STRING, gender STRING, distance BIGINT, stroke STRING, cutline_cs BIGINT)
-        RETURN SELECT category, season, {', '.join(EVENT)}, completed_centiseconds FROM prelim_ranked WHERE heat_rank = cutline_at.place""")
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION cutline_at(place BIGINT)
+        RETURNS TABLE(category STRING, season BIGINT, course STRING, gender STRING, distance BIGINT, stroke STRING, cutline_centiseconds BIGINT, cutline_time STRING, swimmer_id STRING, name STRING)
+        RETURN SELECT category, season, {', '.join(EVENT)}, completed_centiseconds, completed_time, swimmer_id, name FROM prelim_ranked WHERE heat_rank = cutline_at.place""")
 
 
 def query(spark: SparkSession, text: str) -> DataFrame:

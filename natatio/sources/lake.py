@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from natatio.schemas import CURATED
@@ -14,8 +15,13 @@ PARTS = ("season", "course", "meet_id")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``), or a temporary one on one machine."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="natatio-")
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``); a temporary one on a single machine only."""
+    context = spark.sparkContext
+    root = context.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="natatio-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -23,9 +29,15 @@ def _path(root: str, table: str) -> str:
     return f"{root}/{table}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def place(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, and the path as that takes it."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = place(spark, path)
+    return fs.exists(at)
 
 
 def read_curated(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -33,40 +45,54 @@ def read_curated(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.schema(CURATED[table]).parquet(_path(root, table)).select(*CURATED[table].names)
 
 
+#: Meets whose folders are listed by name; for more, all folders of a table are listed.
+BY_NAME = 200
+#: Fixed value: Spark's folder name of a null.
+NONE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def write_curated(tables: dict[str, DataFrame], root: str) -> None:
-    """Overwrite the meets that the tables hold, and no others.
+    """Overwrite the meets of ``dim_meet`` (where it isn't among the tables, those that a table holds), and no others.
 
-    A meet whose season or course has changed would stay in its old folder as well; those folders are emptied
-    first. Rows are dealt by meet, so that a meet is one file.
+    Each table is evaluated once. Rows are dealt by meet, so that a meet is one file. Only after a table is written, folders of
+    these meets that it didn't get rows for are deleted: those of another season or course, and those of a meet
+    that has no rows in the table any more. A failure leaves old rows at worst, and the next run puts that right.
     """
+    listed = {r.meet_id for r in tables["dim_meet"].select("meet_id").distinct().toLocalIterator()} if "dim_meet" in tables else None
     for name, rows in tables.items():
         spark, at = rows.sparkSession, _path(root, name)
-        rows = rows.select(*(F.col(f.name).cast(f.dataType) for f in CURATED[name].fields))
-        if _exists(spark, at):
-            drop_moved(spark, root, name, rows)
-        writer = rows.repartition(*PARTS).write.partitionBy(*PARTS).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        rows = rows.select(*(F.col(f.name).cast(f.dataType) for f in CURATED[name].fields)).repartition(*PARTS).persist()
+        now = {tuple(NONE if x is None else str(x) for x in r) for r in rows.select(*PARTS).distinct().toLocalIterator()}
+        writer = rows.write.partitionBy(*PARTS).mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.option("compression", "snappy").parquet(at)
-
-
-def drop_moved(spark: SparkSession, root: str, table: str, rows: DataFrame) -> None:
-    """Delete old folders of meets that now belong elsewhere."""
-    there = read_curated(spark, root, table).select(*PARTS).distinct()
-    now = rows.select(*PARTS).distinct()
-    moved = there.join(now.select("meet_id").distinct(), "meet_id", "left_semi").join(now, list(PARTS), "left_anti")
-    _drop(spark, root, table, moved)
+        rows.unpersist()
+        meets = {m for _, _, m in now} if listed is None else listed
+        for folder, part in _folders(spark, at, meets).items():
+            if part not in now:
+                fs, path = place(spark, folder)
+                fs.delete(path, True)
+
+
+def _folders(spark: SparkSession, at: str, meets: set[str]) -> dict[str, tuple[str, str, str]]:
+    """The folders of these meets in a table, with their season, course and meet."""
+    names = [f"meet_id={{{','.join(sorted(meets))}}}"] if 0 < len(meets) <= BY_NAME else ["meet_id=*"]
+    out = {}
+    for name in names if meets else ():
+        fs, pattern = place(spark, f"{at}/season=*/course=*/{name}")
+        for status in fs.globStatus(pattern) or ():
+            folder = status.getPath().toString()
+            season, course, meet = (unquote(x.split("=", 1)[1]) for x in folder.split("/")[-3:])
+            if meet in meets:
+                out[folder] = (season, course, meet)
+    return out
 
 
 def delete_meet(spark: SparkSession, root: str, meet_id: str) -> None:
     """Delete a meet from all tables."""
     for name in CURATED:
-        if _exists(spark, _path(root, name)):
-            _drop(spark, root, name, read_curated(spark, root, name).where(F.col("meet_id") == meet_id).select(*PARTS).distinct())
-
-
-def _drop(spark: SparkSession, root: str, table: str, parts: DataFrame) -> None:
-    for row in parts.toLocalIterator():
-        at = spark._jvm.org.apache.hadoop.fs.Path(f"{_path(root, table)}/season={row.season}/course={row.course}/meet_id={row.meet_id}")
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        for folder in _folders(spark, _path(root, name), {meet_id}):
+            fs, at = place(spark, folder)
+            fs.delete(at, True)
 
 
 def compact(spark: SparkSession, root: str, table: str, target: str, files: int = 1) -> None:
@@ -83,8 +109,14 @@ def register_catalog(spark: SparkSession, root: str, database: str = "default")
         spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
 
 
-def append_if_absent(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """The target with the new rows whose key it doesn't have, each key once."""
+def append_if_absent(target: DataFrame, new: DataFrame, keys: list[str], position: str | None = None) -> DataFrame:
+    """The target with the new rows whose key it doesn't have, each key once: the first by ``position``, a column of the rows.
+
+    Null keys are like no other and are appended.
+    """
+    if position is not None:
+        turn = F.row_number().over(Window.partitionBy(*keys).orderBy(position))
+        new = new.withColumn("_turn", turn).where("_turn = 1").drop("_turn")
     return target.unionByName(new.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti").select(*target.columns))
 
 

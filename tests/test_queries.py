@@ -7,17 +7,16 @@ import pytest
 
 from natatio.plans import catalogue
 
-DIR = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-@pytest.fixture(scope="module")
-def duck():
-    con = duckdb.connect()
+@pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])
+def given(request):
+    con, at = duckdb.connect(), f"/root/testdata/{request.param}"
     con.execute("SET TimeZone = 'UTC'")
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
-    return con
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{at}/{t}.parquet'")
+    return con, at
 
 
 def plain(value):
@@ -25,8 +24,9 @@ def plain(value):
 
 
 @pytest.mark.parametrize("name", sorted(catalogue.ORACLE))
-def test_matches_duckdb(spark, duck, name):
-    got = catalogue.QUERIES[name](spark, DIR)
+def test_matches_duckdb(spark, given, name):
+    duck, at = given
+    got = catalogue.QUERIES[name](spark, at)
     want = duck.execute(catalogue.ORACLE[name])
     columns = [c[0] for c in want.description]
     assert sorted(got.columns) == sorted(columns)
