@@ -3,6 +3,7 @@
 import datetime
 import json
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -231,10 +232,12 @@ def test_legacy_points(spark):
     assert got == {"a": ("Y", 1000, 1000), "b": ("Y", 0, 0), "c": senior, "d": senior, "e": ("S", 0, 0)}
 
 
-def test_scratch_needs_a_shared_folder(spark, monkeypatch):
-    monkeypatch.setattr(spark.sparkContext, "master", "spark://elsewhere:7077")
+def test_scratch_needs_a_shared_folder():
+    session = lambda master, **conf: SimpleNamespace(sparkContext=SimpleNamespace(master=master, getConf=lambda: conf))
     with pytest.raises(RuntimeError):
-        lake.scratch_path(spark, "x")
+        lake.scratch_path(session("spark://elsewhere:7077"), "x")
+    assert "/x-" in lake.scratch_path(session("local[4]"), "x")
+    assert lake.scratch_path(session("spark://elsewhere:7077", **{"spark.checkpoint.dir": "/shared/"}), "x").startswith("/shared/x-")
 
 
 def test_an_empty_meet_is_put_aside(spark, tmp_path):
