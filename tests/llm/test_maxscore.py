@@ -4,6 +4,8 @@ from collections import defaultdict
 import duckdb
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from natatio.llm import maxscore
@@ -34,6 +36,40 @@ def test_shard_is_exact(spread):
         assert [(-s, i) for i, s in zip(ids.tolist(), scores.tolist())] == want
 
 
+@settings(max_examples=3000, deadline=None)
+@given(st.integers(1, 4), st.integers(1, 12), st.data())
+def test_small_whole_numbers_are_exact(dims, n, data):
+    """Few dimensions and few values: many ties, many rows that gain exactly what is needed."""
+    value = st.integers(-60, 60) if data.draw(st.booleans()) else st.integers(-3, 3)
+    rows = np.array(data.draw(st.lists(st.lists(value, min_size=dims, max_size=dims), min_size=n, max_size=n)), np.int64)
+    query, k = np.array(data.draw(st.lists(value, min_size=dims, max_size=dims)), np.int64), data.draw(st.integers(1, 5))
+    own = data.draw(st.integers(-1, n))
+    want = sorted((-int(query @ w), i) for i, w in enumerate(rows) if i != own)[:k]
+    for floor in (maxscore.NONE, *([-want[-1][0]] if len(want) == k else [])):
+        ids, scores = maxscore.Shard(np.arange(n), rows).search(own, query, k, floor)
+        assert [(-s, i) for i, s in zip(ids.tolist(), scores.tolist())] == want
+
+
+def test_a_row_that_gains_exactly_enough(spark):
+    values = [43, 56, 43, 35, 5, 28, 43, 37, -2, 12, 8, 35, 13, 13]
+    frame = spark.createDataFrame([(i, [x / 256]) for i, x in enumerate(values)], "vec_id long, embedding array<double>")
+    got = maxscore.top_inner_products(frame, F.col("vec_id") == 0, 5).collect()
+    assert sorted(map(tuple, got)) == slow([(i, [x / 256]) for i, x in enumerate(values)], lambda i: i == 0, 5)
+
+
+def test_numbers_of_any_width():
+    for width in (1, 2, 4, 8):
+        values = np.array([[np.iinfo(f"i{width}").min, 0], [1, np.iinfo(f"i{width}").max]])
+        assert maxscore.packed(values)[0] == width and np.array_equal(maxscore.unpacked(maxscore.packed(values), 2), values)
+    assert maxscore.unpacked(maxscore.packed(np.empty((3, 0), np.int64)), 3).shape == (3, 0)
+
+
+def test_too_large_components_are_an_error(spark):
+    frame = spark.createDataFrame([(0, [1e9, 1.0]), (1, [1e300, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        maxscore.top_inner_products(frame, F.col("vec_id") == 0).collect()
+
+
 def test_edges(spark, monkeypatch):
     monkeypatch.setattr(maxscore, "SHARD", 3)
     monkeypatch.setattr(maxscore, "BLOCK", 2)
