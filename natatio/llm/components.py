@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from natatio.llm.shared import settled
+from natatio.llm.shared import stored
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -16,17 +16,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
     factor and the number of rounds grows with the logarithm of the longest path. Roots are
     arbitrary members. Self links and repeated edges are ignored; an empty table gives an empty
     result. Groups are folded by ``min``, which combines before the shuffle, so a hub is no
-    bottleneck. Joins are by merge, so that no table goes through the driver to be broadcast.
+    bottleneck. Joins are by merge, so that no table goes through the driver to be broadcast. Each
+    round's tables are written and read again: a checkpoint would carry the optimizer's constraints along, which multiply with the rounds.
     """
-    edges = settled(edges.select("src", "dst").where("src <> dst").distinct())
+    edges = stored(edges.select("src", "dst").where("src <> dst").distinct(), "edges")
     mapping, turn = edges.select(F.col("src").alias("node"), F.col("src").alias("root")).limit(0), 0
     while not edges.isEmpty():
         both = edges.union(edges.select("dst", "src"))
         order = lambda c: F.struct(F.xxhash64(F.lit(turn), F.col(c)), F.col(c).alias("id"))  # noqa: B023,E731
-        step = settled(both.groupBy(F.col("src").alias("node")).agg(F.min(F.least(order("src"), order("dst"))).alias("to")).select("node", F.col("to.id").alias("to")))
+        step = stored(both.groupBy(F.col("src").alias("node")).agg(F.min(F.least(order("src"), order("dst"))).alias("to")).select("node", F.col("to.id").alias("to")), "step")
         known = mapping.join(step.withColumnRenamed("node", "root").hint("merge"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
-        mapping = settled(known if turn else step.withColumnRenamed("to", "root"))
+        mapping = stored(known if turn else step.withColumnRenamed("to", "root"), "mapping")
         one = edges.join(step.select(F.col("node").alias("src"), F.col("to").alias("a")).hint("merge"), "src")
-        edges = settled(one.join(step.select(F.col("node").alias("dst"), F.col("to").alias("b")).hint("merge"), "dst").where("a <> b").select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct())
+        edges = stored(one.join(step.select(F.col("node").alias("dst"), F.col("to").alias("b")).hint("merge"), "dst").where("a <> b").select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct(), "edges")
         turn += 1
     return mapping

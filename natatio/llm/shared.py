@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SEPARATOR = re.compile(rb"[\x20\x09-\x0D]")
 
@@ -20,21 +21,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in tests on one machine, a temporary folder is made and
-    set as the checkpoint folder.
+    Where that is unset, a temporary folder is made and set as the checkpoint folder, on a single machine (tests) only; on a
+    cluster it is an error.
     """
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir")
     if named and context.getCheckpointDir():
         return named
     if not context.getCheckpointDir():
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="natatio-"))
     return context.getCheckpointDir()
 
 
+#: Paths that this process has asked for, to be dropped when they have served.
+_WRITTEN: list[str] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path for a table in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/natatio-{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(f"{shared_dir(spark).rstrip('/')}/natatio-{name}-{uuid.uuid4().hex}")
+    return _WRITTEN[-1]
+
+
+def written() -> int:
+    return len(_WRITTEN)
+
+
+def last_written(since: int) -> tuple[str, ...]:
+    """The paths asked for since ``written()`` was ``since``."""
+    return tuple(_WRITTEN[since:])
+
+
+def drop_written(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Delete the tables of the shared folder that were asked for since ``written()`` was ``since``, but for those to be kept.
+
+    Frames that are still to be read from them can't be read any more.
+    """
+    for path in [p for p in _WRITTEN[since:] if p not in keep]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        _WRITTEN.remove(path)
 
 
 def settled(frame: DataFrame) -> DataFrame:
@@ -50,6 +78,24 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+#: A key of over one in so many rows is hot; by that there are at most so many hot keys.
+HOT_KEYS = 1000
+
+
+def skew_join(left: DataFrame, right: DataFrame, keys: list[str], counts: DataFrame) -> DataFrame:
+    """Inner join of ``left`` with ``right``, which has one row for each key; ``counts(*keys, n)`` tells how many rows ``left`` has of a key.
+
+    Rows of hot keys aren't brought together in one task: the rows of ``right`` for these, ``HOT_KEYS`` at most, go to every task.
+    ``right`` and ``counts`` are read more than once and should be stored.
+    """
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = counts.where(F.col("n") * HOT_KEYS > total).select(*keys)
+    if total < HOT_KEYS or hot.isEmpty():
+        return left.join(right, keys)
+    hot = F.broadcast(settled(hot))
+    return left.join(F.broadcast(right.join(hot, keys, "left_semi")), keys).unionByName(left.join(hot, keys, "left_anti").join(right, keys))
+
+
 def word_blocks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
     """The words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 text, in lists of bounded length.
 

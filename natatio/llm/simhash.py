@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from natatio.llm.components import connected_components
-from natatio.llm.shared import settled, word_blocks
+from natatio.llm.shared import settled, skew_join, word_blocks
 
 _LANES = np.uint64(0x0101010101010101)
 #: Fingerprints that a cell of the trie should hold on average, and the depths allowed for cells.
@@ -155,7 +155,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Null and empty texts have fingerprint zero and are linked like any other. Copies share a
     fingerprint and are folded before the join; repeated rows stay. Null ids keep their row and
-    never name a component unless it has no other id. Other columns are ignored. An empty table gives
+    never name a component unless it has no other id. Texts of any length are hashed whole. Other columns are ignored. An empty table gives
     an empty result.
     """
     ids = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
@@ -166,8 +166,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": values})
 
     prints = settled(ids.mapInPandas(score, ids.select("doc_id").withColumn("fp", F.lit(0).cast("long")).schema))
-    distinct = settled(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    distinct = settled(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
     roots = connected_components(trie_self_join(distinct.select("fp"), budget))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = settled(rooted.join(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("fp", "component_id"))
+    return skew_join(prints, named, ["fp"], distinct.select("fp", "n")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -7,8 +7,8 @@ from tokenizers import Tokenizer
 import corpus_pipeline as cp
 from natatio.llm.decontaminate import find_leaks
 from natatio.llm.language import has_letters
+from tests.llm.test_jaccard import slow
 from tests.llm.test_mixing import slow as slow_mix
-from tests.llm.test_simhash import slow_groups, slow_print
 
 DIR = "/root/testdata/sf0.001"
 
@@ -33,7 +33,7 @@ def test_each_stage_against_plain_code(spark, stages):
     before, after, _ = stages[0]
     assert {r.doc_id for r in after} == {r.doc_id for r in before if r.text and has_letters(r.text.encode())}
     before, after, _ = stages[1]
-    groups = slow_groups({r.doc_id: slow_print(r.text) for r in before})
+    groups = slow({r.doc_id: r.text for r in before})
     assert sorted(r.doc_id for r in after) == sorted(set(groups.values()))
     before, after, _ = stages[2]
     leaks = {r.doc_id for r in find_leaks(spark.createDataFrame(before), spark.read.parquet(f"{DIR}/benchmark.parquet")).collect()}
@@ -53,6 +53,23 @@ def test_run_gives_the_last_stage(spark, stages):
     assert sorted(map(tuple, cp.run(spark, DIR).collect())) == sorted(map(tuple, stages[-1][1]))
 
 
+def test_an_id_with_several_texts(spark):
+    """Each text is judged by itself, and which row stays doesn't depend on chance."""
+    long = " ".join(f"w{k}" for k in range(40))
+    rows = [(5, "first text of the id", "en", "b", 1), (5, "first text of the id", "en", "a", 1), (5, long, "de", "c", 2), (3, long + " more", "fr", "d", 3), (7, "first text of the id", "en", "e", 1), (None, long, "en", "f", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(map(tuple, cp.simhash_near_dedup(spark, docs, DIR).collect()), key=str)
+    assert got == sorted([rows[1], rows[3], rows[5]], key=str)
+
+
+def test_run_leaves_only_the_token_files(spark):
+    from natatio.llm import shared
+
+    before = shared.written()
+    assert cp.run(spark, DIR).count() > 0
+    assert len(shared.last_written(before)) == 2  # the last stage's input and its files
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None, None, None), (None, "some words here", "en", "src0", 5), (2, "", "en", "src1", 0), (3, "same text twice " * 5, "en", "src1", 9), (3, "same text twice " * 5, "en", "src1", 9), (4, "!! 12", "de", "src2", 4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
