@@ -10,6 +10,8 @@ from natatio.llm.shared import settled, stored
 LEVELS = ("domain", "language", "source")
 #: Leaf plans of up to so many rows are broadcast; more are joined by a shuffle.
 SMALL = 1 << 14
+#: Times that a leaf's last bucket is parted by two more digits.
+STEPS = 3
 
 
 def _fill(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
@@ -72,15 +74,15 @@ def mix_to_weights(docs: DataFrame, budget_share: float, weights: dict[str, Colu
     share still takes. A document is taken if the prefix reaches it; ``mix_taken`` is how many of its tokens lie
     in the prefix, all but for the last one.
 
-    The prefix is found without a running sum over a leaf: each document falls in one of 4,096
-    buckets by the first digits of its md5; sums of buckets, a bounded number for each leaf, tell
-    which bucket the prefix ends in, buckets before it are taken whole and only that one is
-    summed document by document. Leaf plans, a row for each leaf, are joined back.
+    The prefix is found without a running sum over a leaf: sums of buckets by the first two digits of a document's md5, 256 for each leaf, tell
+    which bucket the prefix ends in, and the same is done ``STEPS`` times within that bucket. Buckets before it are taken whole; only the last one, one in
+    16.7 million of a leaf's documents, is summed document by document. Leaf plans, a row for each leaf, are joined back.
 
     Null domains, languages and sources are leaves named ``?``. Null and empty texts have no tokens and no share:
-    they are never taken. A null id is taken like any other; repeated rows are taken each. Names of
-    other columns may clash with none but ``mix_…``. An empty table, or no weight, gives an empty result.
+    they are never taken. Texts of any length count whole. A null id is taken like any other, in the order of its text; repeated rows are taken each. Given columns
+    named ``mix_domain``, ``mix_epoch``, ``mix_tokens`` and ``mix_taken`` are replaced. An empty table, or no weight, gives an empty result.
     """
+    docs = docs.drop("mix_domain", "mix_epoch", "mix_tokens", "mix_taken")
     words = F.expr(f"coalesce(regexp_count(doc.`{text_col}`, '[^\\\\x20\\\\x09-\\\\x0D]+'), 0)").cast("long")
     named = lambda c: F.coalesce(c.cast("string"), F.lit("?"))
     order = F.coalesce(F.col(id_col).cast("string"), F.md5(F.col(text_col).cast("binary")))
@@ -95,14 +97,17 @@ def mix_to_weights(docs: DataFrame, budget_share: float, weights: dict[str, Colu
     def planned(rows: DataFrame, plan: DataFrame) -> DataFrame:
         """Each row with its leaf's plan, which goes to every task if it has few rows."""
         own = rows.join(F.broadcast(plan) if plan.count() <= SMALL else plan, list(LEVELS))
-        key = F.md5(F.concat(F.lit(f"{seed}:"), F.col("whole"), F.lit(":"), F.col("order")).cast("binary"))
-        return own.withColumn("key", key).withColumn("bucket", F.substring("key", 1, 3))
-
-    sums = planned(sizes, plan.where("rest > 0")).groupBy(*LEVELS, "rest", "bucket").agg(F.sum("n").alias("n"))
-    upto = Window.partitionBy(*LEVELS).orderBy("bucket")
-    ends = sums.withColumn("start", F.sum("n").over(upto) - F.col("n")).where("start < rest and start + n >= rest")
-    plan = settled(plan.join(ends.select(*LEVELS, F.col("bucket").alias("last"), "start"), list(LEVELS), "left"))
-    every = planned(rows, plan)
+        return own.withColumn("key", F.md5(F.concat(F.lit(f"{seed}:"), F.col("whole"), F.lit(":"), F.col("order")).cast("binary")))
+
+    # The bucket that the prefix ends in, two digits longer each time, and the tokens before it.
+    plan = plan.withColumns({"last": F.lit(""), "start": F.lit(0).cast("long")})
+    for step in range(STEPS):
+        within = planned(sizes, plan.where("rest > 0")).where("startswith(key, last)").withColumn("bucket", F.substring("key", 1, 2 * step + 2))
+        sums = within.groupBy(*LEVELS, "rest", "start", "bucket").agg(F.sum("n").alias("n"))
+        upto = Window.partitionBy(*LEVELS).orderBy("bucket")
+        ends = sums.withColumn("upto", F.col("start") + F.sum("n").over(upto)).where("upto - n < rest and upto >= rest")
+        plan = settled(plan.drop("last", "start").join(ends.select(*LEVELS, F.col("bucket").alias("last"), (F.col("upto") - F.col("n")).alias("start")), list(LEVELS), "left"))
+    every = planned(rows, plan).withColumn("bucket", F.substring("key", 1, 2 * STEPS))
     upto = Window.partitionBy(*LEVELS).orderBy("key", "order", f"doc.{text_col}").rowsBetween(Window.unboundedPreceding, 0)
     ending = every.where("bucket = last").withColumn("n", words).where("n > 0").withColumn("start", F.col("start") + F.sum("n").over(upto) - F.col("n")).where("start < rest")
     cols = [F.col("doc.*"), F.col("domain").alias("mix_domain"), F.col("epoch").alias("mix_epoch"), F.col("n").alias("mix_tokens"), F.col("taken").alias("mix_taken")]
@@ -154,7 +159,7 @@ source_n AS (SELECT l.*, share AS budget FROM (SELECT domain, language, source,
 {_fill_sql("source", "source_n", "domain, language")},
 plan AS (SELECT domain, language, source AS leaf, share // tokens AS whole, share % tokens AS rest
     FROM (SELECT *, room // {epochs} AS tokens FROM source_e) WHERE share > 0),
-own AS (SELECT docs.*, whole, rest, md5(concat('{seed}:', CAST(whole AS BIGINT), ':', doc_id)) AS key FROM docs JOIN plan USING (domain, language, leaf) WHERE n > 0),
+own AS (SELECT docs.*, whole, rest, md5(concat('{seed}:', CAST(whole AS BIGINT), ':', coalesce(CAST(doc_id AS VARCHAR), md5(text)))) AS key FROM docs JOIN plan USING (domain, language, leaf) WHERE n > 0),
 summed AS (SELECT *, sum(n) OVER (PARTITION BY domain, language, leaf ORDER BY key, CAST(doc_id AS VARCHAR), text ROWS UNBOUNDED PRECEDING) - n AS start FROM own)
 SELECT doc_id, domain AS mix_domain, lang, source, CAST(unnest(generate_series(0, CAST(whole AS BIGINT) - 1)) AS BIGINT) AS mix_epoch, n AS mix_tokens, n AS mix_taken FROM own WHERE whole > 0
 UNION ALL SELECT doc_id, domain, lang, source, CAST(whole AS BIGINT), n, CAST(least(n, rest - start) AS BIGINT) FROM summed WHERE start < rest"""
