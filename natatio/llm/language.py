@@ -24,7 +24,7 @@ FAMILIES = {
     "indic": ("hi", "bn", "ur", "mr", "ne"),
 }
 UNKNOWN = "und"
-#: Texts of a language that the machines learn from, rows of one machine, and languages: at most.
+#: Distinct texts of a language that the machines learn from, rows of one machine, and languages: at most.
 PER_LANGUAGE, PER_MACHINE, LANGUAGES = 600, 4096, 256
 _LETTER = re.compile(rb"[A-Za-z]")
 
@@ -72,23 +72,25 @@ class Judge:
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Judge:
     """Learn from the texts and languages of these rows; null languages and texts without letters teach nothing.
 
-    A bounded sample is learned from: ``PER_LANGUAGE`` distinct texts of each of the ``LANGUAGES`` commonest languages,
-    those with the least hashes. Each machine is trained in a task of its own, on at most
-    ``PER_MACHINE`` rows; only weights come to the driver.
+    A bounded sample is learned from: ``PER_LANGUAGE`` distinct texts of each language that has any with letters,
+    those with the least hashes; repeats are folded before texts are counted or drawn. Each machine is trained in a task of its own, on about
+    ``PER_MACHINE`` rows; only weights come to the driver. More than ``LANGUAGES`` languages are an error.
     """
-    rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("text")).where("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text")).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = rows.select("lang", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("pick"))
+    found = rows.select("lang", "pick").distinct().groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES + 1).collect()
+    if len(found) > LANGUAGES:
+        raise ValueError(f"over {LANGUAGES} languages")
+    counts = {r["lang"]: r["n"] for r in found}
     if not counts:
         return Judge([], {})
     likely = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 4 * PER_LANGUAGE / n))))
-    rows = rows.withColumn("pick", F.xxhash64("text")).where((F.col("pick") / 2.0**64 + 0.5) < F.try_element_at(likely, "lang"))
-    rows = rows.dropDuplicates(["lang", "pick"])
+    rows = rows.where((F.col("pick") / 2.0**64 + 0.5) <= F.try_element_at(likely, "lang")).dropDuplicates(["lang", "pick"])
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("pick"))
     rows = rows.withColumn("rank", rank).where(F.col("rank") <= PER_LANGUAGE)
 
     def prepare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch = batch[[has_letters(x) for x in batch["text"]]]
             yield pd.DataFrame({"lang": batch["lang"], "rank": batch["rank"], "x": [features(ngram_counts(x)).tobytes() for x in batch["text"]]})
 
     ready = rows.select("lang", "rank", "text").mapInPandas(prepare, "lang string, rank int, x binary")
@@ -111,7 +113,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Ju
 
 
 def identify(docs: DataFrame, judge: Judge, text_col: str = "text") -> DataFrame:
-    """The rows with ``lang_pred``, ``lang_family`` and ``lang_score`` (0 to 1), from whole texts alone.
+    """The rows with ``lang_pred``, ``lang_family`` and ``lang_score`` (0 to 1), from whole texts of any length alone.
 
     Null texts, texts without letters, and every text if nothing was learned, are ``und``, at score 0. Columns of these names
     are replaced; others stay. Repeated rows are judged alike.

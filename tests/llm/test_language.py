@@ -44,3 +44,44 @@ def test_svm_separates(n):
     x = (rng.normal(size=(n, 20)) * 0.3 + y[:, None]).astype(np.float32)
     w = linear.train_svm(x, y)
     assert np.array_equal(np.sign(x @ w[:-1] + w[-1]), y)
+
+
+def test_decision_in_two_steps():
+    """Against plain loops: the family with the greatest margin, then the language with the most won duels in it."""
+    rng = np.random.default_rng(7)
+    languages = ["de", "en", "nl", "fr", "es", "fi"]
+    families = {"germanic": ["de", "en", "nl"], "romance": ["es", "fr"], "uralic": ["fi"]}
+    pairs = [(a, b) for own in families.values() for a in own for b in own if a < b]
+    weights = {task: rng.normal(size=9).astype(np.float32) for task in [*(("family", f) for f in families), *pairs]}
+    x = rng.normal(size=(300, 8)).astype(np.float32)
+    got, scores = language.Judge(languages, weights)(x)
+    margin = lambda row, task: float(row @ weights[task][:-1] + weights[task][-1])
+    for row, lang, score in zip(x, got, scores):
+        family = max(families, key=lambda f: margin(row, ("family", f)))
+        won = {a: sum(margin(row, (a, b)) > 0 if a < b else margin(row, (b, a)) <= 0 for b in families[family] if b != a) for a in families[family]}
+        assert lang in [a for a in won if won[a] == max(won.values())]
+        assert 0 <= score <= 1
+
+
+def test_repeats_are_folded_before_the_draw(spark):
+    """A common language whose rows repeat a few texts still has examples."""
+    few = spark.createDataFrame([("en", "the cat sat on the mat"), ("de", "der hund und die katze"), ("de", "das ist ein kleines haus")], "lang string, text string")
+    docs = spark.range(40_000).withColumnRenamed("id", "doc_id").join(few.withColumn("k", few.lang != "de"), (language.F.col("doc_id") % 7 == 0) == language.F.col("k"))
+    got = language.language_ids(docs)
+    wrong = got.where("lang <> lang_pred").count()
+    assert wrong == 0 and got.count() == docs.count()
+
+
+def test_languages_without_letters_are_not_learned(spark):
+    rows = [(i, t, g) for i, (t, g) in enumerate([("12 34", "de"), ("!!", "en"), ("", "nl"), ("le chat est noir", "fr"), ("el perro es de la casa", "es"), ("一二三", "zh")] * 8)]
+    got = language.language_ids(spark.createDataFrame([*rows, (1000, "the cat", "sv?")], "doc_id long, text string, lang string")).collect()
+    assert {r.lang_pred for r in got} <= {"und", "fr", "es", "zh", "sv?"}
+    assert {r.lang_pred for r in got if r.text in ("12 34", "!!", "")} == {"und"}
+    assert all(r.lang_pred == r.lang for r in got if r.lang in ("fr", "es", "zh"))
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(language, "LANGUAGES", 2)
+    docs = spark.createDataFrame([(i, f"text {i}", f"l{i}") for i in range(12)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="languages"):
+        language.language_ids(docs)
