@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from natatio.llm.shared import stored
+from natatio.llm.shared import skew_join, stored
 
 #: Without a bound (``RARE`` infinite) every stretch of lines that can be deleted is a seed. Where a bound is set, seeds are lines of
 #: SEED_CHARS characters or more in RARE texts at most, or among the KEPT rarest of a text; that leaves common blocks in.
@@ -118,7 +118,7 @@ def common_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), lines.alias("lines"))
     rows = rows.select("doc_id", "text_key", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"), F.transform("lines", lambda x: F.length(x)).alias("sizes"))
     rows = stored(rows.where("doc_id is not null").withColumn("kind", F.xxhash64("hashes")), "lines")
-    kinds = stored(rows.groupBy("kind").agg(F.min(F.struct("doc_id", "hashes", "sizes")).alias("one")).select("kind", "one.*"), "kinds")
+    kinds = stored(rows.groupBy("kind").agg(F.min(F.struct("doc_id", "hashes", "sizes")).alias("one"), F.count("*").alias("n")).select("kind", "n", "one.*"), "kinds")
     bounded = RARE < math.inf
     if bounded:
         seeds = kinds.select("kind", "doc_id", F.explode(F.arrays_zip("hashes", "sizes")).alias("line")).where(F.col("line.sizes") >= SEED_CHARS)
@@ -140,9 +140,9 @@ def common_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield pd.DataFrame({"kind": batch["kind"], "gone": gone})
 
     gone = pairs.mapInPandas(align, "kind long, gone array<int>").where("size(gone) > 0").groupBy("kind").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
-    first = kinds.select("kind", F.col("doc_id").alias("first"))
+    told = stored(kinds.select("kind", F.col("doc_id").alias("first")).join(gone, "kind", "left"), "told")
     whole = F.expr(f"if(aggregate(sizes, 0, (s, x) -> s + x) >= {BLOCK_CHARS}, sequence(0, size(sizes) - 1), array())")
-    judged = rows.join(first, "kind").join(gone, "kind", "left")
+    judged = skew_join(rows, told, ["kind"], kinds.select("kind", "n"))
     removed = F.when(F.col("doc_id") != F.col("first"), whole).otherwise(F.col("gone"))
     return judged.select("doc_id", "text_key", removed.alias("removed")).where("size(removed) > 0").distinct()
 

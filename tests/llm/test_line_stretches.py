@@ -80,3 +80,29 @@ def test_stretches_cover_each_run():
         got = lines.stretches(np.arange(1, len(key) + 1, dtype=np.int64) * 7919, np.array(sizes, np.int64))
         assert len(got) <= len(least) and bool(len(got)) == bool(every)
     assert len(lines.stretches(np.arange(1_000_000), np.zeros(1_000_000, np.int64))) == 0
+
+
+def test_recall_against_aligning_all_pairs(spark):
+    """On given documents: lines that some earlier document's alignment deletes, and how many of them go."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    kinds, whole = {}, {}
+    for x in sorted(docs.collect()):
+        key = tuple(y.strip() for y in (x.text or "").split("\n"))
+        whole[x.doc_id] = key
+        kinds.setdefault(key, x.doc_id)
+    holders, gone = {}, {}
+    for key, i in sorted(kinds.items(), key=lambda t: t[1]):
+        ids = {y: n for n, y in enumerate(dict.fromkeys(key))}
+        others = {k for y in set(key) if y for k in holders.get(y, ())}
+        for other in others:
+            number = ids | {y: len(ids) + n for n, y in enumerate(dict.fromkeys(other)) if y not in ids}
+            found = lines.blocks(lines.patience([number[y] for y in other], [number[y] for y in key]), [len(y) for y in key])
+            gone.setdefault(i, set()).update(found)
+        for y in set(key):
+            if y:
+                holders.setdefault(y, []).append(key)
+    got = {r.doc_id: set(r.removed) for r in lines.common_blocks(docs).collect()}
+    want = sum(len(v) for v in gone.values())
+    kept = sum(len(v & got.get(i, set())) for i, v in gone.items())
+    assert want > 300 and kept / want >= 0.9
+    assert all(got.get(i, set()) <= v for i, v in gone.items())
