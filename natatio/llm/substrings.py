@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from natatio.llm.shared import stored
+from natatio.llm.shared import skew_join, stored
 
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -118,9 +118,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     # A second pass over the texts is cheaper than keeping all segments, most of which aren't shared.
     joining = seeds("doc_id", "anchor").groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
     shared = stored(seeds("doc_id", "text_key", "anchor", "low", "n", "span").join(joining, "anchor", "left_semi"), "segments")
-    kinds = shared.where("doc_id is not null").groupBy("anchor", "span").agg(F.min(F.struct("doc_id", "text_key", "low", "n")).alias("first"))
+    kinds = shared.where("doc_id is not null").groupBy("anchor", "span").agg(F.min(F.struct("doc_id", "text_key", "low", "n")).alias("first"), F.count("*").alias("held"))
     several = kinds.groupBy("anchor").count().where("count > 1").select("anchor", F.lit(True).alias("unlike"))
-    kinds = stored(kinds.join(several, "anchor", "left").select("anchor", "span", "first.*", F.coalesce("unlike", F.lit(False)).alias("unlike")), "kinds")
+    kinds = stored(kinds.join(several, "anchor", "left").select("anchor", "span", "held", "first.*", F.coalesce("unlike", F.lit(False)).alias("unlike")), "kinds")
     texts = kinds.where("unlike").groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("anchor", "span", "low", "n")).alias("todo"))
 
     def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -134,9 +134,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
                 yield pd.DataFrame({"anchor": anchor, "span": span, "j": at - np.repeat(low, n), "window": spans.of(at, at + length).view(np.int64), "doc_id": doc_id})
 
     extended = stored(_packed(rows).join(texts, ["doc_id", "text_key"]).select("doc_id", "text", "todo").mapInPandas(extend, f"anchor long, span long, j int, window long, doc_id {kind}"), "windows")
-    earlier = extended.groupBy("anchor", "window").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").select("anchor", "window", "least")
-    matched = extended.join(earlier, ["anchor", "window"]).where("least < doc_id").groupBy("anchor", "span").agg(F.map_from_entries(F.collect_set(F.struct("j", "least"))).alias("earlier"))
-    judged = shared.join(kinds.select("anchor", "span", F.col("doc_id").alias("first")), ["anchor", "span"]).join(matched, ["anchor", "span"], "left")
+    earlier = stored(extended.groupBy("anchor", "window").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1"), "earlier")
+    matched = skew_join(extended, earlier.select("anchor", "window", "least"), ["anchor", "window"], earlier.select("anchor", "window", "n")).where("least < doc_id")
+    matched = matched.groupBy("anchor", "span").agg(F.map_from_entries(F.collect_set(F.struct("j", "least"))).alias("earlier"))
+    told = stored(kinds.select("anchor", "span", F.col("doc_id").alias("first")).join(matched, ["anchor", "span"], "left"), "told")
+    judged = skew_join(shared, told, ["anchor", "span"], kinds.select("anchor", "span", F.col("held").alias("n")))
     starts = F.expr("""case when earlier is null then if(first < doc_id, sequence(low, low + n - 1), array())
         else transform(filter(sequence(0, n - 1), j -> coalesce(try_element_at(earlier, j), first) < doc_id), j -> low + j) end""")
     return judged.select("doc_id", "text_key", starts.alias("starts")).where("size(starts) > 0").groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("starts")).alias("starts"))
