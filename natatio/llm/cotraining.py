@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from natatio.llm.shared import stored, word_blocks
+from natatio.llm.shared import most_common, settled, stored, word_blocks
 
 #: Classes of a page; only the first is good.
 GOOD, JUNK, TOXIC = range(3)
@@ -125,6 +125,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     in the end. In each of ``rounds``, both views judge all other documents; those that one view is sure of (``SURE``, calibrated)
     become examples for the other view, at ``WEIGHT``. All documents are then scored.
 
+    The content view knows the ``VOCABULARY`` commonest words of the fitted texts at most, those in ``LEAST`` of them or more.
+
     Null and empty texts have no words and are judged by what they have. Null metadata is a value of its own. Without labels of
     both kinds, nothing is learned and all scores are 0.5. Null ids are scored and never labelled. Repeated rows are
     scored alike. Other columns are ignored. An empty table gives an empty result.
@@ -152,8 +154,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
             yield pd.DataFrame(counts.items(), columns=["word", "n"])
 
     fitted = rows.join(F.broadcast(fit.where("not calibrates").select("doc_id")), "doc_id").select("text")
-    words = fitted.mapInPandas(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
-    words = [bytes(r["word"]) for r in words.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()]
+    counts = fitted.mapInPandas(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    words = [bytes(x) for x in most_common(settled(counts), VOCABULARY)["word"]]
     shared = spark.sparkContext.broadcast(words)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

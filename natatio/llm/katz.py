@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from natatio.llm.shared import settled, word_blocks
+from natatio.llm.shared import most_common, settled, word_blocks
 
 #: Bits of the code of a frequent word; the codes below 2**HOT_BITS are sent to every task, so this bounds what is broadcast.
 HOT_BITS = 17
@@ -26,6 +26,9 @@ RARE = 1 << 63
 _NAMED_LIMIT = HOT - FIRST
 #: Words that a task names as frequent, and contexts so frequent that their pairs are dealt out one by one.
 NAMED, SPREAD = 1 << 16, 1 << 10
+#: Pairs of words with codes under this are dealt by document, and their counts are summed and sent to every task; so of any other pair there is one in
+#: so many tokens at most.
+DENSE = 256
 #: Counts up to this are discounted.
 CUT = 5
 #: Tokens to a partition, and tokens and documents packed at once.
@@ -44,6 +47,7 @@ class Model(NamedTuple):
     counts: np.ndarray  #: of the frequent words
     alpha: np.ndarray | None = None  #: log10 of the backoff weight of frequent contexts
     total: np.ndarray | None = None  #: log10 of the denominator of frequent contexts
+    dense: np.ndarray | None = None  #: counts of the pairs of the commonest words
 
     def p1(self, count: np.ndarray) -> np.ndarray:
         """Unigram probability of a word with this training count."""
@@ -92,6 +96,8 @@ def _pack(flush: int, parts: int, docs: list, codes: list[np.ndarray]) -> Iterat
     mark = np.repeat((np.arange(len(docs), dtype=np.uint16) << 1) | train, lengths)
     rare_w, rare_h = w >= RARE, h >= RARE
     route = np.where(rare_w, w, np.where(rare_h | (h >= SPREAD), h, (h << np.uint64(HOT_BITS)) | w))
+    own = np.repeat(np.arange(len(docs), dtype=np.uint64) | np.uint64(flush << DOC_BITS), lengths)
+    route = np.where((h < DENSE) & (w < DENSE), own, route)
     part = (_mix(route) % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.uint32)
     order = np.argsort(part, kind="stable")
     part, hot = part[order], ~(rare_w | rare_h)[order]
@@ -170,10 +176,20 @@ def _others(load: Load, counts: np.ndarray) -> Others:
     return Others(h, w, key, train, count, own, np.append(True, np.diff(pair) > 0)[: len(pair)])
 
 
+def _dense(pair: np.ndarray) -> np.ndarray:
+    """Numbers of pairs of the commonest words; -1 for others."""
+    h, w = pair >> HOT_BITS, pair & (HOT - 1)
+    return np.where((h < DENSE) & (w < DENSE), h * DENSE + w, -1)
+
+
 def _statistics(load: Load) -> pd.DataFrame:
-    """Counts of frequent words (kind 0), numbers of pairs (1) and of rare words (2) by count, rare words (3) and their tokens (4)."""
+    """Counts of frequent words (kind 0), numbers of pairs (1) and of rare words (2) by count, rare words (3) and their tokens (4), counts of dense pairs (5)."""
     out: list[tuple[int, np.ndarray, np.ndarray]] = []
-    _, c = np.unique(load.pair[load.train], return_counts=True)
+    known = load.pair[load.train]
+    dense = _dense(known)
+    _, c = np.unique(known[dense < 0], return_counts=True)
+    sums = np.bincount(dense[dense >= 0], minlength=1)
+    out.append((5, np.flatnonzero(sums), sums[np.flatnonzero(sums)]))
     o = _others(load, np.empty(0, np.int64))
     counts = np.concatenate([c, o.count[o.first]])
     by = np.bincount(np.minimum(counts, CUT + 2), minlength=CUT + 3)
@@ -194,13 +210,25 @@ def _contexts(load: Load, model: Model, rare: bool) -> pd.DataFrame:
     h, c, p = o.h[use].view(np.int64), o.count[use], model.p1(o.w_count[use])
     if not rare:
         pair, count = np.unique(load.pair[load.train], return_counts=True)
+        own = _dense(pair) < 0
+        pair, count = pair[own], count[own]
         h, c, p = np.append(h, pair >> HOT_BITS), np.append(c, count), np.append(p, model.p1(model.counts[pair & (HOT - 1)]))
+    return _summed(h, c, p, model)
+
+
+def _summed(h: np.ndarray, c: np.ndarray, p: np.ndarray, model: Model) -> pd.DataFrame:
     away = np.where(c <= CUT, c * (1 - model.bigram[np.minimum(c, CUT)]), 0.0)
     ids, own = np.unique(h, return_inverse=True)
     add = lambda x: np.bincount(own, x, minlength=len(ids))
     return pd.DataFrame({"h": ids, "c": add(c).astype(np.int64), "away": add(away), "p1": add(p)})
 
 
+def _dense_contexts(model: Model) -> pd.DataFrame:
+    """The same of the dense pairs, from their sums."""
+    pair = np.flatnonzero(model.dense)
+    return _summed(pair // DENSE, model.dense[pair], model.p1(model.counts[pair % DENSE]), model)
+
+
 def _seen(model: Model, count: np.ndarray) -> np.ndarray:
     """log10 of the discounted count."""
     return np.log10(np.maximum(1, count) * np.where(count > CUT, 1.0, model.bigram[np.minimum(count, CUT)]))
@@ -214,7 +242,8 @@ def _scores(load: Load, model: Model) -> pd.DataFrame:
     """
     pair, own = np.unique(load.pair, return_inverse=True)
     c = np.bincount(own, load.train, minlength=len(pair)).astype(np.int64)
-    h, w = pair >> HOT_BITS, pair & (HOT - 1)
+    h, w, dense = pair >> HOT_BITS, pair & (HOT - 1), _dense(pair)
+    c = np.where(dense >= 0, model.dense[dense], c)
     value = np.where(c > 0, _seen(model, c) - model.total[h], model.alpha[h] + np.log10(model.p1(model.counts[w])))[own]
     o = _others(load, model.counts)
     hot = o.h < RARE
@@ -277,12 +306,13 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     The word pairs of all documents lie in a table that is partitioned by pair, so that a pair's training
     count and its uses meet in one task: pairs with a rare word by that word, others by context, those
-    of the commonest contexts one by one. A coding of common words, from every task's most frequent ones, keeps
+    of the commonest contexts one by one. Pairs of the ``DENSE`` commonest words lie with their documents, so that no pair fills a partition, and are counted over all
+    partitions. A coding of common words, from every task's most frequent ones, keeps
     the table small; it has no effect on results. Rare words are told apart by 63 bits of XXH64. Counts, discounts
     and context sums are sums over all partitions; only those of the 2**HOT_BITS common words go to every task, and
     sums of rare contexts are joined to the tokens that need them.
 
-    Null and empty texts are one end token. A document with a null id is learned from. Repeated rows are
+    Null and empty texts are one end token; texts of any length are counted and scored whole. A document with a null id is learned from. Repeated rows are
     scored and counted each. With no training, everything is unknown, at probability 1. Other columns are ignored. An
     empty table gives an empty result.
     """
@@ -305,10 +335,10 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 counts, total = Counter(), 0
         yield table()
 
-    named = rows.select("text").mapInPandas(name, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = named.orderBy(F.desc("n"), "word").limit(_NAMED_LIMIT + 1).toPandas()
-    parts = max(spark.sparkContext.defaultParallelism, math.ceil(int(top.loc[top["word"].isna(), "n"].sum()) / PART_TOKENS))
-    words = spark.sparkContext.broadcast([bytes(x) for x in top["word"] if x is not None][:_NAMED_LIMIT])
+    named = settled(rows.select("text").mapInPandas(name, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    tokens = (named.where("word is null").first() or [None, 0])[1]
+    parts = max(spark.sparkContext.defaultParallelism, math.ceil(tokens / PART_TOKENS))
+    words = spark.sparkContext.broadcast([bytes(x) for x in most_common(named.where("word is not null"), _NAMED_LIMIT)["word"]])
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -339,7 +369,7 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     model = _model(each(_statistics, "kind int, id long, n long").groupBy("kind", "id").agg(F.sum("n").alias("n")).toPandas())
     sums = lambda rare: each(lambda load: _contexts(load, model, rare), "h long, c long, away double, p1 double").groupBy("h").agg(F.sum("c").alias("c"), F.sum("away").alias("away"), F.sum("p1").alias("p1"))
-    common = sums(False).toPandas()
+    common = pd.concat([sums(False).toPandas(), _dense_contexts(model)]).groupby("h", as_index=False).sum()
     alpha, total = np.zeros(HOT), np.zeros(HOT)
     bottom = common["c"] + (common["away"] == 0)
     total[common["h"]] = np.log10(bottom)
@@ -361,7 +391,7 @@ def _model(rows: pd.DataFrame) -> Model:
     counts = np.zeros(HOT, np.int64)
     words = rows[rows["kind"] == 0]
     counts[words["id"]] = words["n"]
-    known = {(int(k), int(i)): int(n) for k, i, n in rows[rows["kind"] > 0].itertuples(index=False)}
+    known = {(int(k), int(i)): int(n) for k, i, n in rows[rows["kind"].between(1, 4)].itertuples(index=False)}
     hot = np.bincount(np.minimum(counts, CUT + 2), minlength=CUT + 3)
     tokens = int(counts.sum()) + known.get((4, 0), 0)
     types = int((counts > 0).sum()) + known.get((3, 0), 0)
@@ -371,4 +401,9 @@ def _model(rows: pd.DataFrame) -> Model:
     scale = 1.0
     if not unknown:
         unknown, scale = 1 / (tokens + 1), tokens / (tokens + 1)
-    return Model(tokens, types, unigram, discounts([0, *(known.get((1, r), 0) for r in range(1, CUT + 2))]), unknown, scale, counts)
+    dense = np.zeros(DENSE * DENSE, np.int64)
+    sums = rows[rows["kind"] == 5]
+    dense[sums["id"]] = sums["n"]
+    by = np.bincount(np.minimum(dense, CUT + 2), minlength=CUT + 3)
+    pairs = [0, *(int(by[r]) + known.get((1, r), 0) for r in range(1, CUT + 2))]
+    return Model(tokens, types, unigram, discounts(pairs), unknown, scale, counts, dense=dense)

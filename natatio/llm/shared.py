@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +79,23 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def most_common(counts: DataFrame, limit: int) -> pd.DataFrame:
+    """The rows of ``counts`` with the greatest ``n``, ``limit`` at most, in falling order, ties by the first column.
+
+    Numbers are graded by their logarithm (64 grades to a factor of e); rows of the highest grades that together have no more than
+    ``limit`` come to the driver, so no partition sends rows that aren't kept. ``counts`` is read twice and should be stored.
+    """
+    grade = F.floor(F.log(F.col("n").cast("double")) * 64)
+    least, total = None, 0
+    for row in sorted(counts.groupBy(grade.alias("grade")).agg(F.count("*").alias("many")).collect(), reverse=True):
+        total += row["many"]
+        if total > limit:
+            break
+        least = row["grade"]
+    kept = counts.where(grade >= least) if least is not None else counts.limit(0)
+    return kept.toPandas().sort_values(["n", counts.columns[0]], ascending=[False, True], ignore_index=True)
+
+
 #: A key of over one in so many rows is hot; by that there are at most so many hot keys.
 HOT_KEYS = 1000
 
