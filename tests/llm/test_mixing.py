@@ -85,6 +85,24 @@ def test_edges(spark):
     assert sum(r.mix_taken for r in mixing.standard_mix(docs, 0.8, 1).collect()) == 4
 
 
+def test_columns_of_these_names_are_replaced(spark):
+    docs = spark.createDataFrame([(*r, "given", -1) for r in corpus(40, 2)], "doc_id long, text string, lang string, source string, mix_domain string, mix_taken int")
+    got = mixing.standard_mix(docs, 0.5, 2)
+    assert got.columns == ["doc_id", "text", "lang", "source", "mix_domain", "mix_epoch", "mix_tokens", "mix_taken"]
+    assert "given" not in {r.mix_domain for r in got.collect()}
+
+
+def test_oracle_agrees_on_null_ids(spark):
+    rows = [(None, f"{'w ' * (k + 1)}", "en", "src0") for k in range(30)] + [(7, "one two", "en", "src0")]
+    db = duckdb.connect()
+    db.execute("create table documents (doc_id bigint, text varchar, lang varchar, source varchar)")
+    db.executemany("insert into documents values (?, ?, ?, ?)", rows)
+    want = db.execute(f"select doc_id, mix_domain, mix_epoch, mix_tokens, mix_taken from ({mixing.standard_mix_sql(0.4, 1)})").fetchall()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = mixing.standard_mix(docs, 0.4, 1).select("doc_id", "mix_domain", "mix_epoch", "mix_tokens", "mix_taken").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str) and any(r.doc_id is None for r in got)
+
+
 def test_oracle_agrees(spark):
     rows = corpus(200, 9)
     db = duckdb.connect()
