@@ -255,7 +255,7 @@ def _scores(load: Load, model: Model) -> pd.DataFrame:
     add = lambda x: np.bincount(at, x, minlength=len(keys))
     known = add(w_count > 0).astype("<u4")
     base = add(np.log10((w_count + 0.5) / (model.tokens + 0.5 * (model.types + 1))))
-    score = add(np.append(value, more)).astype("<f4")
+    score = add(np.append(value, more))
     cuts = np.flatnonzero(np.append(True, np.diff(keys >> DOC_BITS) != 0)[: len(keys)])
     squeeze, rows = zstandard.ZstdCompressor(level=3), []
     for a, b in zip(cuts, np.append(cuts[1:], len(keys))):
@@ -273,7 +273,7 @@ def _sum_up(rows: pd.DataFrame) -> pd.DataFrame:
         data = open_.decompress(blob)
         n, at = int(np.frombuffer(data, "<u4", 1)[0]), 4
         fields = []
-        for kind in ("<u2", "<u4", "<f8", "<f4"):
+        for kind in ("<u2", "<u4", "<f8", "<f8"):
             fields.append(np.frombuffer(data, kind, n, at))
             at += fields[-1].nbytes
         places = np.cumsum(fields[0], dtype=np.uint16)

@@ -49,7 +49,7 @@ def check(spark, rows):
     frame = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, held_out string")
     key = lambda r: (str(r[0]), r[2], r[5])
     for got, want in zip(sorted(map(tuple, katz.katz_scores(frame).collect()), key=key), sorted(slow(rows), key=key), strict=True):
-        assert got[:5] == want[:5] and got[5] == pytest.approx(want[5], rel=1e-9) and got[6] == pytest.approx(want[6], rel=1e-6)
+        assert got[:5] == want[:5] and got[5] == pytest.approx(want[5], rel=1e-9) and got[6] == pytest.approx(want[6], rel=1e-9)
 
 
 @pytest.fixture
