@@ -10,9 +10,9 @@ from natatio.plans import catalogue
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-@pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])
-def given(request):
-    con, at = duckdb.connect(), f"/root/testdata/{request.param}"
+@pytest.fixture(scope="module")
+def given():
+    con, at = duckdb.connect(), "/root/testdata/sf0.01"
     con.execute("SET TimeZone = 'UTC'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{at}/{t}.parquet'")
