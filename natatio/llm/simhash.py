@@ -134,6 +134,9 @@ def trie_self_join(fingerprints: DataFrame, budget: int = 3) -> DataFrame:
     parity rule that spreads the work; pairs further apart are pruned before any data move. In a
     task, the two subtries are traversed together (``trie_links``). Only the links of a spanning
     forest leave a task, so a large family costs as many rows as it has members.
+
+    Fingerprints are distinct, and there are 43,745 within three bits of a given one, so near copies of one text don't fill a cell
+    without bound, however many they are.
     """
     count = fingerprints.count()
     depth = max(DEPTHS[0], min(DEPTHS[1], math.ceil(math.log2(max(1, count) / CELL))))
