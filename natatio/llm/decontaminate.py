@@ -26,7 +26,7 @@ MATCH, UNLIKE, GAP = 2, -1, -1
 #: Seeds up to this number are sent to every task (16 bytes each); beyond it, all n-grams are joined by shuffle.
 SENT = 1 << 20
 #: Words that a task counts at once, and cells of alignment tables computed at once.
-HELD, CELLS = 1 << 20, 1 << 22
+HELD, CELLS = 1 << 20, 1 << 20
 
 
 def _words(data: bytes) -> list[bytes]:
@@ -162,7 +162,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     kinds = [r["pairs"] for r in grams.select((F.col("size") > 1).alias("pairs")).distinct().collect()]
     distinct = seeds.select("seed").distinct()
     number = distinct.limit(SENT + 1).count()
-    sent = spark.sparkContext.broadcast(np.sort(np.array([r["seed"] for r in distinct.toLocalIterator()], np.int64)) if number <= SENT else None)
+    # With its item's number if no other has the seed and one seed isn't enough for it, else -1.
+    own = seeds.groupBy("seed").agg(F.count("*").alias("n"), F.min("item").alias("item"), F.min("size").alias("size"))
+    listed = own.select("seed", F.expr(f"if(n = 1 and size >= {FEW}, item, -1)").alias("item")).toPandas().sort_values("seed") if number <= SENT else None
+    sent = spark.sparkContext.broadcast(None if listed is None else listed["seed"].to_numpy(np.int64))
+    owner = spark.sparkContext.broadcast(None if listed is None else listed["item"].to_numpy(np.int64))
 
     def seek(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -174,6 +178,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                     if sent.value is not None and len(found) and len(sent.value):
                         at = np.minimum(np.searchsorted(sent.value, found), len(sent.value) - 1)
                         place = np.flatnonzero(sent.value[at] == found)
+                        # A lone seed of an item can't be a stretch; seeds of several items may be anyone's.
+                        of, inverse, many = np.unique(owner.value[at[place]], return_inverse=True, return_counts=True)
+                        place = place[(of == -1)[inverse] | (many[inverse] + many[of == -1].sum() >= NEEDED)]
                     else:
                         place = np.arange(len(found) if sent.value is None else 0)
                     if len(place):
