@@ -18,10 +18,10 @@ SHARD, BLOCK, TASKS = 4096, 256, 1 << 14
 NONE = -(1 << 62)
 
 
-def whole_numbers(vector: Column) -> Column:
-    """``floor(256 * x)`` of each component, as double; null if a component is null or not finite."""
+def whole_numbers(vector: Column, scale: int = 256) -> Column:
+    """``floor(scale * x)`` of each component, as double; null if a component is null or not finite."""
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
-    return F.when(~bad, F.transform(vector, lambda x: F.floor(x.cast("double") * 256)))
+    return F.when(~bad, F.transform(vector, lambda x: F.floor(x.cast("double") * scale)))
 
 
 class Shard:

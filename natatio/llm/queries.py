@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from natatio.llm.codebooks import compress_sql, compress_vectors, hex_codes
 from natatio.llm.cotraining import quality_scores
 from natatio.llm.decontaminate import find_leaks
 from natatio.llm.katz import katz_scores
@@ -12,6 +13,8 @@ from natatio.llm.language import language_ids
 from natatio.llm.lines import dedup_lines
 from natatio.llm.maxscore import TOP_SQL, top_inner_products
 from natatio.llm.mixing import standard_mix, standard_mix_sql
+from natatio.llm.negatives import NEGATIVES_SQL, hard_negatives
+from natatio.llm.pieces import decode_pieces, encode_pieces
 from natatio.llm.shared import shared_path, table
 from natatio.llm.simhash import simhash_groups
 from natatio.llm.simple8b import read_token_ids, token_digests, write_token_ids
@@ -85,6 +88,32 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "score", "first_word", "end_word")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of the five best positives of every 50th vector; every seventh label is moved on by one first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector, by four codebooks of 256 entries."""
+    coded, books = compress_vectors(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", hex_codes(F.col("codes")).alias("code"), "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
+def piece_file() -> str:
+    """The model whose pieces the registered query codes by."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's piece ids and of the text they decode to."""
+    coded = decode_pieces(encode_pieces(table(spark, sf_dir, "documents"), piece_file()), piece_file())
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_quality_cotraining": op1_quality_cotraining,
     "op2_language_id": op2_language_id,
@@ -96,9 +125,14 @@ QUERIES = {
     "op8_token_ids_binary": op8_token_ids_binary,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_sentence_pieces": op13_sentence_pieces,
 }
 
 ORACLE: dict[str, str] = {
     "op6_maxscore_top_k": TOP_SQL,
+    "op11_hard_negatives": NEGATIVES_SQL,
+    "op12_vector_codes": compress_sql(),
     "op3_mixing_to_weights": standard_mix_sql(MIX_SHARE, MIX_EPOCHS),
 }
