@@ -14,7 +14,7 @@ from natatio.llm.lines import dedup_lines
 from natatio.llm.maxscore import TOP_SQL, top_inner_products
 from natatio.llm.mixing import standard_mix, standard_mix_sql
 from natatio.llm.negatives import NEGATIVES_SQL, hard_negatives
-from natatio.llm.pieces import decode_pieces, encode_pieces
+from natatio.llm.pieces import encode_pieces
 from natatio.llm.shared import shared_path, table
 from natatio.llm.simhash import simhash_groups
 from natatio.llm.simple8b import read_token_ids, token_digests, write_token_ids
@@ -109,7 +109,7 @@ def piece_file() -> str:
 
 def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's piece ids and of the text they decode to."""
-    coded = decode_pieces(encode_pieces(table(spark, sf_dir, "documents"), piece_file()), piece_file())
+    coded = encode_pieces(table(spark, sf_dir, "documents"), piece_file(), decode=True)
     digest = lambda c: F.sha2(c.cast("binary"), 256)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
 

@@ -12,7 +12,7 @@ from natatio.llm import pieces, queries
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 LIBRARY = SentencePieceProcessor(model_file=MODEL)
 with open(MODEL, "rb") as file:
-    OWN = pieces.Pieces(file.read())
+    OWN = pieces.Pieces(file.read(), check=1)
 ODD = ["a", "th", "e", " ", "   ", "\n", "\t", "\r\n", "▁", "æ", "é", "中文", "の", "👍🏽", "́", "\x00", "\x85", " ", "<s>", "</s>", "<unk>", "<0x0A>", "0", "12", ".", ", ", "ing", " the", "�", "　", "zzzzzzz"]
 
 
@@ -34,12 +34,14 @@ def test_any_ids_decode_as_the_library_does(ids):
     assert OWN.decode(ids) == LIBRARY.decode(ids)
 
 
-@pytest.mark.parametrize("stretch", ["ab" * 4000, "thethe" * 30 + "ing" * 200, "中" * 500, "a" * 1000])
-def test_both_agendas_agree_on_long_stretches(stretch, monkeypatch):
-    long = OWN._merged(stretch)
+@pytest.mark.parametrize("stretch", ["ab" * 4000, "thethe" * 30 + "ing" * 200, "中" * 500, "a" * 1000, "▁interestingly", "naïveté", "x中y"])
+def test_heap_and_table_agree(stretch, monkeypatch):
+    heap = np.frombuffer(OWN._by_heap(stretch), "<i4").tolist()
+    assert heap == LIBRARY.encode("\n" + stretch.replace("▁", " "))[2:]
     monkeypatch.setattr(pieces, "SHORT", 1 << 30)
-    assert OWN._merged(stretch) == long
-    assert ids_of([stretch])[0] == LIBRARY.encode(stretch)
+    OWN.known.clear()
+    OWN._learn({stretch})
+    assert np.frombuffer(OWN.known[stretch], "<i4").tolist() == heap
 
 
 def test_full_tables_make_room(monkeypatch):
@@ -51,10 +53,10 @@ def test_full_tables_make_room(monkeypatch):
 
 def test_a_difference_to_the_library_is_an_error(monkeypatch):
     with open(MODEL, "rb") as file:
-        own = pieces.Pieces(file.read())
-    own.id_of["▁never"] = 5
+        own = pieces.Pieces(file.read(), check=1)
+    own.pair_ranks[:] = own.pair_ranks[::-1]
     with pytest.raises(AssertionError):
-        own.encode(["never seen"])
+        own.encode(["interestingly, words that were never seen before"])
 
 
 def test_frames(spark, monkeypatch):
@@ -66,6 +68,8 @@ def test_frames(spark, monkeypatch):
     want = [(i, LIBRARY.encode(t or ""), LIBRARY.decode(LIBRARY.encode(t or ""))) for i, t in rows]
     assert sorted((r.doc_id, r.ids, r.decoded) for r in got if r.doc_id) == sorted(w for w in want if w[0])
     assert [(r.ids, r.decoded) for r in got if r.doc_id is None] == [w[1:] for w in want if w[0] is None]
+    both = pieces.encode_pieces(frame, MODEL, decode=True)
+    assert sorted(map(tuple, both.collect()), key=str) == sorted(map(tuple, got), key=str)
     assert pieces.decode_pieces(pieces.encode_pieces(frame.limit(0), MODEL), MODEL).count() == 0
     none = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert [r.decoded for r in pieces.decode_pieces(none, MODEL).orderBy("doc_id").collect()] == [None, ""]
