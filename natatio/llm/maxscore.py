@@ -125,7 +125,7 @@ def top_inner_products(vectors: DataFrame, queries: Column, k: int = 5, id_col:
     MaxScore finds their best rows (see ``Shard.search``), exactly. Each block first meets one shard: the ``k``-th best score there is what a row
     of any shard must reach. The shards' lists are merged by rank. Each pair of a block and a shard is one row, joined by shard number.
 
-    Vectors that are null or hold null or non-finite components take no part. Components so large that a score may not fit in 64 bits (about
+    Query rows equal in id and vector are searched once; different vectors of one id each have their own answers. Vectors that are null or hold null or non-finite components take no part. Components so large that a score may not fit in 64 bits (about
     ``sqrt(2**61 / length) / 256``) are an error. Rows score only with vectors of their own
     length. Rows with the query's id are never its answers; other repeated rows answer each for itself. With fewer
     candidates, all are returned. Other columns are ignored. An empty table gives an empty result.
@@ -133,7 +133,7 @@ def top_inner_products(vectors: DataFrame, queries: Column, k: int = 5, id_col:
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), whole_numbers(F.col(vector_col)).alias("v"), F.coalesce(queries, F.lit(False)).alias("asked")).where("v is not null and vec_id is not null")
     rows = settled(rows)
     shards = _blocks(rows.select("vec_id", "v"), SHARD, "shard")
-    asked = _blocks(rows.where("asked").select("vec_id", "v"), BLOCK, "query_block").withColumnsRenamed({"ids": "query_ids", "values": "query_values"})
+    asked = _blocks(rows.where("asked").select("vec_id", "v").distinct(), BLOCK, "query_block").withColumnsRenamed({"ids": "query_ids", "values": "query_values"})
     places = shards.groupBy("dims").agg(F.sort_array(F.collect_list("shard")).alias("shards"))
     pairs = asked.join(places, "dims")
     tasks = min(TASKS, max(1, shards.count()) * 4)
@@ -157,21 +157,23 @@ def top_inner_products(vectors: DataFrame, queries: Column, k: int = 5, id_col:
             yield pd.DataFrame({"dims": [row.dims], "query_block": [row.query_block], "floors": [floors.tobytes()]})
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, own, found in searched(batches):
-            yield pd.DataFrame({"query_id": np.repeat(own, [len(i) for i, _ in found]), "vec_id": np.concatenate([i for i, _ in found]), "score": np.concatenate([s for _, s in found])})
+        for row, own, found in searched(batches):
+            many = [len(i) for i, _ in found]
+            yield pd.DataFrame({"dims": row.dims, "query_block": row.query_block, "slot": np.repeat(np.arange(len(own)), many), "query_id": np.repeat(own, many), "vec_id": np.concatenate([i for i, _ in found]), "score": np.concatenate([s for _, s in found])})
 
     one = pairs.withColumn("shard", F.get("shards", F.expr("query_block % size(shards)"))).drop("shards").withColumn("floors", F.lit(None).cast("binary"))
     floors = settled(deal(shards).join(deal(one), ["dims", "shard"]).mapInPandas(first, "dims int, query_block int, floors binary"))
     every = pairs.join(floors, ["dims", "query_block"]).withColumn("shard", F.explode("shards")).drop("shards")
-    answers = deal(shards).join(deal(every), ["dims", "shard"]).mapInPandas(search, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    answers = deal(shards).join(deal(every), ["dims", "shard"]).mapInPandas(search, "dims int, query_block int, slot int, query_id long, vec_id long, score long")
+    # A query has a place of its own in one block.
+    rank = F.row_number().over(Window.partitionBy("query_id", "dims", "query_block", "slot").orderBy(F.desc("score"), "vec_id"))
     return answers.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 #: DuckDB: the five best other rows of every 50th.
 TOP_SQL = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
     WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id
-    WHERE q.vec_id % 50 = 0 AND len(q.v) = len(c.v)),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+q AS (SELECT DISTINCT vec_id, v FROM v WHERE vec_id % 50 = 0),
+s AS (SELECT q.vec_id AS query_id, q.v, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id, v ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 5"""

@@ -16,7 +16,7 @@ PATH = "/root/testdata/sf0.01/embeddings.parquet"
 def slow(rows, asked, k):
     whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, v in whole:
+    for q, v in {(q, tuple(v)) for q, v in whole}:
         if asked(q):
             best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in whole if i != q and len(w) == len(v))[:k]
             out += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
@@ -80,6 +80,14 @@ def test_edges(spark, monkeypatch):
     single = [(i, v and [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
     assert got == slow(single, lambda i: i % 2 == 0, 3)
     assert maxscore.top_inner_products(frame.limit(0), asked, 3).count() == 0
+    rows = [(0, [1.0]), (0, [1.0]), (0, [-1.0]), *((i, [float(i)]) for i in range(1, 7))]
+    again = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = [(r.rank, r.vec_id) for r in maxscore.top_inner_products(again, F.col("vec_id") == 0, 5).orderBy("rank", "vec_id").collect()]
+    assert got == sorted((n, i) for best in ((6, 5, 4, 3, 2), (1, 2, 3, 4, 5)) for n, i in enumerate(best, 1))
+    db = duckdb.connect()
+    db.execute("create table embeddings (vec_id bigint, embedding float[])")
+    db.executemany("insert into embeddings values (?, ?)", rows)
+    assert sorted((r[1], r[2]) for r in db.execute(maxscore.TOP_SQL).fetchall()) == got
     twice = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert [(r.vec_id, r.rank) for r in maxscore.top_inner_products(twice, F.col("vec_id") == 0, 5).collect()] == [(1, 1), (1, 2)]
 
