@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-import math
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from natatio.llm.shared import skew_join, stored
 
-#: Without a bound (``RARE`` infinite) every stretch of lines that can be deleted is a seed. Where a bound is set, seeds are lines of
-#: SEED_CHARS characters or more in RARE texts at most, or among the KEPT rarest of a text; that leaves common blocks in.
-SEED_CHARS, RARE, KEPT = 20, math.inf, 3
 #: Characters of a block that is deleted, at least.
 BLOCK_CHARS = 40
 
@@ -119,20 +115,14 @@ def common_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = rows.select("doc_id", "text_key", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"), F.transform("lines", lambda x: F.length(x)).alias("sizes"))
     rows = stored(rows.where("doc_id is not null").withColumn("kind", F.xxhash64("hashes")), "lines")
     kinds = stored(rows.groupBy("kind").agg(F.min(F.struct("doc_id", "hashes", "sizes")).alias("one"), F.count("*").alias("n")).select("kind", "n", "one.*"), "kinds")
-    bounded = RARE < math.inf
-    if bounded:
-        seeds = kinds.select("kind", "doc_id", F.explode(F.arrays_zip("hashes", "sizes")).alias("line")).where(F.col("line.sizes") >= SEED_CHARS)
-        seeds = seeds.select("kind", "doc_id", F.col("line.hashes").alias("line")).distinct()
-    else:
-        seeds = kinds.mapInPandas(_stretch_seeds, kinds.select("kind", "doc_id", F.lit(0).cast("long").alias("line")).schema)
-    owners = seeds.groupBy("line").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "kind")).alias("owner")).where("n > 1")
-    met = seeds.join(owners, "line").where("owner.kind <> kind")
-    if bounded:
-        rank = F.row_number().over(Window.partitionBy("kind").orderBy("n", "line"))
-        met = met.withColumn("rank", rank).where((F.col("n") <= RARE) | (F.col("rank") <= KEPT))
-    pairs = met.select("kind", F.col("owner.kind").alias("earlier")).distinct()
+    seeds = stored(kinds.mapInPandas(_stretch_seeds, kinds.select("kind", "doc_id", F.lit(0).cast("long").alias("line")).schema), "seeds")
+    owners = stored(seeds.groupBy("line").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "kind")).alias("owner")).where("n > 1"), "owners")
+    met = skew_join(seeds.select("line", "kind"), owners.drop("n"), ["line"], owners.select("line", "n"))
+    pairs = stored(met.select("kind", F.col("owner.kind").alias("earlier")).where("kind <> earlier").distinct(), "met")
     own = kinds.select("kind", F.col("hashes").alias("b"), "sizes")
-    pairs = pairs.join(own, "kind").join(kinds.select(F.col("kind").alias("earlier"), F.col("hashes").alias("a")), "earlier").select("kind", "a", "b", "sizes")
+    # Many kinds may have one earlier one, that of a licence, say: its lines go to where theirs are.
+    told = kinds.select(F.col("kind").alias("earlier"), F.col("hashes").alias("a"))
+    pairs = skew_join(pairs.join(own, "kind"), told, ["earlier"], pairs.groupBy("earlier").agg(F.count("*").alias("n"))).select("kind", "a", "b", "sizes")
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

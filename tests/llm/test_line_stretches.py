@@ -10,8 +10,8 @@ def runs(key):
     return {key[i:m] for i in range(len(key)) for m in range(i + 1, len(key) + 1) if sum(map(len, key[i:m])) >= lines.BLOCK_CHARS}
 
 
-def slow(rows):
-    """Every kind is aligned with the earliest holder of each shortest run that starts or ends at a line; no bounds."""
+def gone_lines(rows):
+    """Numbers of the lines that go. Every kind is aligned with the earliest holder of each shortest run that starts or ends at a line; no bounds."""
     kinds = {}
     for i, t in rows:
         key = tuple(x.strip() for x in t.split("\n"))
@@ -28,10 +28,15 @@ def slow(rows):
             if other != key:
                 ids = {y: n for n, y in enumerate(dict.fromkeys([*other, *key]))}
                 gone.update(lines.blocks(lines.patience([ids[y] for y in other], [ids[y] for y in key]), [len(y) for y in key]))
-        out[i] = "\n".join(y for n, y in enumerate(key) if n not in gone)
+        out[i] = gone
     return out
 
 
+def slow(rows):
+    gone = gone_lines(rows)
+    return {i: "\n".join(y for n, y in enumerate(x.strip() for x in t.split("\n")) if n not in gone[i]) for i, t in rows}
+
+
 def kept(spark, rows):
     got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     return {r.doc_id: r.kept for r in got}

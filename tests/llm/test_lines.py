@@ -1,42 +1,29 @@
 import difflib
 import random
-from collections import defaultdict
-
-import pytest
 
 from natatio.llm import lines
+from tests.llm.test_line_stretches import gone_lines as whole
 
 
 def slow(rows):
-    """The same rule with plain loops over all documents."""
-    seqs = [(i, None if t is None else [x.strip() for x in t.split("\n")], t) for i, t in rows]
-    kinds = {}
-    for i, s, _ in seqs:
+    """The rule of ``test_line_stretches`` with all the odd rows: ids and texts that are null, and repeats."""
+    first = {}
+    for i, t in rows:
         if i is not None:
-            key = tuple(s or [""])
-            kinds[key] = min(kinds.get(key, i), i)
-    holders = defaultdict(set)
-    for key, i in kinds.items():
-        for x in key:
-            if len(x) >= lines.SEED_CHARS:
-                holders[x].add((i, key))
-    gone = defaultdict(set)
-    for key, i in kinds.items():
-        shared = [x for x in set(key) if len(holders[x]) > 1 and min(holders[x])[1] != key]
-        few = sorted(len(holders[x]) for x in shared)[: lines.KEPT]
-        for x in shared:
-            if len(holders[x]) <= lines.RARE or len(holders[x]) in few:
-                ids = {y: n for n, y in enumerate(dict.fromkeys([*min(holders[x])[1], *key]))}
-                a, b = [ids[y] for y in min(holders[x])[1]], [ids[y] for y in key]
-                gone[key].update(lines.blocks(lines.patience(a, b), [len(y) for y in key]))
+            key = tuple(x.strip() for x in (t or "").split("\n"))
+            first[key] = min(first.get(key, i), i)
+    told = whole([(i, "\n".join(key)) for key, i in first.items()])
     out = []
-    for i, s, t in seqs:
-        key = tuple(s or [""])
-        cut = set()
-        if i is not None and t is not None:
-            cut = gone[key] if kinds[key] == i else set(range(len(key))) if sum(map(len, key)) >= lines.BLOCK_CHARS else set()
-        kept = "" if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in cut)
-        out.append((i, 0 if t is None else len(s), len(cut), kept))
+    for i, t in rows:
+        lines_ = [] if t is None else t.split("\n")
+        key = tuple(x.strip() for x in (t or "").split("\n"))
+        if i is None or t is None:
+            gone = set()
+        elif first[key] != i:
+            gone = set(range(len(key))) if sum(map(len, key)) >= lines.BLOCK_CHARS else set()
+        else:
+            gone = told[i]
+        out.append((i, len(lines_), len(gone), "\n".join(x for n, x in enumerate(lines_) if n not in gone)))
     return sorted(out, key=str)
 
 
@@ -45,10 +32,7 @@ def check(spark, rows):
     assert sorted(map(tuple, lines.dedup_lines(frame).collect()), key=str) == slow(rows)
 
 
-@pytest.mark.parametrize("rare", [64, 2])
-def test_matches_brute_force(spark, monkeypatch, rare):
-    monkeypatch.setattr(lines, "RARE", rare)
-    monkeypatch.setattr(lines, "KEPT", 0 if rare == 2 else 3)
+def test_matches_brute_force(spark):
     r = random.Random(3)
     pool = [f"line {k} " + "x" * r.randint(0, 30) for k in range(60)] + ["", "short", " padded line with spaces "]
     rows = []
