@@ -116,8 +116,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
         return rows.mapInPandas(seed, ", ".join(f"{k} {types[k]}" for k in wanted))
 
     # A second pass over the texts is cheaper than keeping all segments, most of which aren't shared.
-    joining = seeds("doc_id", "anchor").groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
-    shared = stored(seeds("doc_id", "text_key", "anchor", "low", "n", "span").join(joining, "anchor", "left_semi"), "segments")
+    joining = seeds("doc_id", "anchor").groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where("a < b").select("anchor", "n")
+    joining = stored(joining, "joining")
+    shared = stored(skew_join(seeds("doc_id", "text_key", "anchor", "low", "n", "span"), joining.select("anchor"), ["anchor"], joining), "segments")
     kinds = shared.where("doc_id is not null").groupBy("anchor", "span").agg(F.min(F.struct("doc_id", "text_key", "low", "n")).alias("first"), F.count("*").alias("held"))
     several = kinds.groupBy("anchor").count().where("count > 1").select("anchor", F.lit(True).alias("unlike"))
     kinds = stored(kinds.join(several, "anchor", "left").select("anchor", "span", "held", "first.*", F.coalesce("unlike", F.lit(False)).alias("unlike")), "kinds")
