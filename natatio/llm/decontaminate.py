@@ -235,4 +235,4 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     text = options.get("text_col", "text")
     leaks = find_leaks(docs, benchmark, **options).select("text_key").distinct()
     keyed = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    return keyed.join(leaks.withColumnRenamed("text_key", "_key"), "_key", "left_anti").select(*docs.columns)
+    return keyed.join(leaks.withColumnRenamed("text_key", "_key"), "_key", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

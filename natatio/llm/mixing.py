@@ -86,7 +86,7 @@ def mix_to_weights(docs: DataFrame, budget_share: float, weights: dict[str, Colu
     words = F.expr(f"coalesce(regexp_count(doc.`{text_col}`, '[^\\\\x20\\\\x09-\\\\x0D]+'), 0)").cast("long")
     named = lambda c: F.coalesce(c.cast("string"), F.lit("?"))
     order = F.coalesce(F.col(id_col).cast("string"), F.md5(F.col(text_col).cast("binary")))
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), named(domain).alias("domain"), named(F.col(language_col)).alias("language"), named(F.col(source_col)).alias("source"), order.alias("order"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), named(domain).alias("domain"), named(F.col(language_col)).alias("language"), named(F.col(source_col)).alias("source"), order.alias("order"))
     # Words are counted once for the plan, and once more for the documents that it takes.
     sizes = stored(rows.select(*LEVELS, "order", words.alias("n")).where("n > 0"), "sizes")
     leaves = settled(sizes.groupBy(*LEVELS).agg(F.sum("n").alias("tokens")))

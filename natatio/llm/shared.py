@@ -30,7 +30,7 @@ def shared_dir(spark: SparkSession) -> str:
     if named and context.getCheckpointDir():
         return named
     if not context.getCheckpointDir():
-        if not named and not context.master.startswith("local"):
+        if not named and context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="natatio-"))
     return context.getCheckpointDir()
