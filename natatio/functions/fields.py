@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 # Names and codes as the result pages have them.
 MONTHS = ("januar", "februar", "marts", "april", "maj", "juni", "juli", "august", "september", "oktober", "november", "december")
 BASE_STROKES = {"Fri": "FREE", "Ryg": "BACK", "Bryst": "BREAST", "Fly": "FLY", "IM": "MEDLEY", "HM": "MEDLEY"}
-LEGACY_STROKES = {"fri": "FREE", "ryg": "BACK", "bryst": "BREAST", "butterfly": "FLY", "fly": "FLY", "medley": "MEDLEY", "im": "MEDLEY"}
-LEGACY_GENDERS = {"herrer": "M", "h": "M", "damer": "F", "d": "F", "mix": "X"}
+LEGACY_STROKES = {"Frisvømning": "FREE", "Brystsvømning": "BREAST", "Rygsvømning": "BACK", "Butterfly": "FLY", "IM": "MEDLEY", "Ind.": "MEDLEY", "Indv.Medley": "MEDLEY", "Medley": "MEDLEY", "IM Medley": "MEDLEY"}
+LEGACY_GENDERS = {"herrer": "M", "damer": "F", "mix": "X"}
+LEGACY_INITIALS = {"h": "M", "d": "F"}
 GENDERS = {"Herrer": "M", "Damer": "F", "Mix": "X"}
 
 
@@ -55,10 +56,13 @@ def base_seconds(col: Column) -> Column:
 
 
 def danish_date(col: Column) -> Column:
-    """``5. april 2025`` to a date, in any case; others are null."""
-    text, pattern = F.lower(F.trim(col)), r"^(\d{1,2})\.\s*([a-z]+)\s+(\d{4})$"
-    month = lookup({m: n for n, m in enumerate(MONTHS, 1)}, _part(text, pattern, 2))
-    return F.try_to_date(F.format_string("%s-%02d-%s", _part(text, pattern, 3), month, F.lpad(_part(text, pattern, 1), 2, "0")), "yyyy-MM-dd")
+    """``5. april 2025`` to a date: day, month's name in any case and year, parted by white space; dots don't count. Others are null."""
+    words = F.filter(F.split(F.translate(col, ".", ""), r"(?U)\s+"), lambda x: x != "")
+    day, year = F.get(words, 0), F.get(words, 2)
+    month = lookup({m: n for n, m in enumerate(MONTHS, 1)}, F.lower(F.get(words, 1)))
+    good = (F.size(words) == 3) & day.rlike(r"^0*\d{1,2}$") & year.rlike(r"^0*[1-9]\d{0,3}$")
+    date = F.format_string("%04d-%02d-%02d", F.when(good, year).try_cast("int"), month, F.when(good, day).try_cast("int"))
+    return F.when(good & month.isNotNull(), F.try_to_date(date, "yyyy-MM-dd"))
 
 
 def season_of(date: Column, last_month: int = 7) -> Column:
@@ -105,16 +109,18 @@ def race_id_from_url(col: Column) -> Column:
 
 
 def clean_rank(col: Column) -> Column:
-    """A place; ``DSQ`` is -1, other text null."""
-    return F.when(F.trim(col) == "DSQ", F.lit(-1).cast("bigint")).otherwise(whole(col))
+    """A place; ``DSQ`` in any case is -1, other text null."""
+    return F.when(F.upper(F.trim(col)) == "DSQ", F.lit(-1).cast("bigint")).otherwise(whole(col))
 
 
 def legacy_rank(col: Column) -> Column:
     return F.when(F.trim(col) == "-", F.lit(-1).cast("bigint")).otherwise(whole(F.regexp_replace(F.trim(col), "^=", "")))
 
 
-def swimmer_id_from_href(col: Column) -> Column:
-    return F.when(col.contains("?"), F.substring_index(col, "?", -1))
+def swimmer_id_from_href(col: Column, is_relay: Column | None = None) -> Column:
+    """What follows the last ``?`` of a swimmer's link. A relay's link leads to its split times: no swimmer."""
+    found = F.when(col.contains("?"), F.substring_index(col, "?", -1))
+    return found if is_relay is None else F.when(~F.coalesce(is_relay, F.lit(False)), found)
 
 
 def nationality_from_flag(col: Column) -> Column:
@@ -123,7 +129,7 @@ def nationality_from_flag(col: Column) -> Column:
 
 
 def int_or_null(col: Column) -> Column:
-    """A whole number whose thousands may be parted by dots."""
+    """A whole number whose thousands may be parted by dots: distances of laps."""
     return whole(F.regexp_replace(col, r"\.", ""))
 
 
@@ -136,11 +142,17 @@ def stroke_to_base(col: Column) -> Column:
 
 
 def legacy_stroke(col: Column) -> Column:
-    return F.coalesce(lookup(LEGACY_STROKES, F.lower(col)), F.lit("?"))
+    """The code of a stroke's name; another name in capitals."""
+    return F.coalesce(lookup(LEGACY_STROKES, col), F.upper(col))
 
 
 def legacy_gender(col: Column) -> Column:
-    return F.coalesce(lookup(LEGACY_GENDERS, F.lower(F.trim(col))), F.lit("?"))
+    """The code of the first of the words that a text has anywhere, in any case; else by its first letter; else ``?``."""
+    low = F.lower(col)
+    code = lookup(LEGACY_INITIALS, F.substring(low, 1, 1))
+    for word, value in reversed(LEGACY_GENDERS.items()):
+        code = F.when(low.contains(word), value).otherwise(code)
+    return F.coalesce(code, F.lit("?"))
 
 
 def legacy_relay(col: Column) -> Column:
@@ -162,10 +174,17 @@ def wa_points(base: Column, centiseconds: Column) -> Column:
 def standardize_races(cells) -> object:
     """Races from scraped strings: url, number, name and heading."""
     event = parse_event(F.col("name"))
-    return cells.select(race_id_from_url(F.col("url")).alias("race_id"), int_or_null(F.col("number")).alias("number"), "name", event.alias("e"), race_type(F.col("heading")).alias("type")).select("race_id", "number", "name", "e.*", "type")
+    return cells.select(race_id_from_url(F.col("url")).alias("race_id"), whole(F.col("number")).alias("number"), "name", event.alias("e"), race_type(F.col("heading")).alias("type")).select("race_id", "number", "name", "e.*", "type")
 
 
 def standardize_results(cells) -> object:
-    """Results from scraped strings: rank, href, flag, birth_year and time."""
+    """Results from scraped strings: rank, href, flag, birth_year and time; with ``is_relay`` relays have no swimmer."""
+    c = F.col
+    relay = c("is_relay") if "is_relay" in cells.columns else None
+    return cells.select("*", clean_rank(c("rank_text")).alias("rank"), swimmer_id_from_href(c("href"), relay).alias("swimmer_id"), nationality_from_flag(c("flag")).alias("nationality"), whole(c("birth_text")).alias("birth_year"), time_to_centiseconds(c("time_text")).alias("completed_centiseconds")).drop("rank_text", "href", "flag", "birth_text")
+
+
+def standardize_splits(cells) -> object:
+    """Laps from scraped strings: distance, split and cumulative time; rows without a distance are no laps."""
     c = F.col
-    return cells.select("*", clean_rank(c("rank_text")).alias("rank"), swimmer_id_from_href(c("href")).alias("swimmer_id"), nationality_from_flag(c("flag")).alias("nationality"), int_or_null(c("birth_text")).alias("birth_year"), time_to_centiseconds(c("time_text")).alias("completed_centiseconds")).drop("rank_text", "href", "flag", "birth_text")
+    return cells.where(F.length(F.trim("distance_text")) > 0).select("*", int_or_null(c("distance_text")).alias("distance"), time_to_centiseconds(c("split_time")).alias("split_centiseconds"), time_to_centiseconds(c("cumulative_time")).alias("cumulative_centiseconds")).drop("distance_text")

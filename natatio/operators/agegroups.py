@@ -67,10 +67,21 @@ def unscored_audit(rows: DataFrame) -> DataFrame:
     return rows.where("coalesce(points, 0) = 0 and rank >= 1").groupBy("meet_id", "race_id").agg(F.count("*").alias("unscored"))
 
 
+def birth_cohort(rows: DataFrame, oldest: bool = False) -> DataFrame:
+    """Swims of those born last (or first), for each season and gender."""
+    end = F.min("birth_year") if oldest else F.max("birth_year")
+    born = rows.where("birth_year is not null").groupBy("season", "gender").agg(end.alias("birth_year"))
+    return rows.join(born, ["season", "gender", "birth_year"], "left_semi").select("season", "gender", "birth_year", "result_id", "swimmer_id", "points")
+
+
 def youngest_cohort(rows: DataFrame) -> DataFrame:
     """Swims of those born last, for each season and gender."""
-    youngest = rows.where("birth_year is not null").groupBy("season", "gender").agg(F.max("birth_year").alias("birth_year"))
-    return rows.join(youngest, ["season", "gender", "birth_year"], "left_semi").select("season", "gender", "birth_year", "result_id", "swimmer_id", "points")
+    return birth_cohort(rows)
+
+
+def oldest_cohort(rows: DataFrame) -> DataFrame:
+    """Swims of those born first, for each season and gender."""
+    return birth_cohort(rows, oldest=True)
 
 
 def gender_counts(rows: DataFrame) -> DataFrame:

@@ -10,12 +10,24 @@ ZONE = "Europe/Copenhagen"
 GRACE, DEADLINE, ATTEMPTS, STALE = 6, 72, 3, 6
 
 
-def raw_completeness(lines: DataFrame) -> DataFrame:
-    """Per meet, from its files' lines ``(meet_id, file, line)``: races and results, and whether all three files are there."""
+def raw_completeness(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Per meet, from its files' lines ``(meet_id, file, line, pos)``: races and results, whether all three files are there with a record of the meet, and then the meet's name.
+
+    The name is that of the first record, empty if it has none. A file without a byte has no lines; with ``files`` (``meet_id, file``) it counts as there.
+    """
     text = F.length(F.trim("line")) > 0
+    info = (F.col("file") == "meet_info") & text
     n = lambda file, ok=F.lit(True): F.count_if((F.col("file") == file) & ok)  # noqa: E731,B008
+    first = F.min_by(F.col("line"), F.col("pos")).alias("first")
     rows = lines.groupBy("meet_id").agg(n("meet_info", text).alias("info"), n("races").alias("race_files"), n("results").alias("result_files"), n("races", text).alias("races"), n("results", text).alias("results"))
-    return rows.select("meet_id", "races", "results", ((F.col("info") > 0) & (F.col("race_files") > 0) & (F.col("result_files") > 0)).alias("complete"))
+    rows = rows.join(lines.where(info).groupBy("meet_id").agg(first), "meet_id", "left")
+    there = (F.col("race_files") > 0) & (F.col("result_files") > 0)
+    if files is not None:
+        rows = files.groupBy("meet_id").agg((F.countDistinct("file") == 3).alias("all_files")).join(rows, "meet_id", "left")
+        there = F.col("all_files")
+    complete = there & (F.coalesce("info", F.lit(0)) > 0)
+    name = F.when(complete, F.coalesce(F.get_json_object("first", "$.meet"), F.lit("")))
+    return rows.select("meet_id", name.alias("meet_name"), F.coalesce("races", F.lit(0)).cast("bigint").alias("races"), F.coalesce("results", F.lit(0)).cast("bigint").alias("results"), complete.alias("complete"))
 
 
 def due_meets(registry: DataFrame, now: Column) -> DataFrame:

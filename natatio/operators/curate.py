@@ -105,9 +105,17 @@ def curate(meets: DataFrame, races: DataFrame, results: DataFrame, base_times: D
     return {"dim_meet": dim_meet, "dim_race": dim_race, "fact_result": build_fact_result(obt), "fact_split": build_fact_split(results, dim_meet), "obt_result": obt}
 
 
+def enrich_points(rows: DataFrame, base_times: DataFrame, fixed_season: int = FIXED_SEASON) -> DataFrame:
+    """The rows with ``points`` and ``points_fixed``, new or in place of what they have, without regard to class; all other columns stay."""
+    columns = [c for c in rows.columns if c not in ("points", "points_fixed")]
+    told = rows.drop("points", "points_fixed").withColumn("_class", F.col("class") if "class" in columns else F.lit(None)).withColumn("class", F.lit("open"))
+    every = score_results(told, base_times, fixed_season)
+    return every.select(*(F.col("_class" if c == "class" else f"`{c}`").alias(c) for c in columns), "points", "points_fixed")
+
+
 def points_coverage(rows: DataFrame, base_times: DataFrame, fixed_season: int = FIXED_SEASON) -> DataFrame:
-    """Points without regard to class, and per meet the share of results that have some."""
-    every = score_results(rows.withColumn("class", F.lit("open")), base_times, fixed_season)
+    """Per meet the share of results that have points, without regard to class."""
+    every = enrich_points(rows, base_times, fixed_season)
     return every.groupBy("meet_id").agg(F.count("*").alias("results"), F.count("points").alias("scored"), (F.count("points") / F.count("*")).alias("coverage"))
 
 

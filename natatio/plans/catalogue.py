@@ -16,7 +16,7 @@ from natatio.functions import fields
 from natatio.operators import agegroups, audit, curate, views
 from natatio.plans import fixture, registry
 from natatio.schemas import CURATED
-from natatio.sources import lake, raw
+from natatio.sources import lake, load, raw
 from natatio.streaming import curate_stream
 
 #: The fixed reference season of the derived data.
@@ -178,18 +178,19 @@ NOW = "timestamp'1995-06-20 12:00:00'"
 
 
 def _lines(x: Swims) -> DataFrame:
-    """Raw lines of the meets, some with a file missing."""
+    """Raw lines of the meets, some with a file missing, some without a name, and a second record of each meet."""
     meet, even = F.col("meet_id"), F.substring("meet_id", 6, 1).cast("int") % 3 != 0
-    info = x.meets.select(meet, F.lit("meet_info").alias("file"), F.col("meet_name").alias("line"))
-    races = x.races.select(meet, F.lit("races").alias("file"), F.col("race_id").cast("string").alias("line"))
-    results = x.results.where(even).select(meet, F.lit("results").alias("file"), F.coalesce("name", F.lit(" ")).alias("line"))
-    return info.union(races).union(results)
+    named = F.when(F.col("meet_id").cast("int") % 5 != 0, F.col("meet_name"))
+    info = x.meets.select(meet, F.lit("meet_info").alias("file"), F.explode(F.array(F.struct(F.lit(2).alias("pos"), F.to_json(F.struct(F.lit("second").alias("meet"))).alias("line")), F.struct(F.lit(0).alias("pos"), F.lit(" ").alias("line")), F.struct(F.lit(1).alias("pos"), F.to_json(F.struct(named.alias("meet"), "season")).alias("line")))).alias("l"))
+    races = x.races.select(meet, F.lit("races").alias("file"), F.struct(F.lit(0).alias("pos"), F.col("race_id").cast("string").alias("line")).alias("l"))
+    results = x.results.where(even).select(meet, F.lit("results").alias("file"), F.struct(F.lit(0).alias("pos"), F.coalesce("name", F.lit(" ")).alias("line")).alias("l"))
+    return info.union(races).union(results).select("meet_id", "file", "l.*")
 
 
 _LINES_SQL = """, lines AS (SELECT meet_id, 'meet_info' AS file, meet_name AS line FROM fx_meet UNION ALL SELECT meet_id, 'races', CAST(race_id AS VARCHAR) FROM races
     UNION ALL SELECT meet_id, 'results', coalesce(name, ' ') FROM fx_swims WHERE CAST(substr(meet_id, 6, 1) AS INT) % 3 <> 0),
-whole AS (SELECT meet_id, count(*) FILTER (WHERE file = 'races') AS races, count(*) FILTER (WHERE file = 'results' AND trim(line) <> '') AS results,
-    count(*) FILTER (WHERE file = 'meet_info') > 0 AND count(*) FILTER (WHERE file = 'races') > 0 AND count(*) FILTER (WHERE file = 'results') > 0 AS complete FROM lines GROUP BY meet_id)"""
+whole AS (SELECT meet_id, CASE WHEN complete THEN CASE WHEN CAST(meet_id AS INT) % 5 = 0 THEN '' ELSE 'meet ' || meet_id END END AS meet_name, races, results, complete FROM (SELECT meet_id, count(*) FILTER (WHERE file = 'races') AS races, count(*) FILTER (WHERE file = 'results' AND trim(line) <> '') AS results,
+    count(*) FILTER (WHERE file = 'meet_info') > 0 AND count(*) FILTER (WHERE file = 'races') > 0 AND count(*) FILTER (WHERE file = 'results') > 0 AS complete FROM lines GROUP BY meet_id))"""
 
 
 def _orders(x: Swims) -> DataFrame:
@@ -217,16 +218,21 @@ SELECT o_orderkey, text, cs, cs / 100.0::DOUBLE AS seconds FROM t"""
 
 
 def _dates(x: Swims) -> DataFrame:
-    date = F.col("o_orderdate").cast("date")
+    """Dates as pages show them: with and without dots, months in any case, white space of all kinds; and texts that are none."""
+    date, k = F.col("o_orderdate").cast("date"), F.col("o_orderkey")
     name = F.element_at(F.array(*map(F.lit, fields.MONTHS)), F.month(date))
-    text = F.when(F.col("o_orderkey") % 7 == 0, date.cast("string")).otherwise(F.concat(F.day(date).cast("string"), F.lit(". "), F.initcap(name), F.lit(" "), F.year(date).cast("string")))
-    return _orders(x).select("o_orderkey", text.alias("text"))
+    day, year, gap = F.day(date).cast("string"), F.year(date).cast("string"), F.lit(" ")
+    text = F.when(k % 11 == 0, date.cast("string")).when(k % 11 == 1, F.concat(day, gap, name, gap, year)).when(k % 11 == 2, F.concat(day, F.lit("."), name, gap, year)).when(k % 11 == 3, F.concat(F.lpad(day, 2, "0"), F.lit(".\u00a0"), F.upper(name), F.lit("\t"), year, F.lit(".")))
+    text = text.when(k % 11 == 4, F.concat(gap, day, F.lit(" .  "), name, gap, year, gap)).when(k % 11 == 5, F.concat(day, F.lit(". marts. "), year, F.lit(" kl. 9"))).when(k % 11 == 6, F.concat(F.lit("31. februar "), year)).when(k % 11 == 7, F.concat(day, F.lit(". may "), year))
+    return _orders(x).select("o_orderkey", text.otherwise(F.concat(day, F.lit(". "), F.initcap(name), gap, year)).alias("text"))
 
 
 _MONTH_LIST = "[" + ", ".join(f"'{m}'" for m in fields.MONTHS) + "]"
-_DATES_SQL = f"""WITH d AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, {_MONTH_LIST}[month(o_orderdate)] AS m FROM orders),
-t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN CAST(day AS VARCHAR) ELSE day(day) || '. ' || upper(substr(m, 1, 1)) || substr(m, 2) || ' ' || year(day) END AS text,
-    CASE WHEN o_orderkey % 7 <> 0 THEN day END AS day FROM d)
+_DATES_SQL = f"""WITH d AS (SELECT o_orderkey, o_orderkey % 11 AS k, CAST(o_orderdate AS DATE) AS day, {_MONTH_LIST}[month(o_orderdate)] AS m FROM orders),
+t AS (SELECT o_orderkey, CASE k WHEN 0 THEN CAST(day AS VARCHAR) WHEN 1 THEN day(day) || ' ' || m || ' ' || year(day) WHEN 2 THEN day(day) || '.' || m || ' ' || year(day)
+        WHEN 3 THEN lpad(CAST(day(day) AS VARCHAR), 2, '0') || '.' || chr(160) || upper(m) || chr(9) || year(day) || '.' WHEN 4 THEN ' ' || day(day) || ' .  ' || m || ' ' || year(day) || ' '
+        WHEN 5 THEN day(day) || '. marts. ' || year(day) || ' kl. 9' WHEN 6 THEN '31. februar ' || year(day) WHEN 7 THEN day(day) || '. may ' || year(day)
+        ELSE day(day) || '. ' || upper(substr(m, 1, 1)) || substr(m, 2) || ' ' || year(day) END AS text, CASE WHEN k NOT IN (0, 2, 5, 6, 7) THEN day END AS day FROM d)
 SELECT o_orderkey, text, day, CAST(year(day) + CASE WHEN month(day) > 7 THEN 1 ELSE 0 END AS BIGINT) AS season, CAST(year(day) + CASE WHEN month(day) > 8 THEN 1 ELSE 0 END AS BIGINT) AS legacy_season FROM t"""
 
 
@@ -257,17 +263,22 @@ SELECT k AS race_id, CAST(k % 50 AS BIGINT) AS number, CASE WHEN k % 11 = 0 THEN
     ['Timed final', 'Final', 'Heats', 'Swim-off', 'Andet'][k % 5 + 1] AS type FROM e"""
 
 
+_SEXES = ("Herrer", "d", "MIX", "Alle", "Herrer 16 år", "50m fri damer junior", "Hold mix", "Drenge", "hold", "damer og herrer", "", None, " herrer")
+_SWIMS = ("Frisvømning", "Brystsvømning", "Rygsvømning", "Butterfly", "IM", "Ind.", "Indv.Medley", "Medley", "IM Medley", "fri", "butterfly", "Hundesvømning", None)
+
+
 def _legacy_cells(x: Swims) -> DataFrame:
     """Strings of the old result pages, from orders, and what they mean."""
     k = F.col("o_orderkey")
-    cells = _orders(x).select(k, _pick(("50", "4X100", "10x25", "x"), k).alias("relay"), _pick(("=3", "7", "-", "DSQ"), k).alias("place"), _pick(("Herrer", "d", "MIX", "Alle"), k).alias("sex"), _pick(("fri", "Butterfly", "IM", "Ryg", "andet"), k).alias("swim"), _pick(("512", "", " ", None, "x"), k).alias("score"), _pick(("25m", "50m", "25m bane"), k).alias("pool"))
+    cells = _orders(x).select(k, _pick(("50", "4X100", "10x25", "x"), k).alias("relay"), _pick(("=3", "7", "-", "DSQ"), k).alias("place"), _pick(_SEXES, k).alias("sex"), _pick(_SWIMS, k).alias("swim"), _pick(("512", "", " ", None, "x"), k).alias("score"), _pick(("25m", "50m", "25m bane"), k).alias("pool"))
     c = F.col
     relay = fields.legacy_relay(c("relay"))
     return cells.select(k, relay.relay_count.alias("relay_count"), relay.distance.alias("distance"), fields.legacy_rank(c("place")).alias("rank"), fields.legacy_gender(c("sex")).alias("gender"), fields.legacy_stroke(c("swim")).alias("stroke"), fields.legacy_points(c("score")).alias("points"), fields.legacy_course_code(c("pool")).alias("course"))
 
 
 _LEGACY_CELLS_SQL = """SELECT k AS o_orderkey, CAST([1, 4, 10, 1][k % 4 + 1] AS BIGINT) AS relay_count, CAST([50, 100, 25, NULL][k % 4 + 1] AS BIGINT) AS distance, CAST([3, 7, -1, NULL][k % 4 + 1] AS BIGINT) AS rank,
-    ['M', 'F', 'X', '?'][k % 4 + 1] AS gender, ['FREE', 'FLY', 'MEDLEY', 'BACK', '?'][k % 5 + 1] AS stroke, CAST(CASE WHEN k % 5 = 0 THEN 512 ELSE 0 END AS BIGINT) AS points,
+    ['M', 'F', 'X', '?', 'M', 'F', 'X', 'F', 'M', 'M', '?', '?', 'M'][k % 13 + 1] AS gender,
+    ['FREE', 'BREAST', 'BACK', 'FLY', 'MEDLEY', 'MEDLEY', 'MEDLEY', 'MEDLEY', 'MEDLEY', 'FRI', 'BUTTERFLY', 'HUNDESVØMNING', NULL][k % 13 + 1] AS stroke, CAST(CASE WHEN k % 5 = 0 THEN 512 ELSE 0 END AS BIGINT) AS points,
     ['SCM', 'LCM', '?'][k % 3 + 1] AS course FROM (SELECT o_orderkey AS k FROM orders)"""
 
 
@@ -282,25 +293,41 @@ _RACE_TYPES_SQL = """SELECT o_orderkey, ['Direkte finale', 'FINALE A', 'Indleden
 
 
 def _cells(x: Swims) -> DataFrame:
-    k = F.col("o_orderkey")
+    """Cells of result pages, from orders: ranks in words, relays whose links lead to split times, years that are none, times of all lengths."""
+    k, customer = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    cents = k * 37 % 30000
+    time = F.concat((cents / 6000).cast("int").cast("string"), F.lit(":"), F.lpad((cents % 6000 / 100).cast("int").cast("string"), 2, "0"), F.when(k % 2 == 0, ".").otherwise(","), F.lpad((cents % 100).cast("string"), 2, "0"))
     return _orders(x).select(
         k,
-        F.when(k % 10 == 0, "DSQ").when(k % 10 == 1, "-").otherwise((k % 10).cast("string")).alias("rank_text"),
-        F.when(k % 4 == 0, "relay.html").otherwise(F.concat(F.lit("swimmer.html?"), F.col("o_custkey").cast("string"))).alias("href"),
+        F.when(k % 10 == 0, "DSQ").when(k % 10 == 1, "-").when(k % 10 == 2, " dsq ").when(k % 10 == 3, "Dsq").when(k % 10 == 4, "DNS").when(k % 10 == 5, "7.").otherwise((k % 10).cast("string")).alias("rank_text"),
+        F.when(k % 4 == 0, F.concat(F.lit("splittider.html?"), customer)).when(k % 4 == 1, "swimmer.html").when(k % 4 == 2, F.concat(F.lit("swimmer.html?a?"), customer)).otherwise(F.concat(F.lit("swimmer.html?"), customer)).alias("href"),
+        (k % 4 == 0).alias("is_relay"),
         F.when(k % 6 != 0, F.concat(F.lit("/flags/"), F.when(k % 2 == 0, "den").otherwise("swe"), F.lit(".png"))).alias("flag"),
-        F.when(k % 7 == 0, "?").otherwise((1980 + k % 30).cast("string")).alias("birth_text"),
-        F.lit("1:02.48").alias("time_text"),
+        F.when(k % 7 == 0, "?").when(k % 7 == 1, "1.980").when(k % 7 == 2, "").otherwise((1980 + k % 30).cast("string")).alias("birth_text"),
+        F.when(k % 9 == 0, "DNF").otherwise(time).alias("time_text"),
         F.when(k % 2 == 0, "Bane 50m").when(k % 3 == 0, "25m").otherwise("hav").alias("pool"),
         F.concat_ws(", ", F.lit("DM"), F.when(k % 3 == 0, "DO  DMJ")).alias("categories"),
     )
 
 
-_CELLS_SQL = """WITH k AS (SELECT o_orderkey AS k, o_custkey FROM orders)
-SELECT k AS o_orderkey, '1:02.48' AS time_text, CASE WHEN k % 10 = 0 THEN -1 WHEN k % 10 > 1 THEN k % 10 END AS rank, CASE WHEN k % 4 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS swimmer_id,
-    CASE WHEN k % 6 = 0 THEN 'UNK' WHEN k % 2 = 0 THEN 'DEN' ELSE 'SWE' END AS nationality, CASE WHEN k % 7 <> 0 THEN CAST(1980 + k % 30 AS BIGINT) END AS birth_year, CAST(6248 AS BIGINT) AS completed_centiseconds,
+_CELLS_SQL = """WITH k AS (SELECT o_orderkey AS k, o_custkey, o_orderkey * 37 % 30000 AS cents FROM orders)
+SELECT k AS o_orderkey, CASE WHEN k % 9 = 0 THEN 'DNF' ELSE (cents // 6000) || ':' || lpad(CAST(cents % 6000 // 100 AS VARCHAR), 2, '0') || CASE WHEN k % 2 = 0 THEN '.' ELSE ',' END || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') END AS time_text,
+    CASE WHEN k % 10 IN (0, 2, 3) THEN -1 WHEN k % 10 > 5 THEN k % 10 END AS rank, CASE WHEN k % 4 > 1 THEN CAST(o_custkey AS VARCHAR) END AS swimmer_id,
+    CASE WHEN k % 6 = 0 THEN 'UNK' WHEN k % 2 = 0 THEN 'DEN' ELSE 'SWE' END AS nationality, CASE WHEN k % 7 > 2 THEN CAST(1980 + k % 30 AS BIGINT) END AS birth_year, CASE WHEN k % 9 <> 0 THEN cents END AS completed_centiseconds,
     CASE WHEN k % 2 = 0 THEN 'LCM' WHEN k % 3 = 0 THEN 'SCM' ELSE 'UNK' END AS course, CASE WHEN k % 3 = 0 THEN 'DM+DO+DMJ' ELSE 'DM' END AS categories FROM k"""
 
 
+def _laps(x: Swims) -> DataFrame:
+    """Laps of split-times pages, from orders."""
+    k = F.col("o_orderkey")
+    cells = _orders(x).select(k, _pick(("50", "1.500", "", "100m", " 200 ", None, "1.5.0"), k).alias("distance_text"), F.lit("31,4").alias("split_time"), F.concat(F.lit("1:0"), (k % 10).cast("string"), F.lit(".5")).alias("cumulative_time"))
+    return fields.standardize_splits(cells)
+
+
+_LAPS_SQL = """SELECT o_orderkey, '31,4' AS split_time, '1:0' || (o_orderkey % 10) || '.5' AS cumulative_time, [50, 1500, NULL, NULL, 200, NULL, 150][o_orderkey % 7 + 1]::BIGINT AS distance,
+    3140::BIGINT AS split_centiseconds, 6000 + o_orderkey % 10 * 100 + 50 AS cumulative_centiseconds FROM orders WHERE o_orderkey % 7 NOT IN (2, 5)"""
+
+
 def _result_fields(x: Swims) -> DataFrame:
     cells = fields.standardize_results(_cells(x))
     return cells.select("o_orderkey", "time_text", "rank", "swimmer_id", "nationality", "birth_year", "completed_centiseconds", fields.course_code(F.col("pool")).alias("course"), F.array_join(fields.split_categories(F.col("categories")), "+").alias("categories"))
@@ -370,14 +397,16 @@ def _json_lines(x: Swims, left_out: str = "false") -> DataFrame:
     return line(x.raw_meets, "meet_info", zero, zero, meet).union(line(x.races, "races", c("race_id"), zero, race)).union(line(x.nested.where(f"not ({left_out})"), "results", c("race_id"), c("pos"), result))
 
 
-def _write_raw(x: Swims, root: str, left_out: str = "false") -> None:
-    """The raw zone: ``meet=<id>/<kind>.jsonl``, written by Spark and named as a scrape names its files."""
-    lines = _json_lines(x, left_out).repartition("meet", "kind").sortWithinPartitions("meet", "kind", "a", "b")
-    lines.select("meet", "kind", "value").write.partitionBy("meet", "kind").text(f"{root}-parts")
-    fs, parts = lake.place(x.spark, f"{root}-parts/meet=*/kind=*/part-*")
+def _write_raw(x: Swims, root: str, left_out: str = "false", value: str = "value", scrape: str = "") -> None:
+    """The raw zone: ``meet=<id>/<kind>.jsonl``, or ``meet=<id>/scrape=<scrape>/<kind>.jsonl``, written by Spark and named as a scrape names its files; ``value`` says what becomes of a line."""
+    beside = f"{root}-parts-{uuid.uuid4().hex}"
+    lines = _json_lines(x, left_out).withColumn("value", F.expr(value)).repartition("meet", "kind").sortWithinPartitions("meet", "kind", "a", "b")
+    lines.select("meet", "kind", "value").write.partitionBy("meet", "kind").text(beside)
+    fs, parts = lake.place(x.spark, f"{beside}/meet=*/kind=*/part-*")
     for status in fs.globStatus(parts):
         meet, kind, _ = status.getPath().toString().split("/")[-3:]
-        _, to = lake.place(x.spark, f"{root}/{meet}/{kind.split('=')[1]}.jsonl")
+        folder = f"{meet}/scrape={scrape}" if scrape else meet
+        _, to = lake.place(x.spark, f"{root}/{folder}/{kind.split('=')[1]}.jsonl")
         fs.mkdirs(to.getParent())
         fs.rename(status.getPath(), to)
 
@@ -401,6 +430,110 @@ def _rescraped(x: Swims) -> DataFrame:
     return _digest({name: lake.read_curated(x.spark, f"{root}/lake", name) for name in CURATED})
 
 
+#: A line with other clubs, and one that is cut short: the first of every tenth race of every fourth meet, and some races' own lines.
+RENAMED = "replace(value, '\"club\":\"club', '\"club\":\"new')"
+TORN = f"if(cast(meet as int) % 4 = 1 and a % 10 = 0 and (kind = 'results' and b = 0 or kind = 'races' and a % 20 = 0), substring(value, 1, length(value) - 9), {RENAMED})"
+
+
+def _quarantined(x: Swims) -> DataFrame:
+    """All meets curated, then curated anew from a scrape with new clubs and torn lines: who has which clubs, and the lines that were set aside."""
+    root = lake.scratch_path(x.spark, "quarantine")
+    _write_raw(x, f"{root}/raw", scrape="1")
+    curate_stream.curate_all(x.spark, f"{root}/raw", x.base, x.overrides, f"{root}/lake", FIXED)
+    _write_raw(x, f"{root}/raw", value=TORN, scrape="2")
+    curate_stream.curate_all(x.spark, f"{root}/raw", x.base, x.overrides, f"{root}/lake", FIXED)
+    none = F.lit(None).cast("string")
+    kept = lake.read_curated(x.spark, f"{root}/lake", "obt_result").select("meet_id", none.alias("file"), F.lit(None).cast("bigint").alias("line_no"), "result_id", "club", none.alias("line"), none.alias("reason"))
+    aside = lake.quarantined(x.spark, f"{root}/lake").select("meet_id", "file", "line_no", none.alias("result_id"), none.alias("club"), F.substring("line", 1, 15).alias("line"), "reason")
+    return kept.union(aside)
+
+
+_QUARANTINE_SQL = """, torn AS (SELECT meet_id, race_id, ord, row_number() OVER (PARTITION BY meet_id ORDER BY race_id, ord) AS line_no FROM fx_swims),
+bad AS (SELECT meet_id, 'results' AS file, line_no, race_id FROM torn WHERE CAST(meet_id AS INT) % 4 = 1 AND race_id % 10 = 0 AND ord = 0
+    UNION ALL SELECT meet_id, 'races', line_no, race_id FROM (SELECT meet_id, race_id, row_number() OVER (PARTITION BY meet_id ORDER BY race_id) AS line_no FROM races) WHERE CAST(meet_id AS INT) % 4 = 1 AND race_id % 20 = 0)
+SELECT meet_id, NULL::VARCHAR AS file, NULL::BIGINT AS line_no, result_id, CASE WHEN meet_id IN (SELECT meet_id FROM bad) THEN club ELSE 'new' || substr(club, 5) END AS club, NULL::VARCHAR AS line, NULL::VARCHAR AS reason FROM obt
+UNION ALL SELECT meet_id, file, line_no, NULL, NULL, substr(CASE file WHEN 'races' THEN '{"race_id":' || race_id || ',"number":' ELSE '{"race_id":' || race_id || ',"Rank":' END || repeat('~', 20), 1, 15), 'not a record' FROM bad"""
+
+
+def _line_order(x: Swims) -> DataFrame:
+    """Results of raw files that are read in blocks of some kilobytes, with their line numbers and the ids that follow from their order."""
+    root, session = lake.scratch_path(x.spark, "blocks"), x.spark.newSession()
+    _write_raw(x, root)
+    session.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    session.conf.set("spark.sql.files.openCostInBytes", "0")
+    lines = raw.numbered(raw.raw_lines(session, root, "results"))
+    results = raw.parsed(lines, "results").select("meet_id", "pos", "line_no", "r.race_id", F.col("r.completed_centiseconds").alias("cs"))
+    return curate.assign_result_ids(results).select("meet_id", "line_no", "race_id", "result_id", "cs")
+
+
+def _scrapes_reversed(x: Swims) -> DataFrame:
+    """Two scrapes of all meets, of which the later one comes first: two triggers of the stream, and what the zone has then."""
+    root = lake.scratch_path(x.spark, "scrapes")
+    for scrape, value in (("2024-02", RENAMED), ("2024-01", "value")):
+        _write_raw(x, f"{root}/raw", value=value, scrape=scrape)
+        curate_stream.curate_stream(x.spark, f"{root}/raw", x.base, x.overrides, f"{root}/lake", f"{root}/offsets", FIXED).awaitTermination()
+    told = lake.read_curated(x.spark, f"{root}/lake", "obt_result").join(lake.scrapes(x.spark, f"{root}/lake"), "meet_id")
+    return told.select("meet_id", "result_id", "club", "points", "scrape")
+
+
+def _compacted(x: Swims) -> DataFrame:
+    """The zone compacted, then half of the meets curated anew with new clubs, one deleted, and old snapshots expired."""
+    root = lake.scratch_path(x.spark, "compact")
+    _write_raw(x, f"{root}/raw", scrape="1")
+    curate_stream.curate_all(x.spark, f"{root}/raw", x.base, x.overrides, f"{root}/lake", FIXED)
+    lake.compact(x.spark, f"{root}/lake")
+    _write_raw(x, f"{root}/raw", value=RENAMED, scrape="2")
+    again = [r.meet_id for r in x.meets.where("cast(meet_id as int) % 2 = 1").select("meet_id").collect()]
+    curate_stream.recurate(x.spark, f"{root}/raw", again, x.base, x.overrides, f"{root}/lake", FIXED)
+    lake.delete_meet(x.spark, f"{root}/lake", "199502")
+    lake.expire(x.spark, f"{root}/lake")
+    tables = {name: lake.read_curated(x.spark, f"{root}/lake", name) for name in CURATED}
+    return _digest(tables)
+
+
+def _counted(x: Swims) -> DataFrame:
+    """What a run says it has written."""
+    root = lake.scratch_path(x.spark, "counts")
+    _write_raw(x, f"{root}/raw")
+    did = curate_stream.curate_all(x.spark, f"{root}/raw", x.base, x.overrides, f"{root}/lake", FIXED)
+    return x.spark.createDataFrame(sorted(did.counts.items()), "tab string, n bigint")
+
+
+def _override_versions(x: Swims) -> DataFrame:
+    """The override table changed on disk: as given, after a change, and after another one, each made from what was read."""
+    root = lake.scratch_path(x.spark, "override-versions")
+    given, change = _override_rows(x)
+    for step in (given.withColumn("pos", F.lit(0)), change, given.where("race_id % 2 = 0").select("meet_id", "race_id", F.lit("open").alias("class"), F.lit(0).alias("pos"))):
+        raw.change_overrides(x.spark, root, step)
+    return raw.current_overrides(x.spark, root).select("meet_id", "race_id", "class")
+
+
+def _three_tables(x: Swims) -> DataFrame:
+    """Two loads: some races of every second season, then everything with other names; the results with their races and meets, and how far ids are from gapless."""
+    root = lake.scratch_path(x.spark, "load")
+    meets = x.raw_meets.select("meet_id", F.col("meet_name").alias("name"), "venue", "course", "season", F.lit(0).alias("pos"))
+    races = x.races.select("meet_id", "number", F.col("type").alias("status"), "distance", "stroke", "gender", "relay_count", F.col("race_id").alias("pos"), F.col("race_id").alias("source_race"))
+    results = x.results.select(F.col("race_id").alias("source_race"), "pos", F.col("name").alias("swimmer"), F.col("birth_year").alias("birth"), F.col("club").alias("team"), "rank", F.lit(None).cast("bigint").alias("points"), "completed_time")
+    even = meets.where("season % 2 = 0")
+    load.load_meets(x.spark, root, {"meet": even, "race": races.where("source_race % 3 <> 0").join(even.select("meet_id"), "meet_id", "left_semi"), "result": results})
+    load.load_meets(x.spark, root, {"meet": meets.withColumn("name", F.lit("second")), "race": races, "result": results.withColumn("team", F.concat(F.lit("late "), F.col("team")))})
+    meet, race, result = (load.read_loaded(x.spark, root, t) for t in ("meet", "race", "result"))
+    gap = lambda rows, c: F.lit(rows.agg(F.max(c) - F.countDistinct(c)).first()[0]).cast("bigint").alias(c.replace("_id", "_gaps"))
+    return result.join(race, "race_id").join(meet, "meet_id").select("meet_id", F.col("name").alias("meet_name"), "number", "status", "stroke", "swimmer", "birth", "team", "rank", "completed_time", gap(race, "race_id"), gap(result, "result_id"))
+
+
+_THREE_TABLES_SQL = """, r1 AS (SELECT meet_id, number, type, min(race_id) AS race_id FROM races WHERE race_id % 3 <> 0 AND meet_id IN (SELECT meet_id FROM fx_meet WHERE season % 2 = 0) GROUP BY ALL),
+r2 AS (SELECT meet_id, number, type, min(race_id) AS race_id FROM races WHERE (meet_id, number, type) NOT IN (SELECT (meet_id, number, type) FROM r1) GROUP BY ALL),
+chosen AS (SELECT *, false AS late FROM r1 UNION ALL SELECT *, true FROM r2),
+rows AS (SELECT c.meet_id, c.number, c.type AS status, s.stroke, s.name AS swimmer, s.birth_year AS birth, CASE WHEN c.late THEN 'late ' || s.club ELSE s.club END AS team, s.rank, s.ord, c.race_id, s.completed_centiseconds AS cs
+    FROM chosen c JOIN fx_swims s ON c.race_id = s.race_id),
+firsts AS (SELECT * FROM rows WHERE swimmer IS NULL OR birth IS NULL OR team IS NULL UNION ALL SELECT * FROM rows WHERE swimmer IS NOT NULL AND birth IS NOT NULL AND team IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY race_id, swimmer, birth, team ORDER BY ord) = 1)
+SELECT f.meet_id, CASE WHEN m.season % 2 = 0 THEN m.meet_name ELSE 'second' END AS meet_name, number, status, stroke, swimmer, birth, team, rank,
+    CASE WHEN cs IS NOT NULL THEN (cs // 6000) || ':' || lpad(CAST(cs % 6000 // 100 AS VARCHAR), 2, '0') || '.' || lpad(CAST(cs % 100 AS VARCHAR), 2, '0') END AS completed_time, 0::BIGINT AS race_gaps, 0::BIGINT AS result_gaps
+    FROM firsts f JOIN fx_meet m ON f.meet_id = m.meet_id"""
+
+
 def _digest(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows of all curated tables in one shape."""
     shape = {
@@ -501,6 +634,14 @@ _DEFINED = {
     "curate_stream": (_streamed, f"SELECT {OBT} FROM obt"),
     "curate_rescrape": (_rescraped, _digest_sql("CAST(meet_id AS INT) % 4 <> 1")),
     "raw_files": (_raw_read, "SELECT r.meet_id, r.race_id, r.race_name, s.result_id, s.rank, CASE WHEN s.completed_centiseconds IS NOT NULL THEN (s.completed_centiseconds // 6000) || ':' || lpad(CAST(s.completed_centiseconds % 6000 // 100 AS VARCHAR), 2, '0') || '.' || lpad(CAST(s.completed_centiseconds % 100 AS VARCHAR), 2, '0') END AS completed_time, CAST(n AS INT) AS n_splits, m.meet_date, array_to_string(m.category, ',') AS category FROM fx_swims s JOIN races r ON s.meet_id = r.meet_id AND s.race_id = r.race_id JOIN fx_meet m ON s.meet_id = m.meet_id LEFT JOIN (SELECT result_id, count(*) AS n FROM fx_splits GROUP BY result_id) l ON s.result_id = l.result_id"),
+    "raw_quarantine": (_quarantined, _QUARANTINE_SQL),
+    "raw_line_order": (_line_order, "SELECT meet_id, row_number() OVER (PARTITION BY meet_id ORDER BY race_id, ord) AS line_no, race_id, result_id, completed_centiseconds AS cs FROM fx_swims"),
+    "scrapes_reversed": (_scrapes_reversed, "SELECT meet_id, result_id, 'new' || substr(club, 5) AS club, points, '2024-02' AS scrape FROM obt"),
+    "zone_compact": (_compacted, _digest_sql("meet_id <> '199502'").replace("points, club FROM obt", "points, CASE WHEN CAST(meet_id AS INT) % 2 = 1 THEN 'new' || substr(club, 5) ELSE club END FROM obt").replace("FROM dim_meet", "FROM dim_meet WHERE meet_id <> '199502'").replace("FROM dim_race", "FROM dim_race WHERE meet_id <> '199502'").replace("WHERE meet_id <> '199502'\n    UNION ALL SELECT 'obt", "WHERE s.meet_id <> '199502'\n    UNION ALL SELECT 'obt")),
+    "curate_counts": (_counted, "SELECT 'dim_meet' AS tab, count(*) AS n FROM dim_meet UNION ALL SELECT 'dim_race', count(*) FROM dim_race UNION ALL SELECT 'fact_result', count(*) FROM obt UNION ALL SELECT 'obt_result', count(*) FROM obt UNION ALL SELECT 'fact_split', count(*) FROM fx_splits UNION ALL SELECT 'quarantine', 0"),
+    "override_versions": (_override_versions, "SELECT meet_id, race_id, CASE WHEN race_id % 5 = 0 OR (race_id % 2 = 0 AND race_id % 53 = 0) THEN 'open' ELSE class END AS class FROM fx_overrides WHERE race_id % 47 <> 1 UNION ALL SELECT meet_id, race_id, CASE WHEN race_id % 53 = 0 AND race_id % 2 = 0 THEN 'open' ELSE 'para' END FROM races WHERE race_id % 47 = 1"),
+    "three_table_load": (_three_tables, _THREE_TABLES_SQL),
+    "enriched_points": (lambda x: curate.enrich_points(x.obt.drop("points", "points_fixed"), x.base, FIXED), f"SELECT {OBT.replace('points, points_fixed', 'CASE WHEN coalesce(rank, 0) <> -1 THEN any_points END AS points, CASE WHEN coalesce(rank, 0) <> -1 THEN any_fixed END AS points_fixed')} FROM pts"),
     "base_time_file": (_base_file, "SELECT season, course, gender, relay_count, distance, stroke, (c // 6000) || ':' || lpad(CAST(c % 6000 // 100 AS VARCHAR), 2, '0') || '.' || lpad(CAST(c % 100 AS VARCHAR), 2, '0') AS basetime, basetime_in_sec, 'wa-doc' AS source FROM (SELECT *, CAST(round(basetime_in_sec * 100) AS BIGINT) AS c FROM fx_base_times)"),
     "legacy_base_times": (_legacy_file, "SELECT season, course, gender, relay_count, distance, stroke, (c // 6000) || ':' || lpad(CAST(c % 6000 // 100 AS VARCHAR), 2, '0') || '.' || lpad(CAST(c % 100 AS VARCHAR), 2, '0') AS basetime, c / 100.0::DOUBLE AS basetime_in_sec, 'legacy-csv' AS source, season % 3 = 0 AS differs FROM (SELECT *, CAST(round(basetime_in_sec * 100) AS BIGINT) AS c FROM fx_base_times) WHERE distance % 150 <> 0 AND distance % 400 <> 0"),
     "override_file": (_overrides_file, "SELECT meet_id, race_id, class, 'told' AS reason FROM fx_overrides"),
@@ -520,6 +661,7 @@ _DEFINED = {
     "participants_per_group": (lambda x: agegroups.participants_per_group(x.legacy), "SELECT season, age_group, count(DISTINCT swimmer_id) AS participants FROM grp WHERE swimmer_id IS NOT NULL GROUP BY ALL"),
     "unscored_audit": (lambda x: agegroups.unscored_audit(x.legacy), "SELECT meet_id, race_id, count(*) AS unscored FROM obt WHERE coalesce(points, 0) = 0 AND rank >= 1 GROUP BY ALL"),
     "youngest_cohort": (lambda x: agegroups.youngest_cohort(x.legacy), "SELECT season, gender, birth_year, result_id, swimmer_id, points FROM (SELECT *, max(birth_year) OVER (PARTITION BY season, gender) AS m FROM obt) WHERE birth_year = m"),
+    "oldest_cohort": (lambda x: agegroups.oldest_cohort(x.legacy), "SELECT season, gender, birth_year, result_id, swimmer_id, points FROM (SELECT *, min(birth_year) OVER (PARTITION BY season, gender) AS m FROM obt) WHERE birth_year = m"),
     "gender_counts": (lambda x: agegroups.gender_counts(x.legacy), "SELECT gender, count(*) AS n, max(points) AS best_points, count(DISTINCT swimmer_id) AS swimmers FROM obt GROUP BY gender"),
     "semi_count": (lambda x: agegroups.results_in_races(x.legacy, x.dim_race.where("class = 'para'")), "SELECT count(*) AS n FROM obt WHERE race_id IN (SELECT race_id FROM dim_race WHERE class = 'para')"),
     "keep_last": (lambda x: agegroups.keep_last(x.legacy).select("race_id", "name", "birth_year", "club", "ord", "result_id"), "SELECT race_id, name, birth_year, club, ord, result_id FROM (SELECT *, CAST(split_part(result_id, '-', 2) AS BIGINT) AS ord, row_number() OVER (PARTITION BY race_id, name, birth_year, club ORDER BY CAST(split_part(result_id, '-', 2) AS BIGINT) DESC) AS n FROM obt) WHERE n = 1"),
@@ -540,6 +682,7 @@ _ALONE = {
     "danish_date": (lambda x: _dates(x).withColumn("day", fields.danish_date(F.col("text"))).select("o_orderkey", "text", "day", fields.season_of(F.col("day")).alias("season"), fields.season_of(F.col("day"), 8).alias("legacy_season")), _DATES_SQL),
     "parse_event": (lambda x: fields.standardize_races(_events(x)), _EVENTS_SQL),
     "result_fields": (_result_fields, _CELLS_SQL),
+    "split_fields": (_laps, _LAPS_SQL),
     "race_type": (_race_types, _RACE_TYPES_SQL),
     "legacy_fields": (_legacy_cells, _LEGACY_CELLS_SQL),
 }
