@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -82,13 +84,19 @@ def write_curated(tables: dict[str, DataFrame], root: str, scraped: DataFrame |
     base = versions.current(spark, _manifests(root))
     snap, counts = f"{base + 1:010d}-{uuid.uuid4().hex[:8]}", {}
     there = lambda name: spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}/snap={snap}").select("meet_id").distinct()
-    for name, rows in tables.items():
+
+    def write(name: str) -> None:
         seen = Observation()
-        rows = rows.select(*(F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields))
+        rows = tables[name].select(*(F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields))
         parts = [p for p in PARTS if p in rows.columns]
         rows = rows.hint("rebalance", *parts).sortWithinPartitions(*parts, "meet_id").observe(seen, F.count(F.lit(1)).alias("n"))
         rows.write.partitionBy(*parts).option("compression", "snappy").parquet(f"{root}/{name}/snap={snap}")
         counts[name] = seen.get["n"]
+
+    # Tables don't wait for each other: small ones are written in the tasks that large ones leave free.
+    with ThreadPoolExecutor(len(tables)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(write), name) for name in tables]:
+            done.result()
     replaced = []
     for name in tables:
         own = there("dim_meet" if "dim_meet" in tables else name)
