@@ -403,12 +403,17 @@ def _write_raw(x: Swims, root: str, left_out: str = "false", value: str = "value
     lines = _json_lines(x, left_out).withColumn("value", F.expr(value)).repartition("meet", "kind").sortWithinPartitions("meet", "kind", "a", "b")
     lines.select("meet", "kind", "value").write.partitionBy("meet", "kind").text(beside)
     fs, parts = lake.place(x.spark, f"{beside}/meet=*/kind=*/part-*")
-    for status in fs.globStatus(parts):
+    found = list(fs.globStatus(parts))
+    for status in found:
         meet, kind, _ = status.getPath().toString().split("/")[-3:]
         folder = f"{meet}/scrape={scrape}" if scrape else meet
         _, to = lake.place(x.spark, f"{root}/{folder}/{kind.split('=')[1]}.jsonl")
         fs.mkdirs(to.getParent())
         fs.rename(status.getPath(), to)
+    for meet in {status.getPath().getParent().getParent().getName() for status in found}:  # a scrape without results has an empty file
+        _, results = lake.place(x.spark, f"{root}/{meet}/scrape={scrape}/results.jsonl" if scrape else f"{root}/{meet}/results.jsonl")
+        if not fs.exists(results):
+            fs.create(results).close()
 
 
 def _streamed(x: Swims) -> DataFrame:
