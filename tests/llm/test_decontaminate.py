@@ -84,6 +84,12 @@ def test_edges(spark):
     assert dc.find_leaks(docs.where(F.lit(False)), spark.createDataFrame([(1, "a b c")], "item_id long, text string")).count() == 0
 
 
+def test_dots_in_names(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g", 5), (2, "other words are here", 6)], "doc_id long, text string, `x.y` int")
+    items = spark.createDataFrame([(1, "a b c d e f g", 0)], "item_id long, text string, `x.y` int")
+    assert [tuple(r) for r in dc.drop_leaks(docs, items).collect()] == [(2, "other words are here", 6)]
+
+
 def edited(item, how, rate, r):
     """A copy of an item: every third word changed, or words changed, put in or left out at a rate."""
     if how == "third":

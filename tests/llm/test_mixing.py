@@ -92,6 +92,14 @@ def test_columns_of_these_names_are_replaced(spark):
     assert "given" not in {r.mix_domain for r in got.collect()}
 
 
+def test_dots_in_names_and_a_very_long_text(spark):
+    rows = [*corpus(40, 3), (900, "word " * 300_000, "en", "src0")]
+    docs = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "doc_id long, text string, lang string, source string, `a.b` int")
+    got = mixing.standard_mix(docs, 0.9, 1)
+    assert "a.b" in got.columns and {r.doc_id: r["a.b"] for r in got.collect()}.items() <= {r[0]: n for n, r in enumerate(rows)}.items()
+    assert sorted(map(tuple, got.select("doc_id", "mix_domain", "mix_epoch", "mix_tokens", "mix_taken").collect())) == slow(rows, 0.9, 1)
+
+
 def test_oracle_agrees_on_null_ids(spark):
     rows = [(None, f"{'w ' * (k + 1)}", "en", "src0") for k in range(30)] + [(7, "one two", "en", "src0")]
     db = duckdb.connect()
