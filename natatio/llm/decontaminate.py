@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,12 @@ THRESHOLD = 0.5
 MATCH, UNLIKE, GAP = 2, -1, -1
 #: Seeds up to this number are sent to every task (16 bytes each); beyond it, all n-grams are joined by shuffle.
 SENT = 1 << 20
+#: Items with up to so many seeds and words in all are sent to every task, which then judges its hits where it finds them; those of larger benchmarks are judged after a shuffle.
+WHOLE = 1 << 20
+#: Hits, once for each item, that are sorted at once, and bits of a seed's hash that a first look goes by.
+SORTED, LOOK = 1 << 22, 22
+#: Stretches of texts that are aligned together.
+ALIGNED = 4096
 #: Words that a task counts at once, and cells of alignment tables computed at once.
 HELD, CELLS = 1 << 20, 1 << 20
 
@@ -55,6 +63,63 @@ def _runs(places: np.ndarray, seeds: np.ndarray, size: int) -> list[tuple[int, i
     return [(int(p[0]), int(p[-1])) for p, s in zip(np.split(places, cuts), np.split(seeds, cuts)) if len(np.unique(s)) >= (NEEDED if size >= FEW else 1)]
 
 
+class _Items:
+    """Seeds and words of all items of a benchmark: ``seeds(seed, number)``, sorted by the seed, and items as numbers of words, by their number."""
+
+    def __init__(self, known: dict[bytes, int], seeds: pd.DataFrame, items: list[np.ndarray]):
+        self.known, self.items, self.sizes = known, items, np.array([len(x) for x in items], np.int64)
+        self.hashes = np.array(list(map(xxhash.xxh64_intdigest, known)), np.uint64)
+        self.seeds, first = np.unique(seeds["seed"].to_numpy(np.int64), return_index=True)
+        self.first, self.owners = np.append(first, len(seeds)), seeds["number"].to_numpy(np.int64)
+        self.pairs = sorted({bool(n > 1) for n in self.sizes})
+        self.look = np.zeros(1 << LOOK, bool)
+        self.look[self.seeds.view(np.uint64) >> np.uint64(64 - LOOK)] = True
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The number of each word, -1 for those that no item has."""
+        return np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+
+    def hits(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and numbers of the seeds in a sequence of words."""
+        places, found = [], []
+        for gap in [g for pairs in self.pairs for g in (range(1, REACH + 1) if pairs else [0])]:
+            one, two = words[: len(words) - gap], words[gap:]
+            at = np.flatnonzero((one >= 0) & (two >= 0))
+            seed = _mixed(self.hashes[one[at]], self.hashes[two[at]] if gap else np.zeros(len(at), np.uint64))
+            some = np.flatnonzero(self.look[seed.view(np.uint64) >> np.uint64(64 - LOOK)])
+            number = np.minimum(np.searchsorted(self.seeds, seed[some]), len(self.seeds) - 1)
+            same = self.seeds[number] == seed[some]
+            places.append(at[some[same]])
+            found.append(number[same])
+        return np.concatenate(places), np.concatenate(found)
+
+    def runs(self, texts: np.ndarray, places: np.ndarray, found: np.ndarray) -> Iterator[np.ndarray]:
+        """Rows of text, item, first and last place: the stretches of ``_runs``, of many texts and all items at once."""
+        parts = int((self.first[found + 1] - self.first[found]).sum()) // SORTED + 1
+        for part in range(parts):
+            kept = self.owners % parts == part
+            owners, first = self.owners[kept], np.append(0, np.cumsum(kept))[self.first]
+            many = first[found + 1] - first[found]
+            hit = np.repeat(np.arange(len(found)), many)
+            if not len(hit):
+                continue
+            item = owners[np.repeat(first[found], many) + np.arange(len(hit)) - np.repeat(np.cumsum(many) - many, many)]
+            text, place, seed = texts[hit], places[hit], found[hit]
+            order = np.lexsort((place, item, text))
+            text, item, place, seed = text[order], item[order], place[order], seed[order]
+            size = self.sizes[item]
+            new = np.ones(len(text), bool)
+            new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (np.diff(place) > (size + size // 2 + 1)[1:])
+            run = np.cumsum(new) - 1
+            order = np.lexsort((seed, run))
+            unlike = np.ones(len(text), bool)
+            unlike[1:] = (run[order][1:] != run[order][:-1]) | (seed[order][1:] != seed[order][:-1])
+            begin = np.flatnonzero(new)
+            last = np.append(begin[1:], len(text)) - 1
+            enough = np.bincount(run[order][unlike], minlength=len(begin)) >= np.where(size[begin] >= FEW, NEEDED, 1)
+            yield np.stack([text[begin], item[begin], place[begin], place[last]], 1)[enough]
+
+
 def _hashes(words: list[bytes]) -> bytes:
     return np.array(list(map(xxhash.xxh64_intdigest, words)), np.uint64).tobytes()
 
@@ -114,7 +179,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     row for each document and item. Items of one word match by it, those of fewer than ``FEW`` words by a pair.
 
     An edited copy at the threshold is missed if hardly any two rare words near each other are left in it; the tests measure a recall of over 0.9 at
-    all rates of edits that keep the score at 0.5. Seeds are sent to every task up to ``SENT``; beyond that, all pairs are joined with them by a shuffle, with the same
+    all rates of edits that keep the score at 0.5. A benchmark of up to ``WHOLE`` seeds and words is sent to every task, which aligns its documents as it finds seeds in them. Of larger ones, seeds
+    alone are sent up to ``SENT`` and documents are aligned after a shuffle; beyond that, all pairs are joined with the seeds by a shuffle; with the same
     result. There is no cap on candidates. Null and empty texts match nothing, texts of any length are searched whole. Repeated rows are found
     each; ``text_key`` tells rows of one id apart. Null ids are kept. Other columns are ignored. Empty tables give an empty result.
     """
@@ -136,19 +202,25 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     grams = settled(items.mapInPandas(of_items, f"item_id {item_kind}, item long, size int, seed long, gram array<binary>, words binary"))
     wanted = grams.select(F.explode("gram").alias("word")).distinct()
     few = wanted.limit(SENT + 1).count() <= SENT
-    known = spark.sparkContext.broadcast({bytes(r["word"]) for r in wanted.toLocalIterator()} if few else None)
+    known = spark.sparkContext.broadcast({bytes(r["word"]): n for n, r in enumerate(wanted.toLocalIterator())} if few else None)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts, total = Counter(), 0
         table = lambda: pd.DataFrame([*counts.items(), (None, total)], columns=["word", "n"])
+        place = None if known.value is None else known.value.get
+        sums = np.zeros(0 if known.value is None else len(known.value) + 1, np.int64)  # the last of all other words
         for batch in batches:
             for data in batch["text"]:
                 for words in word_blocks(data.lower()):
                     total += len(words)
-                    counts.update(filter(known.value.__contains__, words) if known.value is not None else words)
+                    if place:
+                        np.add.at(sums, np.fromiter(map(place, words, repeat(-1)), np.int64, len(words)), 1)
+                    else:
+                        counts.update(words)
             if len(counts) > HELD:
                 yield table()
                 counts, total = Counter(), 0
+        counts.update({w: n for w, n in zip(known.value or (), sums.tolist()) if n})
         yield table()
 
     counts = settled(rows.select("text").mapInPandas(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
@@ -159,9 +231,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     likely = single.groupBy("item", "item_id", "size", "seed").agg(F.sum(F.coalesce("share", F.lit(-30.0))).alias("chance"))
     rank = F.row_number().over(Window.partitionBy("item", "item_id").orderBy("chance", "seed"))
     seeds = settled(likely.withColumn("rank", rank).where((F.col("chance") <= float(np.log10(RARE))) | (F.col("rank") <= KEPT)).select("item", "item_id", "size", "seed"))
+    number = seeds.select("seed").distinct().limit(SENT + 1).count()
+    small = few and seeds.limit(WHOLE + 1).count() <= WHOLE and (grams.select("item_id", "item", "size").distinct().agg(F.sum("size")).first()[0] or 0) <= WHOLE
+    if small and number <= SENT:
+        return _judged(rows, grams, seeds, known, threshold)
     kinds = [r["pairs"] for r in grams.select((F.col("size") > 1).alias("pairs")).distinct().collect()]
-    distinct = seeds.select("seed").distinct()
-    number = distinct.limit(SENT + 1).count()
     # With its item's number if no other has the seed and one seed isn't enough for it, else -1.
     own = seeds.groupBy("seed").agg(F.count("*").alias("n"), F.min("item").alias("item"), F.min("size").alias("size"))
     listed = own.select("seed", F.expr(f"if(n = 1 and size >= {FEW}, item, -1)").alias("item")).toPandas().sort_values("seed") if number <= SENT else None
@@ -230,6 +304,62 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     return joined.mapInPandas(score, f"doc_id {doc_kind}, text_key long, item_id {item_kind}, score double, first_word long, end_word long")
 
 
+def _judged(rows: DataFrame, grams: DataFrame, seeds: DataFrame, known: Broadcast, threshold: float) -> DataFrame:
+    """``find_leaks`` for a benchmark that each task has whole: seeds are looked up and their stretches aligned in one pass over the documents."""
+    # Items of the same words are one, of several ids.
+    listed = grams.groupBy("item").agg(F.min("words").alias("words")).collect()
+    number = {r["item"]: n for n, r in enumerate(listed)}
+    word = {xxhash.xxh64_intdigest(w): n for w, n in known.value.items()}
+    items = [np.array([word[h] for h in np.frombuffer(r["words"], np.uint64).tolist()], np.int64) for r in listed]
+    item_ids: list[list] = [[] for _ in listed]
+    for r in grams.select("item", "item_id").distinct().collect():
+        item_ids[number[r["item"]]].append(r["item_id"])
+    owned = pd.DataFrame([(r["seed"], number[r["item"]]) for r in seeds.select("seed", "item").distinct().toLocalIterator()], columns=["seed", "number"], dtype=np.int64)
+    sent = rows.sparkSession.sparkContext.broadcast((owned.sort_values(["seed", "number"], ignore_index=True), items, item_ids))
+    kinds = rows.schema["doc_id"].dataType.simpleString(), grams.schema["item_id"].dataType.simpleString()
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        owned, item_words, item_ids = sent.value
+        if not len(owned):
+            return
+        bench = _Items(known.value, owned, item_words)
+
+        def found(ids: list, keys: list, texts: list[np.ndarray]) -> pd.DataFrame:
+            # Texts lie one after the other, REACH places apart, so that no seed is of two.
+            apart = np.full(REACH, -1, np.int64)
+            starts = np.cumsum([0, *(len(x) + REACH for x in texts)])
+            places, seeds = bench.hits(np.concatenate([y for x in texts for y in (x, apart)]))
+            of = np.searchsorted(starts, places, side="right") - 1
+            best: dict[tuple[int, int], tuple] = {}
+            for runs in bench.runs(of, places - starts[of], seeds):
+                for at in range(0, len(runs), ALIGNED):
+                    some = runs[at : at + ALIGNED].tolist()
+                    items = [item_words[m] for _, m, _, _ in some]
+                    reach = [len(item) + len(item) // 2 + 1 for item in items]
+                    lows = [max(0, first - r) for (_, _, first, _), r in zip(some, reach)]
+                    scores = align(items, [texts[n][low : last + REACH + 1 + r] for (n, _, _, last), low, r in zip(some, lows, reach)])
+                    for (n, m, _, _), item, low, (value, first, end) in zip(some, items, lows, scores.tolist()):
+                        share = value / (MATCH * len(item))
+                        if share >= threshold and share > best.get((n, m), (0,))[0]:
+                            best[n, m] = (share, low + first, low + end)
+            made = [(ids[n], keys[n], item_id, *value) for (n, m), value in best.items() for item_id in item_ids[m]]
+            return pd.DataFrame(made, columns=["doc_id", "text_key", "item_id", "score", "first_word", "end_word"])
+
+        for batch in batches:
+            ids, keys, texts, held = [], [], [], 0
+            for n, (doc_id, key, data) in enumerate(zip(batch["doc_id"], batch["text_key"], batch["text"]), 1):
+                ids.append(doc_id)
+                keys.append(key)
+                texts.append(bench.numbers(_words(data)))
+                held += len(texts[-1])
+                if held >= HELD or n == len(batch):
+                    if len(out := found(ids, keys, texts)):
+                        yield out
+                    ids, keys, texts, held = [], [], [], 0
+
+    return rows.mapInPandas(judge, f"doc_id {kinds[0]}, text_key long, item_id {kinds[1]}, score double, first_word long, end_word long")
+
+
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows whose text holds no copy of a benchmark item; same columns."""
     text = options.get("text_col", "text")

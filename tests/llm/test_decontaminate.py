@@ -125,3 +125,29 @@ def test_recall_on_edited_copies(spark):
     recall = {k: len(found & v) / len(v) for k, v in want.items()}
     print(recall, {k: len(v) for k, v in want.items()})
     assert len(recall) >= 6 and all(v >= 0.9 for v in recall.values())
+
+
+@pytest.mark.parametrize("whole, at_once", [(0, 1 << 22), (1 << 20, 1 << 22), (1 << 20, 8)])
+def test_large_and_small_benchmarks_judge_alike(spark, monkeypatch, whole, at_once):
+    """Items of one word, of the same words under two ids and without an id, repeated rows: as all pairs, judged in one pass or after a shuffle."""
+    monkeypatch.setattr(dc, "WHOLE", whole)
+    monkeypatch.setattr(dc, "SORTED", at_once)
+    r = random.Random(3)
+    vocabulary = ["".join(r.choices("abcdefgh", k=r.randint(2, 5))) for _ in range(300)]
+    items = [[r.choice(vocabulary) for _ in range(20)] for _ in range(4)]
+    rows = [(i, " ".join([*(r.choice(vocabulary) for _ in range(r.randint(0, 60))), *items[i % 4][i % 9 :], "tail"])) for i in range(40)]
+    rows += [(40, "a lone marker here"), (41, " ".join(items[0] + items[1] * 3)), (41, " ".join(items[0] + items[1] * 3)), (42, "marker")]
+    bench = [(k, " ".join(v)) for k, v in enumerate(items)] + [(7, " ".join(items[1])), (None, " ".join(items[2])), (8, "marker"), (1, " ".join(items[1]))]
+    found = dc.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    got = sorted(((x.doc_id, x.item_id, round(x.score, 9)) for x in found), key=str)
+    want = [(i, k, round(share, 9)) for i, t in rows for k, b in dict.fromkeys(bench) if (share := score(words(b), words(t)) / (dc.MATCH * len(words(b)))) >= dc.THRESHOLD]
+    assert got == sorted(want, key=str)
+    texts = dict(rows)
+    assert all(x.score == slow_align(words(dict(bench)[x.item_id]), words(texts[x.doc_id])[x.first_word : x.end_word]) / (dc.MATCH * len(words(dict(bench)[x.item_id]))) for x in found)
+
+
+def test_a_small_benchmark_moves_no_texts(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
+    plan = dc.find_leaks(docs, items)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
