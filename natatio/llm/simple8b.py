@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +23,7 @@ BLOCK = 4096
 REMEMBER, AT_ONCE = 700_000, 1 << 21
 
 _COUNT_OF = np.array([*COUNTS, 0, 1], np.int64)
+_STEPS = bytes([*COUNTS, 0, 1]).ljust(256, b"\0")
 _WIDTH_OF = np.array([*WIDTHS, 0, 0], np.uint64)
 
 
@@ -66,7 +69,7 @@ def encode(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, l
             have += step
         fits &= left >= count
         np.copyto(chosen, selector, where=fits)
-    counts, place, at = _COUNT_OF[chosen].tolist(), [], 0
+    counts, place, at = chosen.tobytes().translate(_STEPS), [], 0
     while at < len(counts):
         place.append(at)
         at += counts[at]
@@ -116,33 +119,41 @@ def decode_block(words: np.ndarray, offsets: np.ndarray, block: int) -> np.ndarr
     return decode(words[offsets[block] : offsets[block + 1] if block + 1 < len(offsets) else len(words)])
 
 
-#: Classes of Latin-1 characters: 0 for what is left as it is, then letters, digits, signs. Small letters of capitals.
-_CLASS = np.array([1 if c.isalpha() else 2 if c in "0123456789" else 3 if "!" <= c <= "~" else 0 for c in map(chr, range(256))], np.uint8)
-_SMALL = np.array([ord(c.lower()) for c in map(chr, range(256))], np.uint8)
-_LETTERS = bytes(np.flatnonzero(_CLASS == 1).tolist())
+#: Classes of Latin-1 characters: 0 for what is left as it is, then letters, digits, signs, the apostrophe. Small letters of capitals.
+_CLASS = bytes(1 if c.isalpha() else 2 if c in "0123456789" else 4 if c == "'" else 3 if "!" <= c <= "~" else 0 for c in map(chr, range(256)))
+_SMALL = bytes(ord(c.lower()) for c in map(chr, range(256)))
+_LETTERS = bytes(c for c in range(256) if _CLASS[c] == 1)
+#: Whether the tokenizer cuts between characters of two classes, by eight times the first one's and the second one's.
+_CUT = bytearray(256)
+for _a, _b in [(1, 2), (1, 3), (1, 4), (2, 1), (2, 2), (2, 3), (2, 4), (3, 1), (3, 2), (4, 2)]:
+    _CUT[8 * _a + _b] = 1
 
 
-def _pieces(data: bytes) -> tuple[list[bytes], bool]:
-    """The words of a UTF-8 text, cut where the tokenizer cuts them, and whether they are in Latin-1.
-
-    The tokenizer composes, lower-cases, and parts letters, single digits and runs of signs. In Latin-1 nothing is composed, so a
-    text of these characters is lower-cased and cut between them here: fewer different words, most of letters
-    alone. A sign isn't cut from the letters after it if it is an apostrophe, as the tokenizer has pieces such as ``'s``. Other texts, and those that may
-    have the name of a special token, are parted by white space only.
-    """
+def _latin(data: bytes) -> bytes | None:
+    """A UTF-8 text in Latin-1, if its characters are all of that and it can't have the name of a special token."""
     if b"<|" in data:
-        return data.split(), False
+        return None
     try:
-        x = np.frombuffer(data if data.isascii() else data.decode().encode("latin-1"), np.uint8)
+        return data if data.isascii() else data.decode().encode("latin-1")
     except UnicodeEncodeError:
-        return data.split(), False
-    kind = _CLASS[x]
-    left, right = kind[:-1], kind[1:]
-    cut = (left != right) & (left > 0) & (right > 0) & ((x[:-1] != 39) | (right != 1))
-    cut |= (left == 2) & (right == 2)
-    cuts = np.flatnonzero(cut) + 1
-    x = _SMALL[x]
-    return (np.insert(x, cuts, 32) if len(cuts) else x).tobytes().split(), True
+        return None
+
+
+def _pieces(texts: list[bytes]) -> list[list[bytes]]:
+    """The words of Latin-1 texts, cut where the tokenizer cuts them.
+
+    The tokenizer composes, lower-cases, and parts letters, single digits and runs of signs. In Latin-1 nothing is composed, so texts
+    of these characters are lower-cased and cut between them here, all at once: fewer different words, most of letters
+    alone. A sign isn't cut from the letters after it if it is an apostrophe, as the tokenizer has pieces such as ``'s``.
+    """
+    whole = b"\n".join(texts)
+    kind = np.frombuffer(whole.translate(_CLASS), np.uint8)
+    pairs = (kind[:-1] << np.uint8(3)) | kind[1:]
+    cuts = np.flatnonzero(np.frombuffer(pairs.tobytes().translate(bytes(_CUT)), bool)) + 1
+    ends = np.cumsum([len(x) + 1 for x in texts])
+    ends = (ends + np.searchsorted(cuts, ends)).tolist()
+    whole = np.insert(np.frombuffer(whole.translate(_SMALL), np.uint8), cuts, 32).tobytes()
+    return [whole[a:b].split() for a, b in zip([0, *ends], ends)]
 
 
 def _byte_names() -> dict[int, str]:
@@ -152,6 +163,27 @@ def _byte_names() -> dict[int, str]:
     return {c: "".join(names[b] for b in chr(c).encode()) for c in range(256) if c != 10}
 
 
+class _Latin(dict):
+    """Ids of Latin-1 words, which are learned as they are asked for."""
+
+    def __init__(self, tokenizer, older: dict[bytes, bytes]):
+        super().__init__()
+        self.tokenizer, self.model, self.names, self.older = tokenizer, tokenizer.model, _byte_names(), older
+
+    def __missing__(self, word: bytes) -> bytes:
+        if (ids := self.older.get(word)) is None:
+            text = word.decode("latin-1")
+            if word.translate(None, _LETTERS):
+                ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
+            else:
+                ids = array("I", [token.id for token in self.model.tokenize(text if text.isascii() else text.translate(self.names))])
+            if sys.byteorder == "big":
+                ids.byteswap()
+            ids = ids.tobytes()
+        self[word] = ids
+        return ids
+
+
 class WordIds:
     """Ids of whole texts by the ids of their words.
 
@@ -165,38 +197,35 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.names = Tokenizer.from_str(definition), _byte_names()
-        self.model = self.tokenizer.model
-        #: By whether words are in Latin-1: those of late, and those before.
-        self.known: dict[bool, dict[bytes, bytes]] = {True: {}, False: {}}
-        self.older: dict[bool, dict[bytes, bytes]] = {True: {}, False: {}}
+        self.tokenizer = Tokenizer.from_str(definition)
+        #: Words of late, and those before them; words of Latin-1 texts by themselves.
+        self.latin = _Latin(self.tokenizer, {})
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def __call__(self, texts: list[bytes], end: bytes) -> list[bytes]:
         """Little-endian 32-bit ids of UTF-8 texts, and the end after each."""
-        parted = [_pieces(data) for data in texts]
-        for latin in (True, False):
-            self._learn(set().union(*(words for words, kind in parted if kind == latin)), latin)
-        return [b"".join([*map(self.known[latin].__getitem__, words), end]) for words, latin in parted]
-
-    def _learn(self, words: set[bytes], latin: bool) -> None:
-        if len(self.known[latin]) > REMEMBER:
-            self.older[latin], self.known[latin] = self.known[latin], {}
-        known, older = self.known[latin], self.older[latin]
+        if len(self.latin) > REMEMBER:
+            self.latin.older = {}
+            self.latin = _Latin(self.tokenizer, self.latin)
+        latin = [_latin(data) for data in texts]
+        parted = iter(_pieces([data for data in latin if data is not None]))
+        others = [data.split() for data, own in zip(texts, latin) if own is None]
+        self._learn(set().union(*others))
+        rest = iter(others)
+        return [b"".join([*(map(self.known.__getitem__, next(rest)) if own is None else map(self.latin.__getitem__, next(parted))), end]) for own in latin]
+
+    def _learn(self, words: set[bytes]) -> None:
+        if len(self.known) > REMEMBER:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
         fresh = words.difference(known)
         again = fresh.intersection(older)
         known.update(zip(again, map(older.__getitem__, again)))
-        fresh -= again
-        letters = [w for w in fresh if not w.translate(None, _LETTERS)] if latin else []
-        for at in range(0, len(letters), 4096):
-            part = letters[at : at + 4096]
-            found = list(map(self.model.tokenize, b"\n".join(part).decode("latin-1").translate(self.names).split("\n")))
-            data = np.array([token.id for tokens in found for token in tokens], "<u4").tobytes()
-            ends = np.cumsum([4 * len(tokens) for tokens in found]).tolist()
-            known.update(zip(part, map(data.__getitem__, map(slice, [0, *ends], ends))))
-        rest = list(fresh.difference(letters))
+        rest = list(fresh - again)
         for at in range(0, len(rest), 4096):
             part = rest[at : at + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode("latin-1" if latin else "utf-8") for w in part], add_special_tokens=False)
+            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
             known.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(part, found))
 
 
@@ -252,12 +281,12 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer_file: str, end_id: int
 def read_token_ids(spark: SparkSession, path: str) -> DataFrame:
     """The rows of a token-id folder, with ``start`` counted from the first document of all.
 
-    The totals of the shards, a row for each, are summed in shard order and joined back.
+    The totals of the shards, a row for each, are summed in shard order and sent to every task, so that the ids aren't shuffled.
     """
     rows = spark.read.parquet(path)
     totals = rows.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     before = totals.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before"))
-    return rows.join(before, "shard").withColumn("start", F.col("start") + F.col("before")).drop("before")
+    return rows.join(F.broadcast(before), "shard").withColumn("start", F.col("start") + F.col("before")).drop("before")
 
 
 def token_digests(coded: DataFrame) -> DataFrame:

@@ -64,3 +64,38 @@ def test_files_read_back(spark, rows):
         want.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert sorted(map(tuple, got), key=lambda r: r[1]) == want
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.text(st.one_of(st.characters(exclude_categories=["Cs"], max_codepoint=255), st.sampled_from(" '1.,asB€")), max_size=20), max_size=6), max_size=4))
+def test_texts_coded_together_keep_their_ids(batches):
+    """Texts side by side, in Latin-1 or not, also while words of late are forgotten: the ids of each text alone."""
+    forgetful = simple8b.WordIds(whole.to_str())
+    remember, simple8b.REMEMBER = simple8b.REMEMBER, 3
+    try:
+        for texts in batches:
+            got = [np.frombuffer(x, "<u4").tolist() for x in forgetful([t.encode() for t in texts], b"\1\0\0\0")]
+            assert got == [[*whole.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    finally:
+        simple8b.REMEMBER = remember
+
+
+def test_texts_are_cut_together(monkeypatch):
+    """Cuts are sought once for all texts of a batch, not once for each."""
+    calls, seek = [], np.flatnonzero
+    monkeypatch.setattr(simple8b.np, "flatnonzero", lambda x: calls.append(1) or seek(x))
+    words_to_ids([b"It's 12 o'clock, isn't it?"] * 500, b"")
+    assert len(calls) <= 2
+
+
+def test_ids_are_read_without_a_shuffle(spark):
+    """However large the files are, only totals of shards are moved."""
+    path = shared_path(spark, "test-ids")
+    simple8b.write_token_ids(spark.createDataFrame([(1, "one"), (2, "two")], "doc_id long, text string"), path, FILE)
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = simple8b.read_token_ids(spark, path)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
