@@ -26,11 +26,13 @@ def age_group_rank(rows: DataFrame) -> DataFrame:
     """
     counts = F.coalesce((F.col("relay_count") == 1) & (F.col("rank") >= 1) & (F.col("age_group") != "-"), F.lit(False))
     group, order = ["meet_id", "number", "age_group"], [F.desc_nulls_last("points"), F.col("result_id")]
-    rows = assign_age_group(rows).withColumn("_counts", counts)
-    own = F.row_number().over(Window.partitionBy(*group, "name", "_counts").orderBy(*order))
-    rows = rows.withColumn("_counts", F.col("_counts") & (own == 1))
-    place = F.row_number().over(Window.partitionBy(*group, "_counts").orderBy(*order)).cast("bigint")
-    return rows.withColumn("age_rank", F.when(F.col("_counts"), place).otherwise(F.lit(0))).drop("_counts")
+    rows = assign_age_group(rows)
+    # Only rows that count are shuffled, and once: by the group, in which both windows are sorted.
+    own = F.row_number().over(Window.partitionBy(*group, "name").orderBy(*order)) == 1
+    ranked = rows.where(counts).repartition(*group).withColumn("_own", own)
+    place = F.row_number().over(Window.partitionBy(*group, "_own").orderBy(*order)).cast("bigint")
+    ranked = ranked.withColumn("age_rank", F.when(F.col("_own"), place).otherwise(F.lit(0))).drop("_own")
+    return ranked.unionByName(rows.where(~counts).withColumn("age_rank", F.lit(0).cast("bigint")))
 
 
 def append_category(meets: DataFrame, additions: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from natatio.functions import fields
 from natatio.operators import agegroups, audit, curate, views
 from natatio.plans import fixture, registry
 from natatio.schemas import CURATED
-from natatio.sources import lake, load, raw
+from natatio.sources import lake, load, raw, versions
 from natatio.streaming import curate_stream
 
 #: The fixed reference season of the derived data.
@@ -28,6 +28,16 @@ def _text_time(c: Column) -> Column:
     return F.concat(F.expr(f"{c} div 6000"), F.lit(":"), F.lpad(F.expr(f"{c} % 6000 div 100"), 2, "0"), F.lit("."), F.lpad(F.expr(f"{c} % 100"), 2, "0"))
 
 
+def _results(swims: DataFrame, *more: Column) -> DataFrame:
+    """Raw results of derived swims."""
+    return swims.select("meet_id", "race_id", F.col("ord").alias("pos"), "rank", "name", "swimmer_id", F.lit("DEN").alias("nationality"), "club", "birth_year", _text_time("completed_centiseconds").alias("completed_time"), "completed_centiseconds", *more)
+
+
+def _nested_laps() -> Column:
+    empty = F.lit(None).cast("string")
+    return F.transform(F.expr(fixture.LAPS), lambda x: F.struct(x.distance.alias("distance"), empty.alias("split_time"), x.split_centiseconds.alias("split_centiseconds"), empty.alias("cumulative_time"), x.cumulative_centiseconds.alias("cumulative_centiseconds"))).alias("splits")
+
+
 class Swims:
     """The derived tables and what is curated from them."""
 
@@ -38,17 +48,12 @@ class Swims:
         self.raw_meets = self.meets.withColumn("venue", F.concat(F.lit("pool "), F.col("course")))
         one = self.swims.where("ord = 0")
         self.races = one.select("meet_id", "race_id", (F.col("race_id") % 40 + 1).alias("number"), F.concat_ws(" ", F.col("distance").cast("string"), "stroke", "gender").alias("race_name"), "distance", "stroke", "gender", "relay_count", "type")
-        text = _text_time("completed_centiseconds")
-        self.results = self.swims.select("meet_id", "race_id", F.col("ord").alias("pos"), "rank", "name", "swimmer_id", F.lit("DEN").alias("nationality"), "club", "birth_year", text.alias("completed_time"), "completed_centiseconds")
+        self.results = _results(self.swims)
 
     @property
     def nested(self) -> DataFrame:
         """Raw results with their laps nested, as raw files have them."""
-        laps = self.splits.groupBy("result_id").agg(F.sort_array(F.collect_list(F.struct("cumulative_centiseconds", "distance", "split_centiseconds"))).alias("laps"))
-        empty = F.lit(None).cast("string")
-        own = F.transform("laps", lambda x: F.struct(x.distance.alias("distance"), empty.alias("split_time"), x.split_centiseconds.alias("split_centiseconds"), empty.alias("cumulative_time"), x.cumulative_centiseconds.alias("cumulative_centiseconds")))
-        key = self.swims.select("result_id", "race_id", F.col("ord").alias("pos"))
-        return self.results.join(key.join(laps, "result_id"), ["race_id", "pos"], "left").withColumn("splits", own).drop("result_id", "laps")
+        return _results(self.swims, _nested_laps())
 
     @property
     def dim_meet(self) -> DataFrame:
@@ -62,18 +67,29 @@ class Swims:
     def obt(self) -> DataFrame:
         return curate.build_obt(self.results, self.dim_race, self.dim_meet, self.base, FIXED)
 
-    def zone(self, table: str) -> DataFrame:
-        """A table of the curated zone, which this session writes once from the raw tables."""
+    def zone(self, table: str, *more: str) -> DataFrame:
+        """A table of the curated zone. This session writes each table once from the raw tables, when a query reads it; with ``more``, these too, as one commit."""
         root, _ = fixture.place(self.spark, self.sf_dir, "zone")
-        mark, there = fixture.place(self.spark, self.sf_dir, "zone-written")
-        if not there:
-            lake.write_curated(curate.curate(self.raw_meets, self.races, self.nested, self.base, self.overrides, FIXED), root)
-            self.spark.range(0).write.mode("overwrite").parquet(mark)
+        marks = {name: fixture.place(self.spark, self.sf_dir, f"zone-written-{name}") for name in (table, *more)}
+        if left := [name for name, (_, there) in marks.items() if not there]:
+            tables = curate.curate(self.raw_meets, self.races, self.nested, self.base, self.overrides, FIXED)
+            if "obt_result" in left:
+                tables["fact_result"] = lambda written: curate.build_fact_result(written("obt_result"))
+            lake.write_curated({name: tables[name] for name in left}, root)
+            for name in left:
+                self.spark.range(0).write.mode("overwrite").parquet(marks[name][0])
         return lake.read_curated(self.spark, root, table)
 
+    @property
+    def whole_zone(self) -> dict[str, DataFrame]:
+        """All tables of the zone."""
+        self.zone(*CURATED)
+        return {name: self.zone(name) for name in CURATED}
+
     @property
     def views(self) -> dict[str, DataFrame]:
         """What the analytics views read."""
+        self.zone("obt_result", "dim_meet", "fact_split")
         return {name: self.zone(name) for name in ("obt_result", "dim_meet", "fact_split")}
 
     @property
@@ -387,33 +403,40 @@ SELECT result_id, age_group, CASE WHEN rank = -1 THEN 0 ELSE coalesce(CAST(trunc
     CASE WHEN rank = -1 THEN 0 ELSE coalesce(CAST(trunc(1000.0::DOUBLE * pow(fixed / t, 3.0::DOUBLE)) AS BIGINT), 0) END AS points_fixed FROM lp"""
 
 
-def _json_lines(x: Swims, left_out: str = "false") -> DataFrame:
-    """``(meet, kind, a, b, value)``: the lines of the raw files; meets of a condition have no result lines."""
-    line = lambda frame, kind, a, b, record: frame.select(F.col("meet_id").alias("meet"), F.lit(kind).alias("kind"), a.cast("bigint").alias("a"), b.cast("bigint").alias("b"), F.to_json(record).alias("value"))
+def _json_lines(x: Swims, left_out: str = "false") -> dict[str, DataFrame]:
+    """``(meet, kind, a, b, value)``: the lines of the raw files by kind, those of a meet together and in order; meets of a condition have no result lines.
+
+    Rows are dealt and sorted as they are, and become text and laps afterwards.
+    """
+    dealt = lambda frame, *order: frame.withColumn("meet", F.col("meet_id")).repartition("meet").sortWithinPartitions("meet", *order)
+    line = lambda frame, kind, a, b, record: frame.select("meet", F.lit(kind).alias("kind"), a.cast("bigint").alias("a"), b.cast("bigint").alias("b"), F.to_json(record).alias("value"))
     c, zero = F.col, F.lit(0)
     meet = F.struct(c("meet_id").cast("bigint").alias("meet_id"), c("meet_name").alias("meet"), "venue", "course", "season", F.date_format("meet_date", "dd-MM-yyyy").alias("date"), "category")
     race = F.struct("race_id", "number", c("race_name").alias("name"), "distance", "stroke", "gender", "relay_count", "type")
     result = F.struct("race_id", c("rank").alias("Rank"), c("name").alias("Name"), c("swimmer_id").alias("Swimmer_id"), "nationality", "club", "birth_year", "completed_time", "completed_centiseconds", "splits")
-    return line(x.raw_meets, "meet_info", zero, zero, meet).union(line(x.races, "races", c("race_id"), zero, race)).union(line(x.nested.where(f"not ({left_out})"), "results", c("race_id"), c("pos"), result))
-
-
-def _write_raw(x: Swims, root: str, left_out: str = "false", value: str = "value", scrape: str = "") -> None:
-    """The raw zone: ``meet=<id>/<kind>.jsonl``, or ``meet=<id>/scrape=<scrape>/<kind>.jsonl``, written by Spark and named as a scrape names its files; ``value`` says what becomes of a line."""
-    beside = f"{root}-parts-{uuid.uuid4().hex}"
-    lines = _json_lines(x, left_out).withColumn("value", F.expr(value)).repartition("meet", "kind").sortWithinPartitions("meet", "kind", "a", "b")
-    lines.select("meet", "kind", "value").write.partitionBy("meet", "kind").text(beside)
-    fs, parts = lake.place(x.spark, f"{beside}/meet=*/kind=*/part-*")
+    nested = _results(dealt(x.swims.where(f"not ({left_out})"), "race_id", "ord"), _nested_laps(), c("meet"))
+    return {"meet_info": line(dealt(x.raw_meets), "meet_info", zero, zero, meet), "races": line(dealt(x.races, "race_id"), "races", c("race_id"), zero, race), "results": line(nested, "results", c("race_id"), c("pos"), result)}
+
+
+def _write_raw(x: Swims, root: str, left_out: str = "false", value: str = "value", scrape: str = "", packed: bool = False) -> None:
+    """The raw zone: ``meet=<id>/<kind>.jsonl``, or ``meet=<id>/scrape=<scrape>/<kind>.jsonl``, written by Spark and named as a scrape names its files (``packed``: by gzip, with ``.gz`` after
+    the name); ``value`` says what becomes of a line."""
+    beside, tail = f"{root}-parts-{uuid.uuid4().hex}", ".gz" if packed else ""
+    for kind, lines in _json_lines(x, left_out).items():
+        with versions.tidy(x.spark):
+            lines.select("meet", F.expr(value).alias("value")).write.partitionBy("meet").option("compression", "gzip" if packed else "none").text(f"{beside}/kind={kind}")
+    fs, parts = lake.place(x.spark, f"{beside}/kind=*/meet=*/part-*")
     found = list(fs.globStatus(parts))
     for status in found:
-        meet, kind, _ = status.getPath().toString().split("/")[-3:]
+        kind, meet, _ = status.getPath().toString().split("/")[-3:]
         folder = f"{meet}/scrape={scrape}" if scrape else meet
-        _, to = lake.place(x.spark, f"{root}/{folder}/{kind.split('=')[1]}.jsonl")
+        _, to = lake.place(x.spark, f"{root}/{folder}/{kind.split('=')[1]}.jsonl{tail}")
         fs.mkdirs(to.getParent())
         fs.rename(status.getPath(), to)
-    for meet in {status.getPath().getParent().getParent().getName() for status in found}:  # a scrape without results has an empty file
-        _, results = lake.place(x.spark, f"{root}/{meet}/scrape={scrape}/results.jsonl" if scrape else f"{root}/{meet}/results.jsonl")
-        if not fs.exists(results):
-            fs.create(results).close()
+    for meet in {status.getPath().getParent().getName() for status in found}:  # a scrape without results has an empty file
+        folder = f"{root}/{meet}/scrape={scrape}" if scrape else f"{root}/{meet}"
+        if not lake.exists(x.spark, f"{folder}/results.jsonl{tail}"):
+            fs.create(lake.place(x.spark, f"{folder}/results.jsonl")[1]).close()
 
 
 def _streamed(x: Swims) -> DataFrame:
@@ -595,7 +618,7 @@ def _overrides_file(x: Swims) -> DataFrame:
 
 def _catalogued(x: Swims) -> DataFrame:
     """The curated tables as external tables, asked in SQL."""
-    x.zone("obt_result")
+    x.zone("obt_result", "dim_meet")
     root, name = fixture.place(x.spark, x.sf_dir, "zone")[0], f"swims_{uuid.uuid4().hex}"
     x.spark.sql(f"CREATE DATABASE {name} LOCATION '{lake.scratch_path(x.spark, 'database')}'")
     lake.register_catalog(x.spark, root, name)
@@ -635,7 +658,7 @@ _DEFINED = {
     "fact_result_points": (lambda x: curate.build_fact_result(x.obt), f"SELECT {FACT} FROM obt"),
     "fact_split": (lambda x: curate.build_fact_split(x.nested, x.dim_meet).drop("split_time", "cumulative_time"), "SELECT l.result_id, l.race_id, s.meet_id, l.distance, l.split_centiseconds, l.cumulative_centiseconds, l.season, l.course FROM fx_splits l JOIN fx_swims s ON l.result_id = s.result_id"),
     "obt": (lambda x: x.obt, f"SELECT {OBT} FROM obt"),
-    "curate_roundtrip": (lambda x: _digest({name: x.zone(name) for name in CURATED}), _digest_sql("true")),
+    "curate_roundtrip": (lambda x: _digest(x.whole_zone), _digest_sql("true")),
     "curate_stream": (_streamed, f"SELECT {OBT} FROM obt"),
     "curate_rescrape": (_rescraped, _digest_sql("CAST(meet_id AS INT) % 4 <> 1")),
     "raw_files": (_raw_read, "SELECT r.meet_id, r.race_id, r.race_name, s.result_id, s.rank, CASE WHEN s.completed_centiseconds IS NOT NULL THEN (s.completed_centiseconds // 6000) || ':' || lpad(CAST(s.completed_centiseconds % 6000 // 100 AS VARCHAR), 2, '0') || '.' || lpad(CAST(s.completed_centiseconds % 100 AS VARCHAR), 2, '0') END AS completed_time, CAST(n AS INT) AS n_splits, m.meet_date, array_to_string(m.category, ',') AS category FROM fx_swims s JOIN races r ON s.meet_id = r.meet_id AND s.race_id = r.race_id JOIN fx_meet m ON s.meet_id = m.meet_id LEFT JOIN (SELECT result_id, count(*) AS n FROM fx_splits GROUP BY result_id) l ON s.result_id = l.result_id"),

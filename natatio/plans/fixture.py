@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from natatio.sources.lake import exists, scratch_path
+from natatio.sources.versions import tidy
 
 FX_SWIMS = """
 WITH base AS (
@@ -78,8 +79,15 @@ SELECT result_id, race_id, season, course, distance,
 FROM timed
 """
 
-#: A number for each lap of a swim: Spark's and DuckDB's word for it.
-SPARK_LAPS, DUCK_LAPS = "explode(sequence(1L, 1L + race_id % 4))", "unnest(generate_series(1, 1 + race_id % 4))"
+#: A number for each lap of a swim, in DuckDB's words.
+DUCK_LAPS = "unnest(generate_series(1, 1 + race_id % 4))"
+#: What ``FX_SPLITS`` says of one swim, as an array on its own row: no lap is shuffled or stored. Null without a time.
+LAPS = """
+CASE WHEN completed_centiseconds IS NOT NULL THEN transform(sequence(1L, 1L + race_id % 4), lap -> named_struct(
+  'distance', CAST(floor(distance * lap / (1 + race_id % 4)) AS BIGINT),
+  'split_centiseconds', CASE WHEN (race_id + lap) % 31 = 0 THEN NULL ELSE CAST(floor(completed_centiseconds / (1 + race_id % 4)) AS BIGINT) + (ord * 7 + lap * 13) % 40 END,
+  'cumulative_centiseconds', aggregate(sequence(1L, lap), 0L, (sum, k) -> sum + CAST(floor(completed_centiseconds / (1 + race_id % 4)) AS BIGINT) + (ord * 7 + k * 13) % 40))) END
+"""
 #: In the order in which they build on each other.
 TABLES = {"fx_swims": FX_SWIMS, "fx_meet": FX_MEET, "fx_base_times": FX_BASE_TIMES, "fx_overrides": FX_OVERRIDES, "fx_splits": FX_SPLITS}
 #: Where this session has stored the derived tables, by the folder of the given ones.
@@ -94,15 +102,19 @@ def place(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, bool]:
 
 
 def register(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The derived tables as temporary views and frames; each is written once a session."""
+    """The derived tables as temporary views and frames; each but the laps, which swims bring along, is written once a session."""
     out = {}
     for name, text in TABLES.items():
-        path, there = place(spark, sf_dir, name)
-        if not there:
-            for given in ("lineitem", "orders"):
-                spark.read.parquet(f"{sf_dir}/{given}.parquet").createOrReplaceTempView(given)
-            spark.sql(text.replace("{laps}", SPARK_LAPS)).write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path)
+        if name == "fx_splits":
+            out[name] = out["fx_swims"].selectExpr("result_id", "race_id", "season", "course", f"explode({LAPS}) AS lap").select("result_id", "race_id", "season", "course", "lap.*")
+        else:
+            path, there = place(spark, sf_dir, name)
+            if not there:
+                for given in ("lineitem", "orders"):
+                    spark.read.parquet(f"{sf_dir}/{given}.parquet").createOrReplaceTempView(given)
+                with tidy(spark):
+                    spark.sql(text).write.mode("overwrite").option("compression", "zstd").parquet(path)
+            out[name] = spark.read.parquet(path)
         out[name].createOrReplaceTempView(name)
     return out
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -18,7 +19,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from natatio.operators.curate import small
 from natatio.schemas import CURATED, MANIFEST, QUARANTINE
 from natatio.sources import versions
-from natatio.sources.versions import exists, place
+from natatio.sources.versions import exists, place, tidy
 
 __all__ = ["append_if_absent", "compact", "delete_meet", "exists", "expire", "manifest", "place", "quarantined", "read_curated", "register_catalog", "scrapes", "scratch_path", "without_meet", "write_curated"]
 
@@ -72,30 +73,43 @@ def read_curated(spark: SparkSession, root: str, table: str, version: int | None
     return rows.select(*schema.names)
 
 
-def write_curated(tables: dict[str, DataFrame], root: str, scraped: DataFrame | None = None) -> dict[str, int]:
+#: A table of a run, or what makes it of tables that the run has written before, by their names.
+Table = DataFrame | Callable[[Callable[[str], DataFrame]], DataFrame]
+
+
+def write_curated(tables: dict[str, Table], root: str, scraped: DataFrame | None = None) -> dict[str, int]:
     """Replace the meets of ``dim_meet`` (where it isn't among the tables, those that a table holds) in all these tables, and no others, by one commit; the rows written to each table.
 
     Each table is evaluated once; its rows are counted as they are written. Files are dealt by season and course and split at the session's advisory size, so that a large season makes
-    many files and small ones few. A meet that has no rows in a table any more has none afterwards, and one that changed its season or course is only where it is now. Of ``quarantine``, the
+    many files and small ones few. Tables with a row for a result or lap are written one after another, and what one has shuffled is deleted before the next, so that the disk needed is
+    that of the largest. A meet that has no rows in a table any more has none afterwards, and one that changed its season or course is only where it is now. Of ``quarantine``, the
     meets with new lines are replaced too. ``scraped`` (``meet_id, scrape``) tells where the rows come from. If another run commits meanwhile, this one is refused
     (``versions.Conflict``); nothing of it is seen then, nor after any other failure.
     """
-    spark = next(iter(tables.values())).sparkSession
+    spark = next(rows for rows in tables.values() if isinstance(rows, DataFrame)).sparkSession
     base = versions.current(spark, _manifests(root))
     snap, counts = f"{base + 1:010d}-{uuid.uuid4().hex[:8]}", {}
-    there = lambda name: spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}/snap={snap}").select("meet_id").distinct()
+    written = lambda name: spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}/snap={snap}")
+    there = lambda name: written(name).select("meet_id").distinct()
 
     def write(name: str) -> None:
         seen = Observation()
-        rows = tables[name].select(*(F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields))
+        rows = tables[name] if isinstance(tables[name], DataFrame) else tables[name](written)
+        rows = rows.select(*(F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields))
         parts = [p for p in PARTS if p in rows.columns]
         rows = rows.hint("rebalance", *parts).sortWithinPartitions(*parts, "meet_id").observe(seen, F.count(F.lit(1)).alias("n"))
-        rows.write.partitionBy(*parts).option("compression", "snappy").parquet(f"{root}/{name}/snap={snap}")
+        rows.write.partitionBy(*parts).option("compression", "zstd").parquet(f"{root}/{name}/snap={snap}")
         counts[name] = seen.get["n"]
 
-    # Tables don't wait for each other: small ones are written in the tasks that large ones leave free.
-    with ThreadPoolExecutor(len(tables)) as pool:
-        for done in [pool.submit(inheritable_thread_target(spark)(write), name) for name in tables]:
+    def write_all(names: list[str]) -> None:
+        for name in names:
+            write(name)
+
+    # Small tables don't wait for large ones: they are written in the tasks that these leave free.
+    large = sorted((name for name in tables if "result_id" in SCHEMAS[name].names), key=lambda name: not isinstance(tables[name], DataFrame))
+    turns = [large, *([name] for name in tables if name not in large)]
+    with tidy(spark), ThreadPoolExecutor(len(turns)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(write_all), names) for names in turns]:
             done.result()
     replaced = []
     for name in tables:
