@@ -442,8 +442,9 @@ def _write_raw(x: Swims, root: str, left_out: str = "false", value: str = "value
 def _streamed(x: Swims) -> DataFrame:
     """Raw files of all meets, curated by the stream, and read back."""
     root = lake.scratch_path(x.spark, "stream")
-    _write_raw(x, f"{root}/raw")
+    _write_raw(x, f"{root}/raw", packed=True)
     curate_stream.curate_stream(x.spark, f"{root}/raw", x.base, x.overrides, f"{root}/lake", f"{root}/offsets", FIXED).awaitTermination()
+    versions.remove(x.spark, f"{root}/raw")
     return lake.read_curated(x.spark, f"{root}/lake", "obt_result")
 
 
