@@ -452,10 +452,12 @@ def _rescraped(x: Swims) -> DataFrame:
     """All meets curated, then the quarter of them that a new scrape finds without results curated anew."""
     root, gone = lake.scratch_path(x.spark, "rescrape"), "cast(meet_id as int) % 4 = 1"
     for scrape, left_out in (("first", "false"), ("second", gone)):
-        _write_raw(x, f"{root}/{scrape}", left_out)
+        _write_raw(x, f"{root}/{scrape}", left_out, packed=True)
     curate_stream.curate_all(x.spark, f"{root}/first", x.base, x.overrides, f"{root}/lake", FIXED)
+    versions.remove(x.spark, f"{root}/first")
     again = [r.meet_id for r in x.meets.where(gone).select("meet_id").collect()]
     curate_stream.recurate(x.spark, f"{root}/second", again, x.base, x.overrides, f"{root}/lake", FIXED)
+    versions.remove(x.spark, f"{root}/second")
     return _digest({name: lake.read_curated(x.spark, f"{root}/lake", name) for name in CURATED})
 
 
