@@ -487,15 +487,23 @@ SELECT meet_id, NULL::VARCHAR AS file, NULL::BIGINT AS line_no, result_id, CASE
 UNION ALL SELECT meet_id, file, line_no, NULL, NULL, substr(CASE file WHEN 'races' THEN '{"race_id":' || race_id || ',"number":' ELSE '{"race_id":' || race_id || ',"Rank":' END || repeat('~', 20), 1, 15), 'not a record' FROM bad"""
 
 
+#: About how many blocks raw files are read in, to see that their order is kept.
+BLOCKS = 4096
+
+
 def _line_order(x: Swims) -> DataFrame:
-    """Results of raw files that are read in blocks of some kilobytes, with their line numbers and the ids that follow from their order."""
+    """Results of raw files that are read in many blocks, with their line numbers and the ids that follow from their order.
+
+    Blocks have 8 kilobytes or more, so many that there are some ``BLOCKS`` of them: Spark's driver keeps a record of each.
+    """
     root, session = lake.scratch_path(x.spark, "blocks"), x.spark.newSession()
     _write_raw(x, root)
-    session.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    fs, at = lake.place(x.spark, root)
+    session.conf.set("spark.sql.files.maxPartitionBytes", str(max(8192, fs.getContentSummary(at).getLength() // BLOCKS)))
     session.conf.set("spark.sql.files.openCostInBytes", "0")
-    lines = raw.numbered(raw.raw_lines(session, root, "results"))
-    results = raw.parsed(lines, "results").select("meet_id", "pos", "line_no", "r.race_id", F.col("r.completed_centiseconds").alias("cs"))
-    return curate.assign_result_ids(results).select("meet_id", "line_no", "race_id", "result_id", "cs")
+    lines = raw.raw_lines(session, root, "results")
+    results = raw.parsed(lines, "results").select("meet_id", "path", "pos", "r.race_id", F.col("r.completed_centiseconds").alias("cs"))
+    return curate.assign_result_ids(raw.numbered(lines, results).drop("path")).select("meet_id", "line_no", "race_id", "result_id", "cs")
 
 
 def _scrapes_reversed(x: Swims) -> DataFrame:
